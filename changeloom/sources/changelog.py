@@ -245,7 +245,7 @@ def _event_properties() -> Column:
     etype = F.col("event_type")
     # Keys in alphabetical order: a JSON object re-serialised from a variant
     # lists its keys sorted, so both encodings then carry the same text.
-    props = F.to_json(F.struct(
+    props = _json(
         F.when(etype == "button_click", F.concat(F.lit("btn_"), k % 5)).alias("button"),
         F.element_at(F.array(*[F.lit(d) for d in DEVICES]), (k % 3 + 1).cast("int")).alias("device"),
         k.alias("duration_seconds"),
@@ -256,7 +256,7 @@ def _event_properties() -> Column:
                F.element_at(F.array(*[F.lit(p) for p in PLAN_NAMES]),
                             (k % 3 + 1).cast("int"))).alias("plan"),
         F.when(k % 2 == 0, F.lit("search")).otherwise(F.lit("direct")).alias("referrer"),
-    ))
+    )
     return props
 
 
