@@ -257,5 +257,32 @@ BODIES = {
 }
 
 
+def _scd2_sql(src: str, key: str) -> str:
+    return f"""SELECT *, valid_to IS NULL AS is_current,
+        md5(concat_ws('|', {key}, epoch_us(valid_from), cdc_id)) AS scd_id
+      FROM (SELECT *, cdc_consumed_at AS valid_from,
+              lead(cdc_consumed_at) OVER (PARTITION BY {key} ORDER BY cdc_consumed_at, cdc_ts_ms, cdc_id)
+                AS valid_to
+            FROM {src})"""
+
+
+_USERS_CHANGES = """(SELECT * EXCLUDE (pe, pp, rn) FROM (
+      SELECT *, lag(email) OVER w AS pe, lag(plan_id) OVER w AS pp, row_number() OVER w AS rn
+      FROM stg_users WINDOW w AS (PARTITION BY user_id ORDER BY cdc_consumed_at, cdc_ts_ms, cdc_id))
+    WHERE rn = 1 OR pe IS DISTINCT FROM email OR pp IS DISTINCT FROM plan_id)"""
+
+BODIES.update({
+    "users_scd2": _scd2_sql("stg_users", "user_id"),
+    "plans_scd2": _scd2_sql("stg_plans", "plan_id"),
+    "users_scd2_changes_only": _scd2_sql(_USERS_CHANGES, "user_id"),
+    "scd2_incremental": _scd2_sql("stg_users", "user_id"),
+    "scd2_hard_deletes": f"""SELECT * REPLACE (
+        CASE WHEN is_current AND user_id % 37 = 0 THEN TIMESTAMP '2031-01-01 00:00:00' ELSE valid_to END
+          AS valid_to,
+        is_current AND NOT (user_id % 37 = 0) AS is_current)
+      FROM ({_scd2_sql("stg_users", "user_id")})""",
+})
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: f"WITH {CTES}\n{body}" for name, body in BODIES.items()}

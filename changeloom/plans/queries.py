@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeloom.operators import scd2
 from changeloom.plans import marts, metrics, staging
 from changeloom.sources.changelog import change_log
 
@@ -49,6 +50,50 @@ def revenue_by_day(spark: SparkSession, d: str) -> DataFrame:
                     F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(18,2)").alias("revenue")))
 
 
+# History: incremental runs split the log at this consumption time; hard
+# deletes are applied at this run time.
+SCD2_CUT = "2024-02-15 00:00:00"
+SCD2_RUN_AT = "2031-01-01 00:00:00"
+USER_TRACKED = ["email", "plan_id"]
+
+
+def users_scd2(spark: SparkSession, d: str) -> DataFrame:
+    return scd2.build_scd2(staging.stg_users(raw(spark, d)), "user_id")
+
+
+def plans_scd2(spark: SparkSession, d: str) -> DataFrame:
+    return scd2.build_scd2(staging.stg_plans(raw(spark, d)), "plan_id")
+
+
+def users_scd2_changes_only(spark: SparkSession, d: str) -> DataFrame:
+    return scd2.build_scd2(staging.stg_users(raw(spark, d)), "user_id", tracked=USER_TRACKED)
+
+
+def scd2_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """History built from the events consumed before ``SCD2_CUT``, then the
+    later events applied incrementally (late events included)."""
+    from pyspark.sql import functions as F
+    ev = staging.stg_users(raw(spark, d))
+    cut = F.lit(SCD2_CUT).cast("timestamp_ntz")
+    first = scd2.build_scd2(ev.where(F.col("cdc_consumed_at") < cut), "user_id")
+    return scd2.apply_scd2(first, ev.where(F.col("cdc_consumed_at") >= cut), "user_id")
+
+
+def current_user_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of the live users table: customers minus the deleted ones (the
+    delete rule of the change log)."""
+    from pyspark.sql import functions as F
+    from changeloom.sources.tables import read_table
+    c = read_table(spark, d, "customer", ["c_custkey"])
+    return c.where(F.col("c_custkey") % 37 != 0).select(F.col("c_custkey").alias("user_id"))
+
+
+def scd2_hard_deletes(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    return scd2.invalidate_hard_deletes(users_scd2(spark, d), current_user_keys(spark, d),
+                                        "user_id", F.lit(SCD2_RUN_AT))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "raw_change_log": raw,
@@ -69,5 +114,10 @@ def registry() -> dict[str, Query]:
             _fct_payments(s, d), marts.dim_dates(s)),
         "payment_failure_rate": lambda s, d: metrics.payment_failure_rate(_fct_payments(s, d)),
         "payment_retry_rate": lambda s, d: metrics.payment_retry_rate(_fct_payments(s, d)),
+        "users_scd2": users_scd2,
+        "plans_scd2": plans_scd2,
+        "users_scd2_changes_only": users_scd2_changes_only,
+        "scd2_incremental": scd2_incremental,
+        "scd2_hard_deletes": scd2_hard_deletes,
     })
     return q
