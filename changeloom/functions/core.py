@@ -43,24 +43,35 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(True)).otherwise(F.lit(False))
 
 
+def let(expr: Column, body) -> Column:
+    """Bind ``expr`` to a lambda variable and evaluate ``body(var)``.
+
+    Referencing the variable many times does not copy ``expr`` into the
+    expression tree, which keeps plans small when an optimizer rule (filter
+    pushdown, projection collapsing) substitutes column definitions.
+    """
+    return F.transform(F.array(expr), body)[0]
+
+
 def dedup_map_last(m: Column) -> Column:
     """Keep the last occurrence of every duplicate key of a map.
 
     JSON objects with repeated keys parse into a map that holds both; the
     event producer's semantics are "last one wins".
     """
-    entries = F.map_entries(m)
-    keys = F.map_keys(m)
-    kept = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
-    )
-    return F.when(m.isNull(), F.lit(None)).otherwise(F.map_from_entries(kept))
+    def body(mm: Column) -> Column:
+        keys = F.map_keys(mm)
+        kept = F.filter(
+            F.map_entries(mm),
+            lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
+        )
+        return F.when(mm.isNull(), F.lit(None)).otherwise(F.map_from_entries(kept))
+    return let(m, body)
 
 
 def variant_text(v: Column) -> Column:
     """Variant as text: strings unquoted, other values as JSON text."""
-    return F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))
+    return let(v, lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x)))
 
 
 def variant_long(v: Column) -> Column:
@@ -74,9 +85,11 @@ def variant_falsy(v: Column) -> Column:
     Falsy: missing, JSON null, empty string, numeric zero, false, empty
     object, empty array.  Non-empty strings (including "0") are truthy.
     """
-    text = F.to_json(v)
-    numeric_zero = (F.substring(text, 1, 1) != F.lit('"')) & \
-        (F.try_variant_get(v, "$", "double") == F.lit(0.0))
-    return (v.isNull()
-            | text.isin("null", '""', "{}", "[]", "false")
-            | F.coalesce(numeric_zero, F.lit(False)))
+    def body(x: Column) -> Column:
+        text = F.to_json(x)
+        numeric_zero = (F.substring(text, 1, 1) != F.lit('"')) & \
+            (F.try_variant_get(x, "$", "double") == F.lit(0.0))
+        return (x.isNull()
+                | text.isin("null", '""', "{}", "[]", "false")
+                | F.coalesce(numeric_zero, F.lit(False)))
+    return let(v, body)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.functions import (dedup_map_last, hash60, variant_falsy,
+from changeloom.functions import (dedup_map_last, hash60, let, variant_falsy,
                                   variant_long, variant_text)
 from changeloom.schemas import META_PREFIX, RAW_COLUMNS
 
@@ -53,49 +53,49 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
     keep_columns = keep_columns or []
     consumed = consumed_at if consumed_at is not None else F.current_timestamp()
     text = F.col("value").cast("string")
-    top = _object(text)
-    is_envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
-    payload = F.when(is_envelope, _object(F.to_json(top["payload"]))).otherwise(top)
 
-    df = messages.select(
+    def on_payload(top: Column, m: Column) -> Column:
+        picks, drop_plain = {}, {}
+        for field, out in _META:
+            pref = m[META_PREFIX + field]
+            use_pref = ~variant_falsy(pref)
+            picks[out] = F.when(use_pref, pref).otherwise(m[field])
+            drop_plain[field] = ~use_pref
+
+        def dropped(k: Column) -> Column:
+            cond = k.isin(*[META_PREFIX + f for f, _ in _META])
+            for f, _ in _META:
+                cond = cond | ((k == F.lit(f)) & drop_plain[f])
+            return cond
+
+        row_image = F.map_filter(m, lambda k, v: ~dropped(k))
+        op = variant_text(picks["op"])
+        table = variant_text(picks["source_table"])
+        ts = variant_long(picks["ts_ms"])
+        reason = (F.when(top.isNull(), F.lit("not a JSON object"))
+                  .when(m.isNull(), F.lit("payload is not a JSON object"))
+                  .when(op.isNull(), F.lit("missing op"))
+                  .when(table.isNull(), F.lit("missing source_table"))
+                  .when(ts.isNull(), F.lit("missing or non-integer ts_ms")))
+        return F.struct(
+            op.alias("op"), table.alias("source_table"), ts.alias("ts_ms"),
+            F.when(op == F.lit("d"), F.lit(None).cast("string"))
+             .otherwise(F.to_json(row_image)).alias("after"),
+            reason.alias("reason"))
+
+    def on_top(top: Column) -> Column:
+        is_envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
+        # The payload's own JSON text (key order kept), parsed like a message.
+        inner = F.from_json(text, "struct<payload:string>")["payload"]
+        payload = F.when(is_envelope, _object(inner)).otherwise(top)
+        return let(payload, lambda m: on_payload(top, m))
+
+    parsed = messages.select(
         "topic", "partition", F.col("offset").alias("offset_value"), "value",
         consumed.cast("timestamp_ntz").alias("consumed_at"),
-        top.isNull().alias("_bad_json"),
-        payload.alias("_m"), *keep_columns)
-
-    m = F.col("_m")
-    picks = {}
-    drop_plain = {}
-    for field, out in _META:
-        pref = m[META_PREFIX + field]
-        use_pref = ~variant_falsy(pref)
-        picks[out] = F.when(use_pref, pref).otherwise(m[field])
-        drop_plain[field] = ~use_pref
-    def dropped(k: Column) -> Column:
-        cond = k.isin(*[META_PREFIX + f for f, _ in _META])
-        for f, _ in _META:
-            cond = cond | ((k == F.lit(f)) & drop_plain[f])
-        return cond
-
-    row_image = F.map_filter(m, lambda k, v: ~dropped(k))
-
-    op = variant_text(picks["op"])
-    parsed = df.select(
-        "topic", "partition", "offset_value", "value", "consumed_at", "_bad_json",
-        m.isNull().alias("_no_object"),
-        op.alias("op"),
-        variant_text(picks["source_table"]).alias("source_table"),
-        variant_long(picks["ts_ms"]).alias("ts_ms"),
-        F.when(op == F.lit("d"), F.lit(None).cast("string"))
-         .otherwise(F.to_json(row_image)).alias("after"),
-        *keep_columns)
-
-    reason = (F.when(F.col("_bad_json"), F.lit("not a JSON object"))
-              .when(F.col("_no_object"), F.lit("payload is not a JSON object"))
-              .when(F.col("op").isNull(), F.lit("missing op"))
-              .when(F.col("source_table").isNull(), F.lit("missing source_table"))
-              .when(F.col("ts_ms").isNull(), F.lit("missing or non-integer ts_ms")))
-    parsed = parsed.withColumn("reason", reason)
+        let(_object(text), on_top).alias("_p"), *keep_columns)
+    parsed = parsed.select("topic", "partition", "offset_value", "value", "consumed_at",
+                           "_p.*", *keep_columns)
 
     valid = (parsed.where(F.col("reason").isNull())
              .withColumn("before", F.lit(None).cast("string"))

@@ -9,7 +9,9 @@ text of ``after``.
 
 from __future__ import annotations
 
-from changeloom.schemas import PLANS
+from changeloom.plans.checks import project_checks
+from changeloom.plans.queries import FOREIGN_KEYS
+from changeloom.schemas import EXPECTED_COLUMNS, PLANS
 from changeloom.sources.changelog import (BASE_MICROS, DATE_SHIFT_DAYS, DAY_MS, DAY_US,
                                           DEVICES, EVENT_TYPE_MAP, HOUR_US, LATE_DELAY_MS,
                                           MINUTE_US, PLAN_NAMES, TOPIC_PREFIX)
@@ -168,6 +170,12 @@ stg_events AS (
          props_json::VARCHAR AS properties, page, referrer, button, NULL::VARCHAR AS feature, plan,
          device, method, duration_seconds::INTEGER AS duration_seconds
   FROM e_raw WHERE op IN ('c', 'r')),
+dim_users AS (
+  SELECT DISTINCT ON (user_id) user_id, email, name, plan_id, created_at, cdc_op, cdc_ts_ms, cdc_consumed_at
+  FROM stg_users ORDER BY user_id, cdc_ts_ms DESC, cdc_id DESC),
+dim_plans AS (
+  SELECT DISTINCT ON (plan_id) plan_id, name, price, billing_cycle, created_at, cdc_op, cdc_ts_ms, cdc_consumed_at
+  FROM stg_plans ORDER BY plan_id, cdc_ts_ms DESC, cdc_id DESC),
 latest_plans AS (
   SELECT DISTINCT ON (plan_id) plan_id, price, billing_cycle FROM stg_plans
   ORDER BY plan_id, cdc_ts_ms DESC, cdc_id DESC),
@@ -181,6 +189,7 @@ fct_subscriptions_x AS (
          THEN ((epoch_us(s.ended_at) - epoch_us(s.started_at)) // {DAY_US})::INTEGER END AS duration_days,
     s.cdc_op, s.cdc_ts_ms, s.cdc_consumed_at, s.cdc_id
   FROM stg_subscriptions s LEFT JOIN latest_plans p ON s.plan_id = p.plan_id),
+fct_subscriptions AS (SELECT * EXCLUDE (cdc_id) FROM fct_subscriptions_x),
 latest_subs AS (
   SELECT DISTINCT ON (subscription_id) * FROM fct_subscriptions_x
   ORDER BY subscription_id, cdc_ts_ms DESC, cdc_id DESC),
@@ -284,5 +293,87 @@ BODIES.update({
 })
 
 
+def _check_sql(c) -> str:
+    name = c.name or c.kind
+    m, col = c.model, c.column
+    if c.kind == "not_null":
+        fail = f"(SELECT count(*) FROM {m} WHERE {col} IS NULL)"
+    elif c.kind == "unique":
+        fail = f"(SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1))"
+    elif c.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in c.values)
+        fail = f"(SELECT count(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}) GROUP BY {col}))"
+    elif c.kind == "non_positive":
+        fail = f"(SELECT count(*) FROM {m} WHERE {col} IS NOT NULL AND {col} <= 0)"
+    else:
+        fail = (f"(SELECT count(*) FROM {m} x WHERE NOT EXISTS (SELECT 1 FROM {c.parent} y "
+                f"WHERE y.{col} = x.{col}))")
+    return (f"SELECT '{name}' AS \"check\", '{m}' AS model, '{col}' AS \"column\", "
+            f"CAST({fail} AS BIGINT) AS failures")
+
+
+def _dq_sql() -> str:
+    rows = "\n  UNION ALL ".join(_check_sql(c) for c in project_checks())
+    return f"SELECT *, failures = 0 AS passed FROM (\n  {rows})"
+
+
+def _fk_sql() -> str:
+    rows = "\n  UNION ALL ".join(
+        f"SELECT '{n}' AS fk, (SELECT count(*) FROM {ch} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {p} y WHERE y.{pc} = x.{c})) AS violations"
+        for n, ch, c, p, pc in FOREIGN_KEYS)
+    return rows
+
+
+_expected_rows = ", ".join(f"('{t}', '{c}')" for t, cols in EXPECTED_COLUMNS.items() for c, _ in cols)
+
+
+def _type_drift_sql() -> str:
+    parts = []
+    for t, cols in EXPECTED_COLUMNS.items():
+        for c, ty in cols:
+            v = f"json_extract_string(after, '$.{c}')"
+            parts.append(
+                f"SELECT '{t}' AS source_table, '{c}' AS column_name, '{ty}' AS declared_type, "
+                f"count({v}) AS \"values\", count(*) FILTER (WHERE {v} IS NOT NULL AND "
+                f"TRY_CAST({v} AS {ty.upper()}) IS NULL) AS bad_values FROM raw_log WHERE source_table = '{t}'")
+    return "\n  UNION ALL ".join(parts)
+
+
+BODIES.update({
+    "dq_report": _dq_sql(),
+    "fk_violations": _fk_sql(),
+    "orphan_payments": """SELECT p.* FROM fct_payments p
+        WHERE NOT EXISTS (SELECT 1 FROM fct_subscriptions_x s WHERE s.subscription_id = p.subscription_id)""",
+    "non_positive_mrr": "SELECT * EXCLUDE (cdc_id) FROM fct_subscriptions_x WHERE mrr IS NOT NULL AND mrr <= 0",
+    "parse_events": "SELECT * FROM raw_log UNION ALL SELECT * FROM raw_log WHERE offset_value % 10 = 0",
+    "parse_rejects": f"""SELECT topic, partition, offset_value + 1 AS offset_value,
+        'not a JSON object' AS reason FROM e_raw WHERE event_id % 101 = 0""",
+    "replay_dedup": "SELECT * FROM raw_log",
+    "late_events": """SELECT * FROM (SELECT *, max(cdc_ts_ms) OVER (PARTITION BY user_id
+          ORDER BY cdc_consumed_at, cdc_ts_ms, cdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+          AS newer_ts_ms FROM stg_users) WHERE newer_ts_ms > cdc_ts_ms""",
+    "schema_drift": f"""SELECT source_table, column_name,
+          CASE WHEN a.events IS NULL THEN 'missing' WHEN e.declared THEN 'expected' ELSE 'new' END AS status,
+          coalesce(a.events, 0) AS events, a.first_ts_ms
+        FROM (SELECT source_table, column_name, count(*) AS events, min(ts_ms) AS first_ts_ms
+              FROM (SELECT source_table, ts_ms, unnest(json_keys(after)) AS column_name
+                    FROM raw_log WHERE after IS NOT NULL) GROUP BY ALL) a
+        FULL JOIN (SELECT *, true AS declared FROM (VALUES {_expected_rows}) t(source_table, column_name)
+                   WHERE source_table IN (SELECT DISTINCT source_table FROM raw_log)) e
+        USING (source_table, column_name)""",
+    "type_drift": _type_drift_sql(),
+    "silence_gaps": """SELECT source_table, consumed_at AS gap_start, nxt AS gap_end,
+          (epoch_us(nxt) - epoch_us(consumed_at)) // 60000000 AS minutes_silent
+        FROM (SELECT source_table, consumed_at,
+                lead(consumed_at) OVER (PARTITION BY source_table ORDER BY consumed_at) AS nxt FROM raw_log)
+        WHERE nxt IS NOT NULL AND epoch_us(nxt) - epoch_us(consumed_at) >= 1800000000""",
+    "batch_stats": """SELECT batch_start, source_table, count(*) AS events
+        FROM (SELECT make_timestamp((epoch_us(consumed_at) // 1800000000) * 1800000000) AS batch_start,
+                     source_table FROM raw_log)
+        GROUP BY ROLLUP (batch_start, source_table) HAVING batch_start IS NOT NULL""",
+})
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: f"WITH {CTES}\n{body}" for name, body in BODIES.items()}

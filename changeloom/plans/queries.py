@@ -7,8 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.operators import scd2
-from changeloom.plans import marts, metrics, staging
+from changeloom.operators import monitor, quality, scd2
+from changeloom.operators.joins import orphans
+from changeloom.operators.parse import parse_change_events
+from changeloom.plans import checks, marts, metrics, staging
+from changeloom.session import materialize
+from changeloom.sources.changelog import change_messages
 from changeloom.sources.changelog import change_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +98,78 @@ def scd2_hard_deletes(spark: SparkSession, d: str) -> DataFrame:
                                         "user_id", F.lit(SCD2_RUN_AT))
 
 
+def models(spark: SparkSession, d: str, persist: bool = False) -> dict[str, DataFrame]:
+    """Every staging model and mart over the change log of ``d``.
+
+    With ``persist`` each model is computed once into the checkpoint folder
+    (as the tests of a model run against its built table), which keeps the
+    plans of many checks over many models small.
+    """
+    r = raw(spark, d)
+    stg = {name: fn(r) for name, fn in staging.STAGING_MODELS.items()}
+    m = dict(stg)
+    m["dim_users"] = marts.dim_users(stg["stg_users"])
+    m["dim_plans"] = marts.dim_plans(stg["stg_plans"])
+    m["dim_dates"] = marts.dim_dates(spark)
+    m["fct_subscriptions"] = marts.fct_subscriptions(stg["stg_subscriptions"], stg["stg_plans"])
+    m["fct_payments"] = marts.fct_payments(staging.stg_payments_base(r), stg["stg_subscriptions"])
+    if persist:
+        m = {k: materialize(v) for k, v in m.items()}
+    return m
+
+
+# Foreign keys checked on the marts: (name, child, column, parent, parent column).
+FOREIGN_KEYS = [
+    ("users.plan_id", "dim_users", "plan_id", "dim_plans", "plan_id"),
+    ("subscriptions.user_id", "fct_subscriptions", "user_id", "dim_users", "user_id"),
+    ("subscriptions.plan_id", "fct_subscriptions", "plan_id", "dim_plans", "plan_id"),
+    ("payments.subscription_id", "fct_payments", "subscription_id", "fct_subscriptions",
+     "subscription_id"),
+    ("events.user_id", "stg_events", "user_id", "dim_users", "user_id"),
+]
+
+
+def dq_report(spark: SparkSession, d: str) -> DataFrame:
+    return quality.dq_report(models(spark, d, persist=True), checks.project_checks())
+
+
+def fk_violations(spark: SparkSession, d: str) -> DataFrame:
+    from functools import reduce
+    from pyspark.sql import functions as F
+    m = models(spark, d, persist=True)
+    parts = [orphans(m[child], m[parent], col, pcol, ignore_null=True)
+             .agg(F.count(F.lit(1)).alias("violations"))
+             .select(F.lit(name).alias("fk"), "violations")
+             for name, child, col, parent, pcol in FOREIGN_KEYS]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def orphan_payments(spark: SparkSession, d: str) -> DataFrame:
+    m = models(spark, d)
+    return orphans(m["fct_payments"], m["fct_subscriptions"], "subscription_id").drop("_pk")
+
+
+def non_positive_mrr(spark: SparkSession, d: str) -> DataFrame:
+    return quality.non_positive(models(spark, d)["fct_subscriptions"], "mrr")
+
+
+def _parsed(spark: SparkSession, d: str):
+    from pyspark.sql import functions as F
+    return parse_change_events(change_messages(spark, d), consumed_at=F.col("timestamp"))
+
+
+# Monitoring: batches are the 30-minute schedule windows.
+BATCH_MICROS = 1_800_000_000
+
+
+def batch_stats(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from changeloom.functions import micros_to_ts, ts_to_micros
+    start = micros_to_ts(F.floor(ts_to_micros(F.col("consumed_at")) / BATCH_MICROS)
+                         * BATCH_MICROS).alias("batch_start")
+    return monitor.batch_stats(raw(spark, d), start)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "raw_change_log": raw,
@@ -119,5 +195,17 @@ def registry() -> dict[str, Query]:
         "users_scd2_changes_only": users_scd2_changes_only,
         "scd2_incremental": scd2_incremental,
         "scd2_hard_deletes": scd2_hard_deletes,
+        "dq_report": dq_report,
+        "fk_violations": fk_violations,
+        "orphan_payments": orphan_payments,
+        "non_positive_mrr": non_positive_mrr,
+        "parse_events": lambda s, d: _parsed(s, d)[0],
+        "parse_rejects": lambda s, d: _parsed(s, d)[1].drop("value"),
+        "replay_dedup": lambda s, d: monitor.dedup_offsets(_parsed(s, d)[0]),
+        "late_events": lambda s, d: monitor.late_events(staging.stg_users(raw(s, d)), "user_id"),
+        "schema_drift": lambda s, d: monitor.schema_drift(raw(s, d), monitor.expected_columns(s)),
+        "type_drift": lambda s, d: monitor.type_drift(raw(s, d)),
+        "silence_gaps": lambda s, d: monitor.silence_gaps(raw(s, d)),
+        "batch_stats": batch_stats,
     })
     return q

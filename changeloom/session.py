@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (timestamps are stored as
 # timestamp_ntz and compared with engines that are UTC-naive), ANSI casts
@@ -25,7 +25,8 @@ DEFAULT_CONF = {
 
 def get_spark(app: str = "changeloom", master: str | None = None,
               shuffle_partitions: int | None = None,
-              extra: dict[str, str] | None = None) -> SparkSession:
+              extra: dict[str, str] | None = None,
+              driver_memory: str | None = None) -> SparkSession:
     """Return the active session, creating one with the defaults above.
 
     ``master`` is only for local runs and tests; on a cluster leave it unset
@@ -37,6 +38,8 @@ def get_spark(app: str = "changeloom", master: str | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -58,3 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its
+    lineage (reliable checkpoint: survives the loss of executors)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

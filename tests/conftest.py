@@ -12,7 +12,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from changeloom import get_spark, checkpoint_dir
-    s = get_spark(app="changeloom-tests", master="local[4]", shuffle_partitions=8)
+    s = get_spark(app="changeloom-tests", master="local[4]", shuffle_partitions=8, driver_memory="6g")
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s
