@@ -350,6 +350,7 @@ BODIES.update({
     "parse_rejects": f"""SELECT topic, partition, offset_value + 1 AS offset_value,
         'not a JSON object' AS reason FROM e_raw WHERE event_id % 101 = 0""",
     "replay_dedup": "SELECT * FROM raw_log",
+    "stream_landing": "SELECT * FROM raw_log",
     "late_events": """SELECT * FROM (SELECT *, max(cdc_ts_ms) OVER (PARTITION BY user_id
           ORDER BY cdc_consumed_at, cdc_ts_ms, cdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
           AS newer_ts_ms FROM stg_users) WHERE newer_ts_ms > cdc_ts_ms""",

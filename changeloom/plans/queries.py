@@ -170,6 +170,30 @@ def batch_stats(spark: SparkSession, d: str) -> DataFrame:
     return monitor.batch_stats(raw(spark, d), start)
 
 
+def stream_landing(spark: SparkSession, d: str) -> DataFrame:
+    """Land the change messages through Structured Streaming.
+
+    The messages are written as parquet files (one per trigger) under the
+    shared checkpoint folder, consumed with ``availableNow`` and
+    ``maxFilesPerTrigger=1`` by the landing stream, and the landed log is
+    read back with replays removed.
+    """
+    import uuid
+    from pyspark.sql import functions as F
+    from changeloom.session import checkpoint_dir
+    from changeloom.streaming.landing import read_change_stream, read_landed, start_landing
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream_landing-{uuid.uuid4().hex}"
+    (change_messages(spark, d).repartition(4, "topic", "partition")
+     .write.mode("overwrite").parquet(f"{base}/in"))
+    stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{base}/in")
+    q = start_landing(stream, f"{base}/raw", f"{base}/checkpoint",
+                      rejects_path=f"{base}/rejects", consumed_at=F.col("timestamp"))
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return read_landed(spark, f"{base}/raw").drop("batch_id")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "raw_change_log": raw,
@@ -207,5 +231,6 @@ def registry() -> dict[str, Query]:
         "type_drift": lambda s, d: monitor.type_drift(raw(s, d)),
         "silence_gaps": lambda s, d: monitor.silence_gaps(raw(s, d)),
         "batch_stats": batch_stats,
+        "stream_landing": stream_landing,
     })
     return q
