@@ -61,11 +61,12 @@ def dedup_map_last(m: Column) -> Column:
     """
     def body(mm: Column) -> Column:
         keys = F.map_keys(mm)
-        kept = F.filter(
+        kept = let(keys, lambda ks: F.filter(
             F.map_entries(mm),
-            lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
-        )
-        return F.when(mm.isNull(), F.lit(None)).otherwise(F.map_from_entries(kept))
+            lambda e, i: ~F.array_contains(F.slice(ks, i + 2, F.size(ks)), e["key"])))
+        # Fast path: no repeated key (the common case) keeps the map as is.
+        return (F.when(mm.isNull() | (F.size(F.array_distinct(keys)) == F.size(mm)), mm)
+                .otherwise(F.map_from_entries(kept)))
     return let(m, body)
 
 

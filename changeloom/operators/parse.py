@@ -55,20 +55,18 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
     text = F.col("value").cast("string")
 
     def on_payload(top: Column, m: Column) -> Column:
-        picks, drop_plain = {}, {}
-        for field, out in _META:
-            pref = m[META_PREFIX + field]
-            use_pref = ~variant_falsy(pref)
-            picks[out] = F.when(use_pref, pref).otherwise(m[field])
-            drop_plain[field] = ~use_pref
-
-        def dropped(k: Column) -> Column:
-            cond = k.isin(*[META_PREFIX + f for f, _ in _META])
-            for f, _ in _META:
-                cond = cond | ((k == F.lit(f)) & drop_plain[f])
-            return cond
-
-        row_image = F.map_filter(m, lambda k, v: ~dropped(k))
+        # Truthiness of each prefixed field, evaluated once per message.
+        flags = F.struct(*[(~variant_falsy(m[META_PREFIX + f])).alias(f) for f, _ in _META])
+        return let(flags, lambda fl: on_flags(top, m, fl))
+
+    def on_flags(top: Column, m: Column, fl: Column) -> Column:
+        picks = {out: F.when(fl[f], m[META_PREFIX + f]).otherwise(m[f]) for f, out in _META}
+        # Keys leaving the row image: every prefixed field, and the plain
+        # field when its prefixed value was falsy.
+        removed = F.array(*[F.lit(META_PREFIX + f) for f, _ in _META],
+                          *[F.when(~fl[f], F.lit(f)) for f, _ in _META])
+        row_image = let(removed, lambda rm: F.map_filter(
+            m, lambda k, v: ~F.coalesce(F.array_contains(rm, k), F.lit(False))))
         op = variant_text(picks["op"])
         table = variant_text(picks["source_table"])
         ts = variant_long(picks["ts_ms"])
