@@ -121,8 +121,11 @@ def dedup_offsets(df: DataFrame, watermark: str | None = None) -> DataFrame:
     bounded by a watermark on ``consumed_at``.
     """
     if df.isStreaming:
-        return (df.withWatermark("consumed_at", watermark or "1 hour")
-                .dropDuplicatesWithinWatermark(POSITION))
+        # Watermarks need a TIMESTAMP column; the log keeps wall-clock NTZ.
+        return (df.withColumn("_event_time", F.col("consumed_at").cast("timestamp"))
+                .withWatermark("_event_time", watermark or "1 hour")
+                .dropDuplicatesWithinWatermark(POSITION)
+                .drop("_event_time"))
     return latest_by_key(df, POSITION, [F.col("consumed_at").asc(), F.col("cdc_id").asc()])
 
 

@@ -189,6 +189,7 @@ def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     q = start_landing(stream, f"{base}/raw", f"{base}/checkpoint",
                       rejects_path=f"{base}/rejects", consumed_at=F.col("timestamp"))
     q.awaitTermination()
+    q.stop()
     if q.exception():
         raise q.exception()
     return read_landed(spark, f"{base}/raw").drop("batch_id")
