@@ -67,9 +67,13 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
                           *[F.when(~fl[f], F.lit(f)) for f, _ in _META])
         row_image = let(removed, lambda rm: F.map_filter(
             m, lambda k, v: ~F.coalesce(F.array_contains(rm, k), F.lit(False))))
-        op = variant_text(picks["op"])
-        table = variant_text(picks["source_table"])
-        ts = variant_long(picks["ts_ms"])
+        meta = F.struct(variant_text(picks["op"]).alias("op"),
+                        variant_text(picks["source_table"]).alias("source_table"),
+                        variant_long(picks["ts_ms"]).alias("ts_ms"))
+        return let(meta, lambda mt: on_meta(top, m, mt, row_image))
+
+    def on_meta(top: Column, m: Column, mt: Column, row_image: Column) -> Column:
+        op, table, ts = mt["op"], mt["source_table"], mt["ts_ms"]
         reason = (F.when(top.isNull(), F.lit("not a JSON object"))
                   .when(m.isNull(), F.lit("payload is not a JSON object"))
                   .when(op.isNull(), F.lit("missing op"))
@@ -95,11 +99,17 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
     parsed = parsed.select("topic", "partition", "offset_value", "value", "consumed_at",
                            "_p.*", *keep_columns)
 
-    valid = (parsed.where(F.col("reason").isNull())
+    # Split with a generator instead of a filter: filter pushdown would copy
+    # the whole parse into the predicate and evaluate it twice per message.
+    def split(keep_valid: bool) -> DataFrame:
+        rows = F.filter(F.array(F.struct(*[F.col(c) for c in parsed.columns])),
+                        lambda r: r["reason"].isNull() if keep_valid else r["reason"].isNotNull())
+        return parsed.select(F.inline(rows))
+
+    valid = (split(True)
              .withColumn("before", F.lit(None).cast("string"))
              .withColumn("cdc_id", hash60("topic", "partition", "offset_value"))
              .select(*RAW_COLUMNS, *keep_columns))
-    rejected = (parsed.where(F.col("reason").isNotNull())
-                .select("topic", "partition", "offset_value", "value", "reason",
-                        *keep_columns))
+    rejected = (split(False)
+                .select("topic", "partition", "offset_value", "value", "reason", *keep_columns))
     return valid, rejected

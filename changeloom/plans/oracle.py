@@ -351,6 +351,15 @@ BODIES.update({
         'not a JSON object' AS reason FROM e_raw WHERE event_id % 101 = 0""",
     "replay_dedup": "SELECT * FROM raw_log",
     "stream_landing": "SELECT * FROM raw_log",
+    "snapshot_bootstrap": """SELECT
+        ('0x' || substr(md5('shop.public.users|' || partition || '|' || offset_value), 1, 15))::BIGINT AS cdc_id,
+        topic, partition, offset_value, 'r' AS op, 'users' AS source_table, NULL::VARCHAR AS before,
+        json_object('user_id', user_id, 'email', email, 'name', name, 'plan_id', plan_id,
+                    'created_at', epoch_us(created_at))::VARCHAR AS after,
+        1924992000000 AS ts_ms, make_timestamp(1924992000000 * 1000) AS consumed_at
+      FROM (SELECT *, 'shop.public.users' AS topic, (user_id % 3)::INTEGER AS partition,
+              ('0x' || substr(md5('users|' || user_id || '|r|1924992000000'), 1, 15))::BIGINT AS offset_value
+            FROM dim_users WHERE user_id % 37 <> 0)""",
     "late_events": """SELECT * FROM (SELECT *, max(cdc_ts_ms) OVER (PARTITION BY user_id
           ORDER BY cdc_consumed_at, cdc_ts_ms, cdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
           AS newer_ts_ms FROM stg_users) WHERE newer_ts_ms > cdc_ts_ms""",

@@ -195,6 +195,23 @@ def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     return read_landed(spark, f"{base}/raw").drop("batch_id")
 
 
+def snapshot_bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    """Re-snapshot of the live users table (after a drop and re-create):
+    the current state of every live user as an ``r`` event at run time."""
+    from pyspark.sql import functions as F
+    from changeloom.functions import ts_to_micros
+    from changeloom.sources.changelog import snapshot_events
+    state = marts.dim_users(staging.stg_users(raw(spark, d)))
+    live = state.join(current_user_keys(spark, d), "user_id", "left_semi")
+    base = live.select("user_id", "email", "name", "plan_id",
+                       ts_to_micros(F.col("created_at")).alias("created_at"))
+    run_ms = F.lit(SNAPSHOT_RUN_MS)
+    return snapshot_events(base, "users", "user_id", run_ms)
+
+
+SNAPSHOT_RUN_MS = 1924992000000      # 2031-01-01 00:00:00 UTC
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "raw_change_log": raw,
@@ -233,5 +250,6 @@ def registry() -> dict[str, Query]:
         "silence_gaps": lambda s, d: monitor.silence_gaps(raw(s, d)),
         "batch_stats": batch_stats,
         "stream_landing": stream_landing,
+        "snapshot_bootstrap": snapshot_bootstrap,
     })
     return q

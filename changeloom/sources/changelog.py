@@ -340,3 +340,26 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = msgs.select("topic", "partition", "offset", "value", "timestamp",
                        F.explode(copies).alias("copy")).drop("copy")
     return good.unionByName(broken)
+
+
+def snapshot_events(base: DataFrame, table: str, key: str, ts_ms: Column) -> DataFrame:
+    """Snapshot bootstrap: every row of a base table as an ``op='r'`` event.
+
+    ``base`` holds the table's row-image columns (timestamps as epoch
+    micros); the event time ``ts_ms`` is the snapshot time, which also
+    stamps ``consumed_at``.  One narrow projection, no shuffle.
+    """
+    cols = [F.col(c) for c in base.columns]
+    ev = base.select(
+        F.col(key).cast("bigint").alias("entity_key"), F.lit("r").alias("op"),
+        ts_ms.cast("bigint").alias("ts_ms"),
+        _json(*cols).alias("after"))
+    topic = F.lit(TOPIC_PREFIX + table)
+    return (ev.select(
+        topic.alias("topic"), (F.col("entity_key") % 3).cast("int").alias("partition"),
+        hash60(F.lit(table), F.concat_ws("|", F.col("entity_key"), F.col("op"), F.col("ts_ms")))
+        .alias("offset_value"),
+        "op", F.lit(table).alias("source_table"), F.lit(None).cast("string").alias("before"),
+        "after", "ts_ms", millis_to_ts(F.col("ts_ms")).alias("consumed_at"))
+        .withColumn("cdc_id", hash60("topic", "partition", "offset_value"))
+        .select(*RAW_COLUMNS))
