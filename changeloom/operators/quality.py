@@ -67,26 +67,42 @@ def _failures(models: dict[str, DataFrame], c: Check) -> DataFrame:
 def dq_report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """``(check, model, column, failures, passed)``, one row per check.
 
-    Not-null checks of one model share a single scan (conditional counts in
-    one aggregation); the other checks are one aggregation each.
+    The not-null and accepted-values checks of one model share a single
+    aggregation (conditional counts, plus an exact distinct count of the
+    failing values — one distinct aggregate per pass, so no row expansion);
+    unique, row-assertion and orphan checks are one aggregation each.
     """
+    def single(c: Check) -> DataFrame:
+        return _failures(models, c).select(
+            F.lit(c.name or c.kind).alias("check"), F.lit(c.model).alias("model"),
+            F.lit(c.column).alias("column"), F.col("failures").cast("bigint"))
+
     parts = []
-    by_model: dict[str, list[Check]] = {}
+    fused: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind == "not_null":
-            by_model.setdefault(c.model, []).append(c)
+        if c.kind in ("not_null", "accepted_values"):
+            fused.setdefault(c.model, []).append(c)
         else:
-            parts.append(_failures(models, c).select(
-                F.lit(c.name or c.kind).alias("check"), F.lit(c.model).alias("model"),
-                F.lit(c.column).alias("column"), F.col("failures").cast("bigint")))
-    for model, cs in by_model.items():
-        counts = models[model].agg(*[F.count(F.when(F.col(c.column).isNull(), 1)).alias(f"_{i}")
-                                     for i, c in enumerate(cs)])
+            parts.append(single(c))
+    for model, cs in fused.items():
+        in_pass, aggs, distinct_used = [], [], False
+        for c in cs:
+            col = F.col(c.column)
+            if c.kind == "not_null":
+                expr = F.count(F.when(col.isNull(), 1))
+            elif not distinct_used:
+                expr = F.count_distinct(F.when(col.isNotNull() & ~col.isin(*c.values), col))
+                distinct_used = True
+            else:
+                parts.append(single(c))
+                continue
+            aggs.append(expr.alias(f"_{len(in_pass)}"))
+            in_pass.append(c)
         rows = F.explode(F.array(*[F.struct(F.lit(c.name or c.kind).alias("check"),
                                             F.lit(model).alias("model"),
                                             F.lit(c.column).alias("column"),
                                             F.col(f"_{i}").cast("bigint").alias("failures"))
-                                   for i, c in enumerate(cs)]))
-        parts.insert(0, counts.select(rows.alias("r")).select("r.*"))
+                                   for i, c in enumerate(in_pass)]))
+        parts.insert(0, models[model].agg(*aggs).select(rows.alias("r")).select("r.*"))
     report = reduce(lambda a, b: a.unionByName(b), parts)
     return report.withColumn("passed", F.col("failures") == 0)
