@@ -60,3 +60,22 @@ def test_streaming_dedup_within_watermark(spark):
          .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("SELECT * FROM dedup_out").count() == 11
+
+
+def test_silence_heartbeat(spark):
+    import time
+    from changeloom.streaming.monitor import start_silence_monitor
+    base = tempfile.mkdtemp(prefix="cl-silence-")
+    # a landed log whose last event is long ago
+    msgs = [_msg(1, 1), _msg(2, 2)]
+    df = spark.createDataFrame(msgs, MESSAGE_SCHEMA)
+    valid, _ = parse_change_events(df, consumed_at=F.lit("2024-01-01 00:00:00"))
+    valid.write.parquet(f"{base}/raw")
+    q = start_silence_monitor(spark, f"{base}/raw", f"{base}/alerts", f"{base}/ck",
+                              minutes=30, interval="1 second")
+    deadline = time.time() + 60
+    while time.time() < deadline and not os.path.exists(f"{base}/alerts/_SUCCESS"):
+        time.sleep(1)
+    q.stop()
+    alerts = spark.read.parquet(f"{base}/alerts").collect()
+    assert alerts and alerts[0].source_table == "users" and alerts[0].minutes_silent > 30
