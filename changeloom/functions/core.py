@@ -20,19 +20,25 @@ def hash60(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
 
 
+# All epoch conversions are NTZ arithmetic from the epoch, so they do not
+# depend on the session time zone (UTC wall clock in, UTC wall clock out).
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def micros_to_ts(c: Column) -> Column:
     """Epoch microseconds -> timestamp_ntz (UTC wall clock)."""
-    return F.timestamp_micros(c).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", c, _epoch())
 
 
 def millis_to_ts(c: Column) -> Column:
     """Epoch milliseconds -> timestamp_ntz (UTC wall clock)."""
-    return F.timestamp_millis(c).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", c * 1000, _epoch())
 
 
 def ts_to_micros(c: Column) -> Column:
-    """timestamp / timestamp_ntz -> epoch microseconds (session zone UTC)."""
-    return F.unix_micros(c.cast("timestamp"))
+    """timestamp_ntz -> epoch microseconds."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), c.cast("timestamp_ntz"))
 
 
 def flag(cond: Column) -> Column:

@@ -41,7 +41,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.functions import hash60, millis_to_ts, ts_to_micros
+from changeloom.functions import hash60, micros_to_ts, millis_to_ts, ts_to_micros
 from changeloom.schemas import PLANS, RAW_COLUMNS
 from changeloom.sources.tables import read_table
 
@@ -137,7 +137,7 @@ def plan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue plans plus one yearly price review per year with orders."""
     o = read_table(spark, sf_dir, "orders", ["o_orderdate"])
     base_ms = BASE_MICROS // 1000
-    years = (o.select(F.year(F.timestamp_micros(_shifted_micros("o_orderdate")))
+    years = (o.select(F.year(micros_to_ts(_shifted_micros("o_orderdate")))
                       .alias("year"))
              .distinct()
              .where(F.col("year") > 2024))
