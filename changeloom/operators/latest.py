@@ -27,3 +27,26 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list[str | Column] | No
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1)
             .drop("_rn"))
+
+
+def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str],
+                 order: list[str | Column] | None = None,
+                 broadcast_max_rows: int = 5_000_000) -> DataFrame:
+    """Upsert: the latest row per key over ``current`` plus ``updates``.
+
+    A late or out-of-order update never replaces a newer row (the order
+    decides, not the arrival).  Only keys present in ``updates`` are
+    recomputed; the others pass through without a shuffle when the touched
+    key set is small enough to broadcast.
+    """
+    from changeloom.operators.joins import sized_broadcast
+    cols = current.columns
+    touched = sized_broadcast(updates.select(*keys).distinct(), broadcast_max_rows)
+    cond = None
+    for k in keys:
+        c = current[k].eqNullSafe(touched[k])
+        cond = c if cond is None else cond & c
+    untouched = current.join(touched, cond, "left_anti")
+    hit = current.join(touched, cond, "left_semi")
+    merged = latest_by_key(hit.unionByName(updates.select(*cols)), keys, order)
+    return untouched.unionByName(merged)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from changeloom.functions import ts_to_micros
 from changeloom.operators.latest import latest_by_key
 from changeloom.operators.neighbors import with_neighbor
-from changeloom.schemas import EXPECTED_COLUMNS, expected_columns_rows
+from changeloom.schemas import DELETED_MARKER, EXPECTED_COLUMNS, expected_columns_rows
 
 POSITION = ["topic", "partition", "offset_value"]
 
@@ -26,13 +26,15 @@ def schema_drift(raw: DataFrame, expected: DataFrame) -> DataFrame:
     """Key inventory of the row images against the declared columns.
 
     ``status``: ``expected`` (declared and present), ``new`` (present, not
-    declared), ``missing`` (declared, never present).  Keys are counted with
+    declared), ``missing`` (declared, never present).  The connector's
+    delete marker is metadata, not a column, and is left out.  Keys are counted with
     partial aggregation; the declared table is small and fixed, so it is
     broadcast.
     """
     keys = (raw.where(F.col("after").isNotNull())
             .select("source_table", "ts_ms",
                     F.explode(F.json_object_keys("after")).alias("column_name"))
+            .where(F.col("column_name") != F.lit(DELETED_MARKER))
             .groupBy("source_table", "column_name")
             .agg(F.count(F.lit(1)).alias("events"), F.min("ts_ms").alias("first_ts_ms")))
     tables = raw.select("source_table").distinct()

@@ -351,6 +351,7 @@ BODIES.update({
         'not a JSON object' AS reason FROM e_raw WHERE event_id % 101 = 0""",
     "replay_dedup": "SELECT * FROM raw_log",
     "stream_landing": "SELECT * FROM raw_log",
+    "dim_users_incremental": "SELECT * FROM dim_users",
     "snapshot_bootstrap": """SELECT
         ('0x' || substr(md5('shop.public.users|' || partition || '|' || offset_value), 1, 15))::BIGINT AS cdc_id,
         topic, partition, offset_value, 'r' AS op, 'users' AS source_table, NULL::VARCHAR AS before,
@@ -368,7 +369,7 @@ BODIES.update({
           coalesce(a.events, 0) AS events, a.first_ts_ms
         FROM (SELECT source_table, column_name, count(*) AS events, min(ts_ms) AS first_ts_ms
               FROM (SELECT source_table, ts_ms, unnest(json_keys(after)) AS column_name
-                    FROM raw_log WHERE after IS NOT NULL) GROUP BY ALL) a
+                    FROM raw_log WHERE after IS NOT NULL) WHERE column_name <> '__deleted' GROUP BY ALL) a
         FULL JOIN (SELECT *, true AS declared FROM (VALUES {_expected_rows}) t(source_table, column_name)
                    WHERE source_table IN (SELECT DISTINCT source_table FROM raw_log)) e
         USING (source_table, column_name)""",

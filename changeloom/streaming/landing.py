@@ -78,3 +78,28 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """The landed raw log (``RAW_SCHEMA`` + batch_id), replays removed."""
     df = spark.read.parquet(path)
     return dedup_offsets(df).select(*RAW_COLUMNS, "batch_id")
+
+
+def start_latest_upsert(rows: DataFrame, base: str, keys: list[str], checkpoint: str,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Keep a latest-state table current from a stream of staged rows.
+
+    Every micro-batch is merged into the newest version under ``base``
+    (newest ``cdc_ts_ms`` wins, ties by ``cdc_id``) and written as the next
+    version; a replayed batch re-applies the same rows and yields the same
+    state.
+    """
+    from changeloom.operators.latest import latest_by_key, merge_latest
+    from changeloom.sources.files import publish_versioned, read_versioned
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        current = read_versioned(spark, base)
+        nxt = (latest_by_key(batch, keys) if current is None
+               else merge_latest(current, batch, keys))
+        publish_versioned(nxt, base)
+
+    return (rows.writeStream.foreachBatch(upsert)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start())

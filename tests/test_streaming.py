@@ -79,3 +79,22 @@ def test_silence_heartbeat(spark):
     q.stop()
     alerts = spark.read.parquet(f"{base}/alerts").collect()
     assert alerts and alerts[0].source_table == "users" and alerts[0].minutes_silent > 30
+
+
+def test_latest_upsert_out_of_order(spark):
+    from changeloom.sources.files import read_versioned
+    from changeloom.streaming.landing import start_latest_upsert
+    base = tempfile.mkdtemp(prefix="cl-upsert-")
+    schema = "user_id bigint, email string, cdc_ts_ms bigint, cdc_id bigint"
+    # batch 1 holds the newest event of user 1; batch 2 brings an older one late
+    spark.createDataFrame([(1, "new@x", 200, 1), (2, "b@x", 100, 2)], schema) \
+        .coalesce(1).write.parquet(f"{base}/in/b1")
+    spark.createDataFrame([(1, "old@x", 150, 3), (3, "c@x", 50, 4)], schema) \
+        .coalesce(1).write.parquet(f"{base}/in/b2")
+    rows = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{base}/in/*"))
+    q = start_latest_upsert(rows, f"{base}/dim", ["user_id"], f"{base}/ck")
+    q.awaitTermination()
+    q.stop()
+    got = {r.user_id: r.email for r in read_versioned(spark, f"{base}/dim").collect()}
+    assert got == {1: "new@x", 2: "b@x", 3: "c@x"}
