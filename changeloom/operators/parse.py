@@ -53,51 +53,48 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
     keep_columns = keep_columns or []
     consumed = consumed_at if consumed_at is not None else F.current_timestamp()
     text = F.col("value").cast("string")
+    base = ["topic", "partition", "offset_value", "value", "consumed_at", *keep_columns]
 
-    def on_payload(top: Column, m: Column) -> Column:
-        # Truthiness of each prefixed field, evaluated once per message.
-        flags = F.struct(*[(~variant_falsy(m[META_PREFIX + f])).alias(f) for f, _ in _META])
-        return let(flags, lambda fl: on_flags(top, m, fl))
-
-    def on_flags(top: Column, m: Column, fl: Column) -> Column:
-        picks = {out: F.when(fl[f], m[META_PREFIX + f]).otherwise(m[f]) for f, out in _META}
-        # Keys leaving the row image: every prefixed field, and the plain
-        # field when its prefixed value was falsy.
-        removed = F.array(*[F.lit(META_PREFIX + f) for f, _ in _META],
-                          *[F.when(~fl[f], F.lit(f)) for f, _ in _META])
-        row_image = let(removed, lambda rm: F.map_filter(
-            m, lambda k, v: ~F.coalesce(F.array_contains(rm, k), F.lit(False))))
-        meta = F.struct(variant_text(picks["op"]).alias("op"),
-                        variant_text(picks["source_table"]).alias("source_table"),
-                        variant_long(picks["ts_ms"]).alias("ts_ms"))
-        return let(meta, lambda mt: on_meta(top, m, mt, row_image))
-
-    def on_meta(top: Column, m: Column, mt: Column, row_image: Column) -> Column:
-        op, table, ts = mt["op"], mt["source_table"], mt["ts_ms"]
-        reason = (F.when(top.isNull(), F.lit("not a JSON object"))
-                  .when(m.isNull(), F.lit("payload is not a JSON object"))
-                  .when(op.isNull(), F.lit("missing op"))
-                  .when(table.isNull(), F.lit("missing source_table"))
-                  .when(ts.isNull(), F.lit("missing or non-integer ts_ms")))
-        return F.struct(
-            op.alias("op"), table.alias("source_table"), ts.alias("ts_ms"),
-            F.when(op == F.lit("d"), F.lit(None).cast("string"))
-             .otherwise(F.to_json(row_image)).alias("after"),
-            reason.alias("reason"))
-
-    def on_top(top: Column) -> Column:
-        is_envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
-        # The payload's own JSON text (key order kept), parsed like a message.
-        inner = F.from_json(text, "struct<payload:string>")["payload"]
-        payload = F.when(is_envelope, _object(inner)).otherwise(top)
-        return let(payload, lambda m: on_payload(top, m))
-
-    parsed = messages.select(
+    # Staged projections: each stage computes its expensive values once as
+    # columns (a multiply referenced, non-trivial column is not inlined by the
+    # optimizer), so the chain stays linear and keeps code generation.
+    s1 = messages.select(
         "topic", "partition", F.col("offset").alias("offset_value"), "value",
-        consumed.cast("timestamp_ntz").alias("consumed_at"),
-        let(_object(text), on_top).alias("_p"), *keep_columns)
-    parsed = parsed.select("topic", "partition", "offset_value", "value", "consumed_at",
-                           "_p.*", *keep_columns)
+        consumed.cast("timestamp_ntz").alias("consumed_at"), *keep_columns,
+        _object(text).alias("_top"))
+    top = F.col("_top")
+    is_envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
+    inner = F.from_json(text, "struct<payload:string>")["payload"]
+    s2 = s1.select(*base, "_top",
+                   F.when(is_envelope, _object(inner)).otherwise(top).alias("_m"))
+    m = F.col("_m")
+    s3 = s2.select(*base, "_top", "_m",
+                   *[(~variant_falsy(m[META_PREFIX + f])).alias(f"_f_{f}") for f, _ in _META])
+    picks = {out: F.when(F.col(f"_f_{f}"), m[META_PREFIX + f]).otherwise(m[f])
+             for f, out in _META}
+    # Keys leaving the row image: every prefixed field, and the plain field
+    # when its prefixed value was falsy.
+    removed = F.array(*[F.lit(META_PREFIX + f) for f, _ in _META],
+                      *[F.when(~F.col(f"_f_{f}"), F.lit(f)) for f, _ in _META])
+    s4 = s3.select(*base, "_top", "_m",
+                   variant_text(picks["op"]).alias("op"),
+                   variant_text(picks["source_table"]).alias("source_table"),
+                   variant_long(picks["ts_ms"]).alias("ts_ms"),
+                   let(removed, lambda rm: F.map_filter(
+                       m, lambda k, v: ~F.coalesce(F.array_contains(rm, k), F.lit(False))))
+                   .alias("_image"))
+    op, table, ts = F.col("op"), F.col("source_table"), F.col("ts_ms")
+    reason = (F.when(top.isNull(), F.lit("not a JSON object"))
+              .when(m.isNull(), F.lit("payload is not a JSON object"))
+              .when(op.isNull(), F.lit("missing op"))
+              .when(table.isNull(), F.lit("missing source_table"))
+              .when(ts.isNull(), F.lit("missing or non-integer ts_ms")))
+    parsed = s4.select(
+        "topic", "partition", "offset_value", "value", "consumed_at", "op", "source_table",
+        "ts_ms",
+        F.when(op == F.lit("d"), F.lit(None).cast("string"))
+         .otherwise(F.to_json(F.col("_image"))).alias("after"),
+        reason.alias("reason"), *keep_columns)
 
     # Split with a generator instead of a filter: filter pushdown would copy
     # the whole parse into the predicate and evaluate it twice per message.
