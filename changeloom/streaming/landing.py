@@ -44,6 +44,8 @@ def read_change_stream(spark: SparkSession, fmt: str, options: dict[str, str],
 def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
                   consumed_at: Column | None):
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():          # an empty poll writes nothing
+            return
         batch.persist()
         try:
             valid, rejected = parse_change_events(batch, consumed_at=consumed_at)
