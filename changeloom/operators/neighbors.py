@@ -2,11 +2,14 @@
 
 ``lead``/``lag`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; a key holding a third of the data would then be one task.  Here
-the window runs per ``(key, bucket)`` where ``bucket`` is a coarse function
-of the leading order column (for example the hour of a timestamp), and only
-the rows at bucket edges look across buckets, through a small per-bucket
-boundary table (one row per key and bucket).  The result equals the plain
-window's.
+keys with more than ``hot_rows`` rows are found first (a partial
+aggregation; their number is bounded by ``rows / hot_rows``, so the set is
+broadcast behind a size check).  Only those keys are split: their window
+runs per ``(key, bucket)`` where ``bucket`` is a coarse function of the
+leading order column (for example the hour of a timestamp), and the rows at
+bucket edges look across buckets through a small boundary table (hot keys x
+buckets).  All other keys run the ordinary window in one piece.  The result
+equals the plain window's.
 """
 
 from __future__ import annotations
@@ -14,42 +17,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeloom.operators.joins import sized_broadcast
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        part = left[c].eqNullSafe(right[c])
-        cond = part if cond is None else cond & part
-    return cond
+# Keys with more rows than this are split by bucket.
+DEFAULT_HOT_ROWS = 1_000_000
+# Upper bound on the broadcast hot-key / boundary tables.
+HOT_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def with_neighbor(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
-                  values: list[str], direction: str = "next", prefix: str | None = None
-                  ) -> DataFrame:
+                  values: list[str], direction: str = "next", prefix: str | None = None,
+                  hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Add ``<prefix><v>`` for each ``v`` in ``values``: the value on the next
     (``direction="next"``) or previous (``"prev"``) row of the same key in
     ascending ``order``.  ``bucket`` must be non-decreasing in ``order``.
+    ``hot_rows=None`` splits every key by bucket.
     """
     prefix = prefix or f"{direction}_"
     fn = F.lead if direction == "next" else F.lag
-    b = df.withColumn("_bkt", bucket)
+
+    if hot_rows is None:
+        b = df.withColumn("_hot", F.lit(True))
+    else:
+        hk = [f"_hk{i}" for i in range(len(keys))]
+        hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > hot_rows)
+               .select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], F.lit(True).alias("_hot")))
+        h = sized_broadcast(hot, HOT_BROADCAST_MAX_ROWS)
+        cond = None
+        for k, a in zip(keys, hk):
+            part = F.col(k).eqNullSafe(F.col(a))
+            cond = part if cond is None else cond & part
+        b = (df.join(h, cond, "left")
+             .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+             .drop(*hk))
+    b = b.withColumn("_bkt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("bigint")))
     w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     for v in values:
         b = b.withColumn(prefix + v, fn(F.col(v)).over(w))
-    b = b.withColumn("_edge", fn(F.lit(1)).over(w).isNull())
+    b = b.withColumn("_edge", F.col("_hot") & fn(F.lit(1)).over(w).isNull())
 
-    # Boundary table: first (for "next") or last (for "prev") row per bucket.
+    # Boundary table (hot keys only): first (for "next") or last (for
+    # "prev") row per bucket, then the neighbouring bucket's one.
     row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                    *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
     pick = F.min(row) if direction == "next" else F.max(row)
-    edges = df.withColumn("_bkt", bucket).groupBy(*keys, "_bkt").agg(pick.alias("_r"))
+    edges = (b.where(F.col("_hot")).groupBy(*keys, "_bkt").agg(pick.alias("_r")))
     wb = Window.partitionBy(*keys).orderBy("_bkt")
     cross = fn(F.col("_r")).over(wb)
-    edges = edges.select(*keys, "_bkt",
+    ek = [f"_ek{i}" for i in range(len(keys))]
+    edges = edges.select(*[F.col(k).alias(a) for k, a in zip(keys, ek)],
+                         F.col("_bkt").alias("_ebkt"),
                          *[cross[f"_v{i}"].alias(f"_x{i}") for i in range(len(values))])
-    e = edges.alias("_e")
-    joined = b.join(e, _null_safe_on(b, e, keys + ["_bkt"]) & b["_edge"], "left")
-    out = [b[c] for c in b.columns if c not in ("_bkt", "_edge") and not c.startswith(prefix)]
-    fixed = [F.when(b["_edge"], F.col(f"_e._x{i}")).otherwise(b[prefix + v]).alias(prefix + v)
+    cond = F.col("_edge") & (F.col("_bkt") == F.col("_ebkt"))
+    for k, a in zip(keys, ek):
+        cond = cond & F.col(k).eqNullSafe(F.col(a))
+    joined = b.join(edges, cond, "left")
+    out = [F.col(c) for c in b.columns
+           if c not in ("_bkt", "_edge", "_hot") and not c.startswith(prefix)]
+    fixed = [F.when(F.col("_edge"), F.col(f"_x{i}")).otherwise(F.col(prefix + v)).alias(prefix + v)
              for i, v in enumerate(values)]
     return joined.select(*out, *fixed)

@@ -18,13 +18,17 @@ def _data(spark):
                     (F.col("id") * 3).alias("v")))
 
 
-def test_next_and_prev_match_window(spark):
+import pytest
+
+
+@pytest.mark.parametrize("hot_rows", [None, 100, 10_000_000])
+def test_next_and_prev_match_window(spark, hot_rows):
     df = _data(spark)
     bucket = F.floor(F.col("t") / 50)
     w = Window.partitionBy("k").orderBy("t", "tie")
     expect = df.select("k", "t", "tie", F.lead("v").over(w).alias("next_v"),
                        F.lag("v").over(w).alias("prev_v"))
-    got_n = with_neighbor(df, ["k"], ["t", "tie"], bucket, ["v"], "next")
-    got_p = with_neighbor(df, ["k"], ["t", "tie"], bucket, ["v"], "prev")
+    got_n = with_neighbor(df, ["k"], ["t", "tie"], bucket, ["v"], "next", hot_rows=hot_rows)
+    got_p = with_neighbor(df, ["k"], ["t", "tie"], bucket, ["v"], "prev", hot_rows=hot_rows)
     got = got_n.join(got_p.select("tie", "prev_v"), "tie").select("k", "t", "tie", "next_v", "prev_v")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expect.collect()), key=repr)
