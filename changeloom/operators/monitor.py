@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import ts_to_micros
 from changeloom.operators.latest import latest_by_key
-from changeloom.operators.neighbors import with_neighbor
+from changeloom.operators.neighbors import DEFAULT_HOT_ROWS, mark_hot, with_neighbor
 from changeloom.schemas import DELETED_MARKER, EXPECTED_COLUMNS, expected_columns_rows
 
 POSITION = ["topic", "partition", "offset_value"]
@@ -131,24 +131,28 @@ def dedup_offsets(df: DataFrame, watermark: str | None = None) -> DataFrame:
     return latest_by_key(df, POSITION, [F.col("consumed_at").asc(), F.col("cdc_id").asc()])
 
 
-def late_events(events: DataFrame, key: str) -> DataFrame:
+def late_events(events: DataFrame, key: str, hot_rows: int | None = DEFAULT_HOT_ROWS
+                ) -> DataFrame:
     """Events consumed after a newer event (higher ``cdc_ts_ms``) of the same
     key -> the event plus ``newer_ts_ms`` (the highest ts seen before it).
 
-    Running maximum per key, split by day of consumption: within a day the
-    window runs per (key, day); earlier days contribute their maxima through
-    a per-(key, day) table.
+    A running maximum per key.  Keys with more than ``hot_rows`` events are
+    split by day of consumption: within a day the window runs per (key, day);
+    earlier days contribute their maxima through a per-(hot key, day) table.
     """
     order = ["cdc_consumed_at", "cdc_ts_ms", "cdc_id"]
-    day = F.floor(ts_to_micros(F.col("cdc_consumed_at")) / 86_400_000_000)
-    e = events.withColumn("_d", day)
+    day = F.floor(ts_to_micros(F.col("cdc_consumed_at")) / 86_400_000_000).cast("bigint")
+    e = mark_hot(events, [key], hot_rows)
+    e = e.withColumn("_d", F.when(F.col("_hot"), day).otherwise(F.lit(0).cast("bigint")))
     w = Window.partitionBy(key, "_d").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     e = e.withColumn("_in_day", F.max("cdc_ts_ms").over(w))
-    days = e.groupBy(key, "_d").agg(F.max("cdc_ts_ms").alias("_dmax"))
+    days = e.where(F.col("_hot")).groupBy(key, "_d").agg(F.max("cdc_ts_ms").alias("_dmax"))
     wd = Window.partitionBy(key).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(key, "_d", F.max("_dmax").over(wd).alias("_before"))
-    j = e.join(days, [key, "_d"], "left") if key else e
+    days = days.select(F.col(key).alias("_dk"), F.col("_d").alias("_dd"),
+                       F.max("_dmax").over(wd).alias("_before"))
+    cond = F.col("_hot") & F.col(key).eqNullSafe(F.col("_dk")) & (F.col("_d") == F.col("_dd"))
+    j = e.join(days, cond, "left")
     newer = F.greatest(F.col("_in_day"), F.col("_before"))
     return (j.withColumn("newer_ts_ms", newer)
             .where(F.col("newer_ts_ms") > F.col("cdc_ts_ms"))
-            .drop("_d", "_in_day", "_before"))
+            .drop("_d", "_in_day", "_before", "_hot", "_dk", "_dd"))

@@ -25,6 +25,25 @@ DEFAULT_HOT_ROWS = 1_000_000
 HOT_BROADCAST_MAX_ROWS = 2_000_000
 
 
+def mark_hot(df: DataFrame, keys: list[str], hot_rows: int | None) -> DataFrame:
+    """Add ``_hot``: the row's key has more than ``hot_rows`` rows (all rows
+    when ``hot_rows`` is None).  NULL keys form one group."""
+    if hot_rows is None:
+        return df.withColumn("_hot", F.lit(True))
+    hk = [f"_hk{i}" for i in range(len(keys))]
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows)
+           .select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], F.lit(True).alias("_hot")))
+    h = sized_broadcast(hot, HOT_BROADCAST_MAX_ROWS)
+    cond = None
+    for k, a in zip(keys, hk):
+        part = F.col(k).eqNullSafe(F.col(a))
+        cond = part if cond is None else cond & part
+    return (df.join(h, cond, "left")
+            .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+            .drop(*hk))
+
+
 def with_neighbor(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
                   values: list[str], direction: str = "next", prefix: str | None = None,
                   hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -36,21 +55,7 @@ def with_neighbor(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     prefix = prefix or f"{direction}_"
     fn = F.lead if direction == "next" else F.lag
 
-    if hot_rows is None:
-        b = df.withColumn("_hot", F.lit(True))
-    else:
-        hk = [f"_hk{i}" for i in range(len(keys))]
-        hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > hot_rows)
-               .select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], F.lit(True).alias("_hot")))
-        h = sized_broadcast(hot, HOT_BROADCAST_MAX_ROWS)
-        cond = None
-        for k, a in zip(keys, hk):
-            part = F.col(k).eqNullSafe(F.col(a))
-            cond = part if cond is None else cond & part
-        b = (df.join(h, cond, "left")
-             .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-             .drop(*hk))
+    b = mark_hot(df, keys, hot_rows)
     b = b.withColumn("_bkt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("bigint")))
     w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     for v in values:
