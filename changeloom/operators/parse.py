@@ -16,7 +16,11 @@ Python per message):
 * rows missing a required field (op, source_table, ts_ms) are rejected with
   a reason instead of failing the whole batch.
 
-Work is one narrow projection per message: no shuffle, fully parallel.
+Work is a chain of narrow projections per message: no shuffle, fully
+parallel.  Each stage computes its expensive values once as columns, and the
+valid / rejected split is a generator rather than a filter, so the optimizer
+never copies the JSON parse into a predicate (plans stay linear in size and
+every message is parsed once).
 """
 
 from __future__ import annotations
