@@ -225,6 +225,17 @@ def dim_users_incremental(spark: SparkSession, d: str) -> DataFrame:
     return merged.select(*marts.DIM_USER_COLUMNS)
 
 
+def pipeline_run(spark: SparkSession, d: str) -> DataFrame:
+    """One scheduled run (marts -> snapshots -> tests) over the change log,
+    written under the shared checkpoint folder; returns the run log.  The
+    log holds wall-clock seconds, so it has no oracle (rows-only check)."""
+    import uuid
+    from changeloom.plans.pipeline import run_pipeline
+    from changeloom.session import checkpoint_dir
+    out = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    return run_pipeline(spark, raw(spark, d), out)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "raw_change_log": raw,
@@ -265,5 +276,6 @@ def registry() -> dict[str, Query]:
         "stream_landing": stream_landing,
         "snapshot_bootstrap": snapshot_bootstrap,
         "dim_users_incremental": dim_users_incremental,
+        "pipeline_run": pipeline_run,
     })
     return q
