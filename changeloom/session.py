@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,20 +54,50 @@ def get_spark(app: str = "changeloom", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster this setting must point at shared storage; without it the
+    call fails, because a folder of one machine is invisible to the others.
+    Only a local master (tests, single machine) gets a scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver "
+                               f"and all executors share (master is {master!r})")
         current = tempfile.mkdtemp(prefix="changeloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - remote (Connect) sessions use the conf
-        pass
+    spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table: one folder per application below
+    the shared checkpoint folder, so it can be removed when the run is over."""
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark).rstrip('/')}/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read
+    it back: cuts the lineage, survives lost executors, prunes on re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path (any file system Spark can reach)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing lazy depends on any more."""
+    for t in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            remove_path(t.sparkSession, folder)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its
     lineage (reliable checkpoint: survives the loss of executors)."""
