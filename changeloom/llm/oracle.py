@@ -15,6 +15,36 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id,
 FROM d
 """
 
+OP6 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM g
+"""
+
+OP8 = r"""
+WITH rules(h, p, v) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+  FROM parts JOIN rules ON (host = h OR suffix(host, '.' || h)) AND prefix(path, p) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN fits USING (page_id)
+"""
+
 # Targets: the water level is the first one, by cap per weight, that is not filled.
 OP7 = f"""
 WITH sized AS (
@@ -77,4 +107,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLE_SQL = {"op5_exact_dedup": OP5, "op7_mix_sources": OP7, "op10_quality_rules": OP10}
+ORACLE_SQL = {"op5_exact_dedup": OP5, "op6_warc": OP6, "op8_url_filter": OP8,
+              "op7_mix_sources": OP7, "op10_quality_rules": OP10}

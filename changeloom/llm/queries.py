@@ -7,23 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import exact, mixing, oracle, packing, quality
+from changeloom.llm import exact, html, langid, mixing, oracle, packing, quality, urls, warc
 from changeloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, d: str) -> DataFrame:
+    pages = read_table(spark, d, "pages", ["page_id", "url", "html"])
+    return html.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+def op2_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identify(read_table(spark, d, "documents", ["doc_id", "text", "lang"]))
+
+
 def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
     return exact.exact_dedup(docs, keep="largest").select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))
 
 
+def op6_warc(spark: SparkSession, d: str) -> DataFrame:
+    pages = read_table(spark, d, "pages", ["page_id", "url", "html"])
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest",
+                                         "record_type", "refers_to")
+
+
 def op7_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents", ["doc_id", "text", "source"])
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    pages = read_table(spark, d, "pages", ["page_id", "url"])
+    return urls.judge_urls(pages, urls.rule_table(spark))
+
+
 def op9_packing(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
     return packing.pack(docs).select(
@@ -40,7 +60,9 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_exact_dedup, op7_mix_sources, op9_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (
+        op1_main_text, op2_language_id, op5_exact_dedup, op6_warc, op7_mix_sources, op8_url_filter,
+        op9_packing, op10_quality_rules)}
 
 
 def oracle_queries() -> dict[str, str]:
