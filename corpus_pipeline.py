@@ -10,16 +10,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import exact, mixing, packing
+from changeloom.llm import exact, langid, mixing, near, packing
 from changeloom.session import stage as written
 from changeloom.sources.tables import read_table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model names with a fair score stay
+    (operator 2); those without a letter, or unclear, go."""
+    judged = langid.identify(docs)
+    gone = judged.where(~langid.accepted()).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays (operator 5)."""
     return exact.drop_duplicates(docs, keep="largest")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (operator 4)."""
+    return near.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out to meet the target weights (operator 7)."""
     return mixing.take_mix(docs)
@@ -32,7 +45,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
     ("pack", pack),
 ]
