@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import exact, html, langid, mixing, near, oracle, packing, quality, urls, warc
+from changeloom.llm import exact, html, langid, lm, mixing, near, oracle, packing, quality, urls, warc
 from changeloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(read_table(spark, d, "documents", ["doc_id", "text", "lang"]))
 
 
+def op3_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return lm.score_texts(read_table(spark, d, "documents", ["doc_id", "text"]))
+
+
 def op4_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near.near_duplicates(read_table(spark, d, "documents", ["doc_id", "text"]))
 
@@ -65,7 +69,7 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_main_text, op2_language_id, op4_near_dedup, op5_exact_dedup, op6_warc, op7_mix_sources, op8_url_filter,
+        op1_main_text, op2_language_id, op3_lm_score, op4_near_dedup, op5_exact_dedup, op6_warc, op7_mix_sources, op8_url_filter,
         op9_packing, op10_quality_rules)}
 
 
