@@ -77,8 +77,10 @@ def dedup_map_last(m: Column) -> Column:
 
 
 def variant_text(v: Column) -> Column:
-    """Variant as text: strings unquoted, other values as JSON text."""
-    return let(v, lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x)))
+    """Variant as text: strings unquoted, other values as JSON text; a JSON
+    null is NULL."""
+    return let(v, lambda x: F.when(
+        ~F.is_variant_null(x), F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x))))
 
 
 def variant_long(v: Column) -> Column:

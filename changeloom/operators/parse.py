@@ -38,23 +38,62 @@ _META = [("op", "op"), ("table", "source_table"), ("ts_ms", "ts_ms")]
 
 
 def _object(text: Column) -> Column:
-    """JSON text -> map of its top-level keys (NULL unless an object)."""
-    return dedup_map_last(F.from_json(text, _MAP))
+    """JSON text -> map of its top-level keys (NULL unless an object).
+
+    The text is parsed as the only item of an array: text behind the object
+    breaks the array or adds an item, so the whole text must be consumed.  An
+    array bracket behind the object would close the wrapper early; only texts
+    with such a pair are parsed a second time, inside an object.
+    """
+    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_MAP}>")
+    inside = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), f"struct<x:{_MAP}>")["x"]
+    closes_early = text.rlike(r"\}\s*\]") & inside.isNull()
+    return dedup_map_last(let(wrapped, lambda a: F.when((F.size(a) == 1) & ~closes_early, a[0])))
 
 
 def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
                         keep_columns: list[str] | None = None
                         ) -> tuple[DataFrame, DataFrame]:
     """Split messages ``(topic, partition, offset, value[, timestamp])`` into
-    ``(valid, rejected)``.
+    ``(valid, rejected)``; see ``parse_messages``.
+    """
+    parsed = parse_messages(messages, consumed_at, keep_columns)
+
+    # Split with a generator instead of a filter: filter pushdown would copy
+    # the whole parse into the predicate and evaluate it twice per message.
+    def split(keep_valid: bool) -> DataFrame:
+        rows = F.filter(F.array(F.struct(*[F.col(c) for c in parsed.columns])),
+                        lambda r: r["reason"].isNull() if keep_valid else r["reason"].isNotNull())
+        return parsed.select(F.inline(rows))
+
+    return valid_rows(split(True), keep_columns), rejected_rows(split(False), keep_columns)
+
+
+def valid_rows(parsed: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
+    """The raw change-log rows of parsed messages without a reason."""
+    return (parsed.withColumn("before", F.lit(None).cast("string"))
+            .withColumn("cdc_id", hash60("topic", "partition", "offset_value"))
+            .select(*RAW_COLUMNS, *(keep_columns or [])))
 
-    ``valid`` has the raw change-log schema; ``cdc_id`` is a hash of the
-    message position, so a replayed message keeps its id.  ``rejected`` has
-    ``topic, partition, offset_value, value, reason``.  ``consumed_at``
+
+def rejected_rows(parsed: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
+    return parsed.select("topic", "partition", "offset_value", "value", "reason", *(keep_columns or []))
+
+
+def parse_messages(messages: DataFrame, consumed_at: Column | None = None,
+                   keep_columns: list[str] | None = None) -> DataFrame:
+    """Every message parsed once, with ``reason`` (NULL when it is valid).
+
+    ``valid_rows`` has the raw change-log schema; ``cdc_id`` is a hash of the
+    message position, so a replayed message keeps its id.  ``rejected_rows`` has
+    ``topic, partition, offset_value, value, reason``.  Of duplicate keys, also
+    in nested objects, the last value counts (a session setting of the variant
+    reader, switched on here).  ``consumed_at``
     defaults to the current time; pass a column (e.g. the message timestamp)
     for reproducible output.
     """
     keep_columns = keep_columns or []
+    messages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     consumed = consumed_at if consumed_at is not None else F.current_timestamp()
     text = F.col("value").cast("string")
     base = ["topic", "partition", "offset_value", "value", "consumed_at", *keep_columns]
@@ -68,9 +107,11 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
         _object(text).alias("_top"))
     top = F.col("_top")
     is_envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
-    inner = F.from_json(text, "struct<payload:string>")["payload"]
+    # A variant sorts the keys of an object; the payload is parsed into a map of
+    # its own, in one step, so that the row image keeps their order.
+    inner = dedup_map_last(F.from_json(text, f"struct<payload:{_MAP}>")["payload"])
     s2 = s1.select(*base, "_top",
-                   F.when(is_envelope, _object(inner)).otherwise(top).alias("_m"))
+                   F.when(is_envelope, inner).otherwise(top).alias("_m"))
     m = F.col("_m")
     s3 = s2.select(*base, "_top", "_m",
                    *[(~variant_falsy(m[META_PREFIX + f])).alias(f"_f_{f}") for f, _ in _META])
@@ -93,24 +134,9 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
               .when(op.isNull(), F.lit("missing op"))
               .when(table.isNull(), F.lit("missing source_table"))
               .when(ts.isNull(), F.lit("missing or non-integer ts_ms")))
-    parsed = s4.select(
+    return s4.select(
         "topic", "partition", "offset_value", "value", "consumed_at", "op", "source_table",
         "ts_ms",
         F.when(op == F.lit("d"), F.lit(None).cast("string"))
          .otherwise(F.to_json(F.col("_image"))).alias("after"),
         reason.alias("reason"), *keep_columns)
-
-    # Split with a generator instead of a filter: filter pushdown would copy
-    # the whole parse into the predicate and evaluate it twice per message.
-    def split(keep_valid: bool) -> DataFrame:
-        rows = F.filter(F.array(F.struct(*[F.col(c) for c in parsed.columns])),
-                        lambda r: r["reason"].isNull() if keep_valid else r["reason"].isNotNull())
-        return parsed.select(F.inline(rows))
-
-    valid = (split(True)
-             .withColumn("before", F.lit(None).cast("string"))
-             .withColumn("cdc_id", hash60("topic", "partition", "offset_value"))
-             .select(*RAW_COLUMNS, *keep_columns))
-    rejected = (split(False)
-                .select("topic", "partition", "offset_value", "value", "reason", *keep_columns))
-    return valid, rejected

@@ -21,23 +21,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.operators.monitor import batch_stats, dedup_offsets
-from changeloom.operators.parse import parse_change_events
+from changeloom.operators.parse import parse_messages, rejected_rows, valid_rows
 from changeloom.schemas import MESSAGE_SCHEMA, RAW_COLUMNS
 
-DEFAULT_BATCH_RECORDS = 100
-
 
 def read_change_stream(spark: SparkSession, fmt: str, options: dict[str, str],
                        path: str | None = None) -> DataFrame:
-    """Streaming DataFrame ``(topic, partition, offset, value, timestamp)``."""
+    """Streaming DataFrame ``(topic, partition, offset, value, timestamp)``.
+
+    Bound a micro-batch with ``maxOffsetsPerTrigger`` (Kafka) or
+    ``maxFilesPerTrigger`` (files) in ``options``; unset, a trigger takes all
+    there is, so the stream can always catch up.
+    """
     if fmt == "kafka":
-        opts = {"startingOffsets": "earliest",
-                "maxOffsetsPerTrigger": str(DEFAULT_BATCH_RECORDS), **options}
+        opts = {"startingOffsets": "earliest", **options}
         df = spark.readStream.format("kafka").options(**opts).load()
         return df.select("topic", "partition", "offset", F.col("value").cast("string"),
                          F.col("timestamp").cast("timestamp_ntz"))
-    opts = {"maxFilesPerTrigger": "1", **options}
-    reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA).options(**opts)
+    reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA).options(**options)
     return reader.load(path) if path else reader.load()
 
 
@@ -46,10 +47,13 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():          # an empty poll writes nothing
             return
-        batch.persist()
+        # One parse per batch: the parsed rows are kept, valid and rejected
+        # ones are plain filters of them.
+        parsed = parse_messages(batch, consumed_at=consumed_at).persist()
         try:
-            valid, rejected = parse_change_events(batch, consumed_at=consumed_at)
-            (valid.write.mode("overwrite").partitionBy("source_table")
+            valid = valid_rows(parsed.where("reason IS NULL"))
+            rejected = rejected_rows(parsed.where("reason IS NOT NULL"))
+            (valid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source_table")
              .parquet(f"{path}/batch_id={batch_id}"))
             if rejects_path:
                 rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
@@ -57,7 +61,7 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
                 (batch_stats(valid, F.lit(batch_id).cast("bigint").alias("batch_id"))
                  .write.mode("overwrite").parquet(f"{stats_path}/batch_id={batch_id}"))
         finally:
-            batch.unpersist()
+            parsed.unpersist()
     return write
 
 
@@ -77,9 +81,19 @@ def start_landing(messages: DataFrame, path: str, checkpoint: str,
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """The landed raw log (``RAW_SCHEMA`` + batch_id), replays removed."""
+    """The landed raw log (``RAW_SCHEMA`` + batch_id), replays removed.
+
+    The source table is part of the dedup key (a position has one table), so
+    a filter on it passes below the dedup and prunes the folders read."""
     df = spark.read.parquet(path)
-    return dedup_offsets(df).select(*RAW_COLUMNS, "batch_id")
+    return dedup_offsets(df, ["source_table"]).select(*RAW_COLUMNS, "batch_id")
+
+
+def compact_landed(spark: SparkSession, path: str, out: str) -> None:
+    """Rewrite the landed batches as one log without replays, ordered like
+    ``write_raw``: later reads need neither the dedup nor many small folders."""
+    from changeloom.sources.files import write_raw
+    write_raw(read_landed(spark, path), out)
 
 
 def start_latest_upsert(rows: DataFrame, base: str, keys: list[str], checkpoint: str,

@@ -91,3 +91,21 @@ def test_replayed_message_keeps_id(spark):
     valid, _ = parse_change_events(df, consumed_at=F.lit("2025-01-01 00:00:00"))
     ids = [r.cdc_id for r in valid.orderBy("partition").collect()]
     assert ids[0] == ids[1] != ids[2]
+
+
+def test_whole_text_nulls_and_nested_duplicates(spark):
+    ok = json.dumps({"id": 1, "op": "c", "table": "t", "ts_ms": 5})
+    values = [ok + " trailing", ok + ok, ok + "," + ok, ok + "]}", ok + " \n",
+              '{"id":1,"op":null,"table":"t","ts_ms":5}', '{"id":1,"op":"c","table":null,"ts_ms":5}',
+              '{"id":{"a":1,"a":2},"op":"c","table":"t","ts_ms":5}',
+              '{"l":[{"z":1}],"op":"c","table":"t","ts_ms":5}',
+              '{"id":1,"__deleted":"false","op":"u","table":"t","ts_ms":5}',
+              '{"schema":{},"payload":{"b":1,"a":{"y":1,"y":2},"op":"c","table":"t","ts_ms":5}}']
+    valid, rejected = _parse(spark, values)
+    assert {i: rejected[i].reason for i in (1, 2, 3, 4)} == dict.fromkeys((1, 2, 3, 4), "not a JSON object")
+    assert valid[5].source_table == "t"
+    assert rejected[6].reason == "missing op" and rejected[7].reason == "missing source_table"
+    assert json.loads(valid[8].after) == {"id": {"a": 2}}
+    assert json.loads(valid[9].after) == {"l": [{"z": 1}]}
+    assert json.loads(valid[10].after) == {"id": 1, "__deleted": "false"}
+    assert list(json.loads(valid[11].after)) == ["b", "a"] and json.loads(valid[11].after)["a"] == {"y": 2}
