@@ -22,21 +22,27 @@ def expected_columns(spark: SparkSession) -> DataFrame:
                                  "source_table string, column_name string, declared_type string")
 
 
-def schema_drift(raw: DataFrame, expected: DataFrame) -> DataFrame:
+def schema_drift(raw: DataFrame, expected: DataFrame, since_ts_ms: int | None = None) -> DataFrame:
     """Key inventory of the row images against the declared columns.
 
     ``status``: ``expected`` (declared and present), ``new`` (present, not
-    declared), ``missing`` (declared, never present).  The connector's
+    declared), ``missing`` (declared, not present).  With ``since_ts_ms`` only
+    events from that time on are judged, so a column that was renamed or
+    dropped earlier shows as missing, and ``last_ts_ms`` tells when a key was
+    seen last.  The connector's
     delete marker is metadata, not a column, and is left out.  Keys are counted with
     partial aggregation; the declared table is small and fixed, so it is
     broadcast.
     """
+    if since_ts_ms is not None:
+        raw = raw.where(F.col("ts_ms") >= since_ts_ms)
     keys = (raw.where(F.col("after").isNotNull())
             .select("source_table", "ts_ms",
                     F.explode(F.json_object_keys("after")).alias("column_name"))
             .where(F.col("column_name") != F.lit(DELETED_MARKER))
             .groupBy("source_table", "column_name")
-            .agg(F.count(F.lit(1)).alias("events"), F.min("ts_ms").alias("first_ts_ms")))
+            .agg(F.count(F.lit(1)).alias("events"), F.min("ts_ms").alias("first_ts_ms"),
+                 F.max("ts_ms").alias("last_ts_ms")))
     tables = raw.select("source_table").distinct()
     exp = F.broadcast(expected.select("source_table", "column_name"))
     declared = exp.join(tables, "source_table", "left_semi")
@@ -47,7 +53,7 @@ def schema_drift(raw: DataFrame, expected: DataFrame) -> DataFrame:
               .otherwise(F.lit("new")))
     return both.select("source_table", "column_name", status.alias("status"),
                        F.coalesce(F.col("events"), F.lit(0)).alias("events"),
-                       F.col("first_ts_ms"))
+                       F.col("first_ts_ms"), F.col("last_ts_ms"))
 
 
 def type_drift(raw: DataFrame, expected: dict[str, list[tuple[str, str]]] | None = None
@@ -97,38 +103,46 @@ def silence_gaps(raw: DataFrame, minutes: int = 30) -> DataFrame:
                     F.floor(gap_us / 60_000_000).cast("bigint").alias("minutes_silent")))
 
 
-def current_silence(raw: DataFrame, now: Column, minutes: int = 30) -> DataFrame:
-    """Tables whose last consumption is at least ``minutes`` before ``now``."""
+def current_silence(raw: DataFrame, now: Column, minutes: int = 30,
+                    tables: list[str] | None = None) -> DataFrame:
+    """Tables whose last consumption is at least ``minutes`` before ``now``,
+    and those of ``tables`` that never had an event (``last_event`` NULL)."""
     last = raw.groupBy("source_table").agg(F.max("consumed_at").alias("last_event"))
+    if tables:
+        declared = raw.sparkSession.createDataFrame([(t,) for t in tables], "source_table string")
+        last = declared.join(last, "source_table", "full")
     silent = F.floor((ts_to_micros(now) - ts_to_micros(F.col("last_event"))) / 60_000_000)
     return (last.select("source_table", "last_event", silent.cast("bigint").alias("minutes_silent"))
-            .where(F.col("minutes_silent") >= minutes))
+            .where(F.col("last_event").isNull() | (F.col("minutes_silent") >= minutes)))
 
 
 def batch_stats(batch: DataFrame, batch_col: Column | str) -> DataFrame:
     """Events per batch and source table, with a per-batch total row
-    (``source_table`` NULL)."""
+    (``is_total``, ``source_table`` NULL).  A NULL batch or table is a group
+    like any other."""
     b = batch.select(F.col(batch_col) if isinstance(batch_col, str) else batch_col,
                      "source_table")
     name = b.columns[0]
-    return (b.rollup(name, "source_table").agg(F.count(F.lit(1)).alias("events"))
-            .where(F.col(name).isNotNull()))
+    level = F.grouping_id()
+    return (b.rollup(name, "source_table").agg(F.count(F.lit(1)).alias("events"), level.alias("_level"))
+            .where("_level < 2")
+            .select(name, "source_table", "events", (F.col("_level") == 1).alias("is_total")))
 
 
-def dedup_offsets(df: DataFrame, watermark: str | None = None) -> DataFrame:
+def dedup_offsets(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One row per message position (topic, partition, offset_value).
 
     Static: the first consumption wins (partial top-1 before the shuffle).
-    Streaming: ``dropDuplicatesWithinWatermark`` on the position, with state
-    bounded by a watermark on ``consumed_at``.
+    Streaming: the state keeps every position seen, and no event time decides
+    (a watermark would also drop late rows that were never seen).  Where that
+    state grows too large, land the replays and remove them on read
+    (``streaming.landing.read_landed``).  ``extra`` columns that the position
+    determines let filters on them pass.
     """
     if df.isStreaming:
-        # Watermarks need a TIMESTAMP column; the log keeps wall-clock NTZ.
-        return (df.withColumn("_event_time", F.col("consumed_at").cast("timestamp"))
-                .withWatermark("_event_time", watermark or "1 hour")
-                .dropDuplicatesWithinWatermark(POSITION)
-                .drop("_event_time"))
-    return latest_by_key(df, POSITION, [F.col("consumed_at").asc(), F.col("cdc_id").asc()])
+        return df.dropDuplicates(POSITION)
+    return latest_by_key(df, [*(extra or []), *POSITION],
+                         [F.col("consumed_at").asc(), F.col("cdc_id").asc()])
 
 
 def late_events(events: DataFrame, key: str, hot_rows: int | None = DEFAULT_HOT_ROWS

@@ -19,7 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -17,7 +17,7 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 def publish_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Marts and snapshots are full-refresh tables."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -25,11 +25,16 @@ def publish_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def write_raw(raw: DataFrame, path: str) -> None:
     """Land a static change log, partitioned by source table (each staging
-    model then reads one partition) and clustered by entity time."""
+    model then reads one partition) and ordered by entity time.
+
+    Range-partitioned on time and position, so that many events of one time
+    (a table's snapshot has a single one) are still spread over tasks."""
+    order = ["source_table", "ts_ms", "topic", "partition", "offset_value"]
     (raw.select(*RAW_COLUMNS)
-     .repartition("source_table", F.col("ts_ms"))
-     .sortWithinPartitions("ts_ms")
-     .write.mode("overwrite").partitionBy("source_table").parquet(path))
+     .repartitionByRange(*order)
+     .sortWithinPartitions(*order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("source_table").parquet(path))
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

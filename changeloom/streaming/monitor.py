@@ -4,8 +4,8 @@ A stateless stream fires no micro-batch while its source is idle, so the
 silent stream cannot report its own silence.  A second stream on the
 built-in ``rate`` source acts as a heartbeat: every trigger it checks the
 landed change log for source tables whose last consumption is at least
-``minutes`` old and appends the findings (with the check time) to
-``out_path``.
+``minutes`` old and writes the findings (with the check time) to a folder of
+its own under ``out_path``.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ def start_silence_monitor(spark: SparkSession, landed_path: str, out_path: str,
         now = F.current_timestamp().cast("timestamp_ntz")
         (current_silence(landed, now, minutes)
          .withColumn("checked_at", now)
-         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").parquet(out_path))
+         # One folder per tick: a replayed tick overwrites its own findings.
+         .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
 
     heartbeat = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (heartbeat.writeStream.foreachBatch(check)

@@ -1,6 +1,7 @@
 """Monitors against brute force on small fixtures."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -24,6 +25,15 @@ def test_silence_gaps(spark):
     now = F.lit(base + dt.timedelta(minutes=200)).cast("timestamp_ntz")
     cur = monitor.current_silence(_raw(spark, rows), now).collect()
     assert cur[0].minutes_silent == 78
+    both = monitor.current_silence(_raw(spark, rows), now, tables=["users", "plans"]).collect()
+    assert {r.source_table: r.minutes_silent for r in both} == {"users": 78, "plans": None}
+
+
+def test_batch_stats_keeps_nulls_apart_from_totals(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (None, "a"), (None, None)], "b int, source_table string")
+    got = {(r.b, r.source_table, r.is_total): r.events for r in monitor.batch_stats(df, "b").collect()}
+    assert got == {(1, "a", False): 1, (1, None, False): 1, (1, None, True): 2,
+                   (None, "a", False): 1, (None, None, False): 1, (None, None, True): 2}
 
 
 def test_schema_and_type_drift(spark):
@@ -35,6 +45,12 @@ def test_schema_and_type_drift(spark):
              monitor.schema_drift(raw, monitor.expected_columns(spark)).collect()}
     assert ("phone", "new") in drift and ("mail", "new") in drift
     assert ("email", "expected") in drift
+    # a column that was renamed is missing from then on
+    rows = [(i, "t", 0, i, "c", "users", None, json.dumps({"user_id": i, k: "a"}), i, ts)
+            for i, k in enumerate(["email", "mail", "mail", "mail"])]
+    later = {(r.column_name, r.status, r.last_ts_ms) for r in monitor.schema_drift(
+        spark.createDataFrame(rows, RAW_SCHEMA), monitor.expected_columns(spark), since_ts_ms=1).collect()}
+    assert ("email", "missing", None) in later and ("mail", "new", 3) in later
     types = {r.column_name: r for r in monitor.type_drift(raw).where("source_table = 'users'").collect()}
     assert types["user_id"].bad_values == 1 and types["user_id"].values == 2
     assert types["email"].values == 1

@@ -1,6 +1,7 @@
 """Landing stream: availableNow runs, restart after a lost commit, replay
 dedup, and the streaming dedup operator."""
 
+import datetime as dt
 import glob
 import json
 import os
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from changeloom.operators.monitor import dedup_offsets
 from changeloom.operators.parse import parse_change_events
 from changeloom.schemas import MESSAGE_SCHEMA
-from changeloom.streaming.landing import read_change_stream, read_landed, start_landing
+from changeloom.sources.files import read_raw, write_raw
+from changeloom.streaming.landing import compact_landed, read_change_stream, read_landed, start_landing
 
 
 def _msg(i, off, table="users"):
@@ -50,16 +52,45 @@ def test_landing_restart_and_replay(spark):
     assert spark.read.parquet(f"{base}/raw").count() == 5   # replayed message landed twice, read once
 
 
-def test_streaming_dedup_within_watermark(spark):
+def test_streaming_dedup_keeps_unseen_late_events(spark):
+    """Replays go; an event nine days late that was never seen stays."""
     base = tempfile.mkdtemp(prefix="cl-dedup-")
-    rows = [_msg(i % 11, i % 11) for i in range(15)]
-    spark.createDataFrame(rows, MESSAGE_SCHEMA).write.parquet(f"{base}/in")
-    stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": "10"}, f"{base}/in")
-    valid, _ = parse_change_events(stream, consumed_at=F.lit("2024-01-01 00:00:00"))
-    q = (dedup_offsets(valid, "1 hour").writeStream.format("memory").queryName("dedup_out")
+    stamps = ["2024-03-10", "2024-03-11", "2024-03-01", "2024-03-12", "2024-03-11"]
+    for off, day in zip([1, 2, 3, 4, 2], stamps):
+        row = (*_msg(off, off)[:4], dt.datetime.fromisoformat(day))
+        spark.createDataFrame([row], MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{base}/in")
+    valid, _ = parse_change_events(stream, consumed_at=F.col("timestamp"))
+    q = (dedup_offsets(valid).writeStream.format("memory").queryName("dedup_out")
          .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
-    assert spark.sql("SELECT * FROM dedup_out").count() == 11
+    assert sorted(r.offset_value for r in spark.sql("SELECT * FROM dedup_out").collect()) == [1, 2, 3, 4]
+
+
+def test_landed_log_compacts_to_one_row_per_position(spark):
+    base = tempfile.mkdtemp(prefix="cl-compact-")
+    for batch, rows in enumerate([[_msg(1, 1), _msg(2, 2)], [_msg(2, 2)]]):
+        valid, _ = parse_change_events(spark.createDataFrame(rows, MESSAGE_SCHEMA),
+                                       consumed_at=F.lit("2024-01-01 00:00:00"))
+        valid.write.partitionBy("source_table").parquet(f"{base}/raw/batch_id={batch}")
+    compact_landed(spark, f"{base}/raw", f"{base}/log")
+    assert sorted(r.offset_value for r in read_raw(spark, f"{base}/log").collect()) == [1, 2]
+
+
+def test_overwrite_leaves_no_stale_partition(spark):
+    base = tempfile.mkdtemp(prefix="cl-stale-")
+    def rows(*tables):
+        valid, _ = parse_change_events(
+            spark.createDataFrame([_msg(i, i, t) for i, t in enumerate(tables)], MESSAGE_SCHEMA),
+            consumed_at=F.lit("2024-01-01 00:00:00"))
+        return valid
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_raw(rows("users", "plans"), f"{base}/raw")
+        write_raw(rows("users"), f"{base}/raw")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.source_table for r in read_raw(spark, f"{base}/raw").collect()] == ["users"]
 
 
 def test_silence_heartbeat(spark):
@@ -74,7 +105,7 @@ def test_silence_heartbeat(spark):
     q = start_silence_monitor(spark, f"{base}/raw", f"{base}/alerts", f"{base}/ck",
                               minutes=30, interval="1 second")
     deadline = time.time() + 60
-    while time.time() < deadline and not os.path.exists(f"{base}/alerts/_SUCCESS"):
+    while time.time() < deadline and not glob.glob(f"{base}/alerts/*/_SUCCESS"):
         time.sleep(1)
     q.stop()
     alerts = spark.read.parquet(f"{base}/alerts").collect()
