@@ -1,29 +1,10 @@
-"""Join helpers: size-checked broadcast and anti-join finders."""
+"""Join helpers: anti-join finders."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension side is shipped to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is proven small.
-
-    Beyond the bound the side is returned unchanged and the planner picks a
-    shuffle join (adaptive execution may still convert it at run time).
-    """
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
             ignore_null: bool = False) -> DataFrame:
     """Child rows whose ``key`` has no match in ``parent`` (left anti join).

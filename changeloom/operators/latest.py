@@ -30,18 +30,16 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list[str | Column] | No
 
 
 def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str],
-                 order: list[str | Column] | None = None,
-                 broadcast_max_rows: int = 5_000_000) -> DataFrame:
+                 order: list[str | Column] | None = None) -> DataFrame:
     """Upsert: the latest row per key over ``current`` plus ``updates``.
 
     A late or out-of-order update never replaces a newer row (the order
     decides, not the arrival).  Only keys present in ``updates`` are
-    recomputed; the others pass through without a shuffle when the touched
-    key set is small enough to broadcast.
+    recomputed; a touched key set that turns out small at run time is broadcast
+    by adaptive execution.
     """
-    from changeloom.operators.joins import sized_broadcast
     cols = current.columns
-    touched = sized_broadcast(updates.select(*keys).distinct(), broadcast_max_rows)
+    touched = updates.select(*keys).distinct()
     cond = None
     for k in keys:
         c = current[k].eqNullSafe(touched[k])

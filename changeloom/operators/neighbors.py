@@ -3,8 +3,8 @@
 ``lead``/``lag`` over ``Window.partitionBy(key)`` sends every row of a key to
 one task; a key holding a third of the data would then be one task.  Here
 keys with more than ``hot_rows`` rows are found first (a partial
-aggregation; their number is bounded by ``rows / hot_rows``, so the set is
-broadcast behind a size check).  Only those keys are split: their window
+aggregation; their number is bounded by ``rows / hot_rows``, a million keys
+for a trillion rows, so the set is broadcast).  Only those keys are split: their window
 runs per ``(key, bucket)`` where ``bucket`` is a coarse function of the
 leading order column (for example the hour of a timestamp), and the rows at
 bucket edges look across buckets through a small boundary table (hot keys x
@@ -17,12 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.operators.joins import sized_broadcast
-
 # Keys with more rows than this are split by bucket.
 DEFAULT_HOT_ROWS = 1_000_000
-# Upper bound on the broadcast hot-key / boundary tables.
-HOT_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def mark_hot(df: DataFrame, keys: list[str], hot_rows: int | None) -> DataFrame:
@@ -34,7 +30,7 @@ def mark_hot(df: DataFrame, keys: list[str], hot_rows: int | None) -> DataFrame:
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > hot_rows)
            .select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], F.lit(True).alias("_hot")))
-    h = sized_broadcast(hot, HOT_BROADCAST_MAX_ROWS)
+    h = F.broadcast(hot)
     cond = None
     for k, a in zip(keys, hk):
         part = F.col(k).eqNullSafe(F.col(a))

@@ -14,14 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.functions import ts_to_micros
-from changeloom.operators.joins import sized_broadcast
+from changeloom.operators.latest import latest_by_key
 from changeloom.operators.neighbors import with_neighbor
 
 ORDER_TAIL = ["cdc_ts_ms", "cdc_id"]
 # Width of the buckets that split a hot key's history (1 hour).
 BUCKET_MICROS = 3_600_000_000
-# Touched-key sets below this size are broadcast into the history scan.
-TOUCHED_BROADCAST_MAX_ROWS = 5_000_000
 
 
 def _bucket(updated_at: str) -> Column:
@@ -36,7 +34,8 @@ def _scd_id(key: str) -> Column:
 def _intervals(versions: DataFrame, key: str, updated_at: str) -> DataFrame:
     order = [updated_at] + ORDER_TAIL
     v = with_neighbor(versions, [key], order, _bucket(updated_at), [updated_at], "next", "_next_")
-    return (v.withColumn("valid_from", F.col(updated_at))
+    return (v.withColumn("updated_at", F.col(updated_at))
+            .withColumn("valid_from", F.col(updated_at))
             .withColumn("valid_to", F.col("_next_" + updated_at))
             .drop("_next_" + updated_at)
             .withColumn("is_current", F.col("valid_to").isNull())
@@ -68,28 +67,37 @@ def build_scd2(events: DataFrame, key: str, updated_at: str = "cdc_consumed_at",
 
 
 def apply_scd2(history: DataFrame, events: DataFrame, key: str,
-               updated_at: str = "cdc_consumed_at", tracked: list[str] | None = None
-               ) -> DataFrame:
+               updated_at: str = "cdc_consumed_at", tracked: list[str] | None = None,
+               log: DataFrame | None = None, current_keys: DataFrame | None = None,
+               closed_at: Column | None = None) -> DataFrame:
     """Next history = stored history + new events.
 
     Keys without new events pass through untouched.  For touched keys the
-    stored versions and the new events (deduplicated by ``cdc_id``, so a
-    re-run changes nothing and a replayed event is not a version twice) are
-    re-cut into intervals, which also places late events correctly.  The
-    touched-key set is broadcast into the history scan when it is small
-    enough; otherwise both sides shuffle on the key.
+    stored versions and the new events (a replayed event is not a version
+    twice, so a re-run changes nothing) are re-cut into intervals, which also
+    places late events correctly.
+
+    A change-only history (``tracked``) has dropped the events that changed
+    nothing, and a late event can make one of them a version again; so it also
+    needs ``log``, all staged events so far, of which only the touched keys are
+    read.  With ``current_keys`` the open versions of other keys are closed at
+    ``closed_at``.
     """
+    if tracked and log is None:
+        raise ValueError("a change-only history needs the staged event log to place late events")
     version_cols = [c for c in history.columns
-                    if c not in ("valid_from", "valid_to", "is_current", "scd_id")]
-    touched = events.select(key).distinct()
-    t = sized_broadcast(touched, TOUCHED_BROADCAST_MAX_ROWS)
-    hist_t = history.join(t, history[key].eqNullSafe(t[key]), "left_semi")
-    untouched = history.join(t, history[key].eqNullSafe(t[key]), "left_anti")
-    merged = (hist_t.select(*version_cols)
-              .unionByName(events.select(*version_cols))
-              .dropDuplicates(["cdc_id"]))
+                    if c not in ("updated_at", "valid_from", "valid_to", "is_current", "scd_id")]
+    touched = events.select(F.col(key).alias("_touched")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_touched"))
+    untouched = history.join(touched, same, "left_anti")
+    stored = (log if tracked else history).join(touched, same, "left_semi")
+    # The id is a hash: rows are the same event only if all else is equal too.
+    identity = [c for c in version_cols if c != "cdc_consumed_at"]
+    merged = latest_by_key(stored.select(*version_cols).unionByName(events.select(*version_cols)),
+                           identity, [F.col("cdc_consumed_at").asc()])
     rebuilt = build_scd2(merged, key, updated_at, tracked)
-    return untouched.unionByName(rebuilt.select(*history.columns))
+    out = untouched.unionByName(rebuilt.select(*history.columns))
+    return out if current_keys is None else invalidate_hard_deletes(out, current_keys, key, closed_at)
 
 
 def invalidate_hard_deletes(history: DataFrame, current_keys: DataFrame, key: str,

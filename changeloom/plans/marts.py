@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions import flag
-from changeloom.operators.joins import sized_broadcast
 from changeloom.operators.latest import latest_by_key
 from changeloom.plans.staging import retry_counts
 
@@ -21,8 +20,6 @@ FCT_PAYMENT_COLUMNS = ["payment_id", "subscription_id", "user_id", "plan_id", "a
                        "status", "created_at", "is_retry", "is_successful", "is_failed",
                        "is_refunded", "recognised_revenue", "cdc_op", "cdc_ts_ms",
                        "cdc_consumed_at"]
-# A plan catalogue is a dimension: it is broadcast only below this size.
-PLAN_BROADCAST_MAX_ROWS = 100_000
 
 
 def dim_users(stg_users: DataFrame) -> DataFrame:
@@ -67,8 +64,11 @@ def latest_plans(stg_plans: DataFrame) -> DataFrame:
 
 def subscription_facts(stg_subscriptions: DataFrame, stg_plans: DataFrame,
                        keep: list[str] | None = None) -> DataFrame:
-    """fct_subscriptions plus the extra columns in ``keep`` (e.g. cdc_id)."""
-    plans = sized_broadcast(latest_plans(stg_plans), PLAN_BROADCAST_MAX_ROWS)
+    """fct_subscriptions plus the extra columns in ``keep`` (e.g. cdc_id).
+
+    No hint on the plans: adaptive execution broadcasts them when they turn out
+    small, and splits a hot plan when they do not."""
+    plans = latest_plans(stg_plans)
     s = stg_subscriptions.alias("s")
     joined = s.join(plans.alias("p"), F.col("s.plan_id") == F.col("p.plan_id"), "left")
     mrr = (F.when(F.col("p.billing_cycle") == "annual", F.round(F.col("p.price") / 12, 2))
@@ -97,24 +97,28 @@ def fct_payments(stg_payments_base: DataFrame, stg_subscriptions: DataFrame) ->
 
     Plan: payments are cut to one row per payment_id (partial top-1 before
     the shuffle), then joined on subscription_id to the per-subscription
-    event counts (the retry flag, pre-aggregated) and the latest subscription
-    state.  Both right sides are one row per subscription and share the
-    join's partitioning; a hot subscription is split by adaptive skew
-    handling.
+    event counts (the retry flag, pre-aggregated) with the latest subscription
+    state.  The two right sides, one row per subscription, are joined first on
+    the partitioning they already have, so payments move once for the top-1 and
+    once for one join; a hot subscription is split by adaptive skew handling.
+    Payments without a subscription are one group of their own: their number is
+    a one-row aggregate.
     """
     pay = latest_by_key(stg_payments_base, ["payment_id"]).alias("p")
-    counts = retry_counts(stg_payments_base).alias("n")
+    counts = retry_counts(stg_payments_base.where(F.col("subscription_id").isNotNull()))
     subs = latest_by_key(stg_subscriptions, ["subscription_id"]) \
-        .select("subscription_id", "user_id", "plan_id").alias("s")
-    joined = (pay.join(counts, F.col("p.subscription_id").eqNullSafe(F.col("n.subscription_id")),
-                       "left")
-              .join(subs, F.col("p.subscription_id") == F.col("s.subscription_id"), "left"))
+        .select("subscription_id", "user_id", "plan_id")
+    owners = counts.join(subs, "subscription_id", "left").alias("s")
+    unowned = stg_payments_base.where(F.col("subscription_id").isNull()).agg(
+        F.count(F.lit(1)).alias("_unowned"))
+    joined = (pay.join(owners, F.col("p.subscription_id") == F.col("s.subscription_id"), "left")
+              .join(F.broadcast(unowned)))
     status = F.col("p.status")
     return joined.select(
         F.col("p.payment_id"), F.col("p.subscription_id"), F.col("s.user_id"),
         F.col("s.plan_id"), F.col("p.amount"), status.alias("status"),
         F.col("p.created_at"),
-        (F.col("n._events") > 1).alias("is_retry"),
+        (F.coalesce(F.col("s._events"), F.col("_unowned")) > 1).alias("is_retry"),
         flag(status == "success").alias("is_successful"),
         flag(status == "failed").alias("is_failed"),
         flag(status == "refunded").alias("is_refunded"),
@@ -122,3 +126,6 @@ def fct_payments(stg_payments_base: DataFrame, stg_subscriptions: DataFrame) ->
          .otherwise(F.lit(0).cast("decimal(10,2)")).alias("recognised_revenue"),
         F.col("p.cdc_op"), F.col("p.cdc_ts_ms"), F.col("p.cdc_consumed_at"),
     )
+
+
+MARTS = ["dim_users", "dim_plans", "dim_dates", "fct_subscriptions", "fct_payments"]

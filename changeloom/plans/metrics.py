@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.operators.joins import sized_broadcast
 from changeloom.operators.latest import latest_by_key
 
 RATE_SCALE = 6
@@ -49,14 +48,13 @@ def avg_duration(latest_subs: DataFrame) -> DataFrame:
                       .alias("avg_duration_days"))
 
 
-def revenue_by_month(fct_payments: DataFrame, dim_dates: DataFrame) -> DataFrame:
-    """Revenue per calendar month: payments joined to the calendar on their
-    day (the calendar has a fixed, checked size and is broadcast)."""
-    dates = sized_broadcast(dim_dates.select("date_day", "year_month"))
-    p = fct_payments.select(F.to_date("created_at").alias("date_day"), "recognised_revenue",
-                            "is_successful")
-    return (p.join(dates, "date_day")
-            .groupBy("year_month")
+def revenue_by_month(fct_payments: DataFrame) -> DataFrame:
+    """Revenue per month of payment.  The month comes from the payment itself,
+    so none is lost outside the calendar; payments without a time are the row
+    with a NULL month."""
+    p = fct_payments.select(F.date_format("created_at", "yyyy-MM").alias("year_month"),
+                            "recognised_revenue", "is_successful")
+    return (p.groupBy("year_month")
             .agg(F.count(F.lit(1)).alias("payments"),
                  F.count(F.when(F.col("is_successful"), 1)).alias("successful_payments"),
                  F.sum("recognised_revenue").cast("decimal(18,2)").alias("revenue")))

@@ -10,7 +10,8 @@ text of ``after``.
 from __future__ import annotations
 
 from changeloom.plans.checks import project_checks
-from changeloom.plans.queries import FOREIGN_KEYS
+from changeloom.plans.queries import FOREIGN_KEYS, SILENCE_MINUTES, SILENCE_NOW
+from changeloom.plans.staging import STAGING_MODELS
 from changeloom.schemas import EXPECTED_COLUMNS, PLANS
 from changeloom.sources.changelog import (BASE_MICROS, DATE_SHIFT_DAYS, DAY_MS, DAY_US,
                                           DEVICES, EVENT_TYPE_MAP, HOUR_US, LATE_DELAY_MS,
@@ -240,10 +241,10 @@ BODIES = {
         cdc_ts_ms, cdc_consumed_at FROM stg_users ORDER BY user_id, cdc_ts_ms DESC, cdc_id DESC""",
     "dim_plans": """SELECT DISTINCT ON (plan_id) plan_id, name, price, billing_cycle, created_at, cdc_op,
         cdc_ts_ms, cdc_consumed_at FROM stg_plans ORDER BY plan_id, cdc_ts_ms DESC, cdc_id DESC""",
-    "revenue_by_day": """SELECT d.*, coalesce(p.payments, 0) AS payments,
-        CAST(coalesce(p.revenue, 0) AS DECIMAL(18,2)) AS revenue
-        FROM dim_dates d LEFT JOIN (SELECT CAST(created_at AS DATE) AS date_day, count(*) AS payments,
-          sum(recognised_revenue) AS revenue FROM fct_payments GROUP BY 1) p USING (date_day)""",
+    "revenue_by_day": """SELECT d.* REPLACE (coalesce(d.date_day, p.day) AS date_day),
+        coalesce(p.payments, 0) AS payments, CAST(coalesce(p.revenue, 0) AS DECIMAL(18,2)) AS revenue
+        FROM dim_dates d FULL JOIN (SELECT CAST(created_at AS DATE) AS day, count(*) AS payments,
+          sum(recognised_revenue) AS revenue FROM fct_payments GROUP BY 1) p ON d.date_day = p.day""",
     "fct_subscriptions": """SELECT * EXCLUDE (cdc_id) FROM fct_subscriptions_x""",
     "fct_payments": "SELECT * FROM fct_payments",
     "mrr_by_plan": """SELECT plan_id, count(*) AS active_subscriptions, CAST(sum(mrr) AS DECIMAL(18,2)) AS mrr
@@ -254,11 +255,10 @@ BODIES = {
         {ratio_dec('total_duration_days', 'closed_subscriptions')} AS avg_duration_days
         FROM (SELECT count(*) AS closed_subscriptions, CAST(sum(duration_days) AS BIGINT) AS total_duration_days
               FROM latest_subs WHERE duration_days IS NOT NULL)""",
-    "revenue_by_month": """SELECT d.year_month, count(*) AS payments,
-        count(*) FILTER (WHERE p.is_successful) AS successful_payments,
-        CAST(sum(p.recognised_revenue) AS DECIMAL(18,2)) AS revenue
-        FROM fct_payments p JOIN dim_dates d ON CAST(p.created_at AS DATE) = d.date_day
-        GROUP BY d.year_month""",
+    "revenue_by_month": """SELECT strftime(created_at, '%Y-%m') AS year_month, count(*) AS payments,
+        count(*) FILTER (WHERE is_successful) AS successful_payments,
+        CAST(sum(recognised_revenue) AS DECIMAL(18,2)) AS revenue
+        FROM fct_payments GROUP BY 1""",
     "payment_failure_rate": f"""SELECT payments, failed, {ratio_dec('failed', 'payments')} AS failure_rate
         FROM (SELECT count(*) AS payments, count(*) FILTER (WHERE is_failed) AS failed FROM fct_payments)""",
     "payment_retry_rate": f"""SELECT payments, retries, {ratio_dec('retries', 'payments')} AS retry_rate
@@ -269,7 +269,7 @@ BODIES = {
 def _scd2_sql(src: str, key: str) -> str:
     return f"""SELECT *, valid_to IS NULL AS is_current,
         md5(concat_ws('|', {key}, epoch_us(valid_from), cdc_id)) AS scd_id
-      FROM (SELECT *, cdc_consumed_at AS valid_from,
+      FROM (SELECT *, cdc_consumed_at AS updated_at, cdc_consumed_at AS valid_from,
               lead(cdc_consumed_at) OVER (PARTITION BY {key} ORDER BY cdc_consumed_at, cdc_ts_ms, cdc_id)
                 AS valid_to
             FROM {src})"""
@@ -285,6 +285,7 @@ BODIES.update({
     "plans_scd2": _scd2_sql("stg_plans", "plan_id"),
     "users_scd2_changes_only": _scd2_sql(_USERS_CHANGES, "user_id"),
     "scd2_incremental": _scd2_sql("stg_users", "user_id"),
+    "scd2_incremental_tracked": _scd2_sql(_USERS_CHANGES, "user_id"),
     "scd2_hard_deletes": f"""SELECT * REPLACE (
         CASE WHEN is_current AND user_id % 37 = 0 THEN TIMESTAMP '2031-01-01 00:00:00' ELSE valid_to END
           AS valid_to,
@@ -350,6 +351,7 @@ BODIES.update({
     "parse_rejects": f"""SELECT topic, partition, offset_value + 1 AS offset_value,
         'not a JSON object' AS reason FROM e_raw WHERE event_id % 101 = 0""",
     "replay_dedup": "SELECT * FROM raw_log",
+    "stream_dedup": "SELECT topic, partition, offset_value, source_table, ts_ms FROM raw_log",
     "stream_landing": "SELECT * FROM raw_log",
     "dim_users_incremental": "SELECT * FROM dim_users",
     "snapshot_bootstrap": """SELECT
@@ -366,8 +368,9 @@ BODIES.update({
           AS newer_ts_ms FROM stg_users) WHERE newer_ts_ms > cdc_ts_ms""",
     "schema_drift": f"""SELECT source_table, column_name,
           CASE WHEN a.events IS NULL THEN 'missing' WHEN e.declared THEN 'expected' ELSE 'new' END AS status,
-          coalesce(a.events, 0) AS events, a.first_ts_ms
-        FROM (SELECT source_table, column_name, count(*) AS events, min(ts_ms) AS first_ts_ms
+          coalesce(a.events, 0) AS events, a.first_ts_ms, a.last_ts_ms
+        FROM (SELECT source_table, column_name, count(*) AS events, min(ts_ms) AS first_ts_ms,
+                     max(ts_ms) AS last_ts_ms
               FROM (SELECT source_table, ts_ms, unnest(json_keys(after)) AS column_name
                     FROM raw_log WHERE after IS NOT NULL) WHERE column_name <> '__deleted' GROUP BY ALL) a
         FULL JOIN (SELECT *, true AS declared FROM (VALUES {_expected_rows}) t(source_table, column_name)
@@ -379,12 +382,36 @@ BODIES.update({
         FROM (SELECT source_table, consumed_at,
                 lead(consumed_at) OVER (PARTITION BY source_table ORDER BY consumed_at) AS nxt FROM raw_log)
         WHERE nxt IS NOT NULL AND epoch_us(nxt) - epoch_us(consumed_at) >= 1800000000""",
-    "batch_stats": """SELECT batch_start, source_table, count(*) AS events
+    "current_silence": f"""SELECT source_table, last_event,
+          (epoch_us(TIMESTAMP '{SILENCE_NOW}') - epoch_us(last_event)) // 60000000 AS minutes_silent
+        FROM (SELECT DISTINCT source_table FROM (VALUES {_expected_rows}) t(source_table, c))
+        FULL JOIN (SELECT source_table, max(consumed_at) AS last_event FROM raw_log GROUP BY 1) USING (source_table)
+        WHERE last_event IS NULL
+           OR (epoch_us(TIMESTAMP '{SILENCE_NOW}') - epoch_us(last_event)) // 60000000 >= {SILENCE_MINUTES}""",
+    "batch_stats": """SELECT batch_start, source_table, count(*) AS events,
+                        grouping(source_table) = 1 AS is_total
         FROM (SELECT make_timestamp((epoch_us(consumed_at) // 1800000000) * 1800000000) AS batch_start,
                      source_table FROM raw_log)
-        GROUP BY ROLLUP (batch_start, source_table) HAVING batch_start IS NOT NULL""",
+        GROUP BY ROLLUP (batch_start, source_table) HAVING grouping(batch_start) = 0""",
 })
 
 
+def _run_sql() -> str:
+    """Rows of every model of a pipeline run; the report is clean on this log."""
+    counts = [("staging", m, f"(SELECT count(*) FROM {m})") for m in STAGING_MODELS]
+    counts += [("marts", m, f"(SELECT count(*) FROM {m})") for m in ("dim_users", "dim_plans", "dim_dates")]
+    counts += [("marts", "fct_subscriptions", "(SELECT count(*) FROM fct_subscriptions_x)"),
+               ("marts", "fct_payments", "(SELECT count(*) FROM fct_payments)"),
+               ("snapshots", "users_snapshot", "(SELECT count(*) FROM stg_users)"),
+               ("snapshots", "plans_snapshot", "(SELECT count(*) FROM stg_plans)"),
+               ("tests", "dq_report", f"(SELECT count(*) FROM ({_dq_sql()}) WHERE passed)")]
+    rows = "\n  UNION ALL ".join(f"SELECT '{s}' AS stage, '{m}' AS model, {n} AS rows" for s, m, n in counts)
+    return (f"SELECT *, CASE WHEN stage = 'tests' AND rows < {len(project_checks())} THEN 'failed: ' || "
+            f"({len(project_checks())} - rows) || ' checks' ELSE 'success' END AS status FROM (\n  {rows})")
+
+
+BODIES["pipeline_run"] = _run_sql()
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: f"WITH {CTES}\n{body}" for name, body in BODIES.items()}

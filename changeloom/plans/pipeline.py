@@ -1,4 +1,4 @@
-"""One pipeline run: marts, then snapshots, then tests, then a run log.
+"""One pipeline run: staging, marts, snapshots, tests, and a run log.
 
 Order matters: snapshots read staging, tests read the built marts.  Each
 stage writes its tables under ``out``; the run log records per model the
@@ -21,38 +21,53 @@ RUN_LOG_SCHEMA = "stage string, model string, rows bigint, seconds double, statu
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out: str) -> DataFrame:
     log: list[tuple] = []
-    stg = {name: publish_view(fn(raw), name) for name, fn in staging.STAGING_MODELS.items()}
-    builds = {
-        "marts": {
-            "dim_users": lambda: marts.dim_users(stg["stg_users"]),
-            "dim_plans": lambda: marts.dim_plans(stg["stg_plans"]),
-            "dim_dates": lambda: marts.dim_dates(spark),
-            "fct_subscriptions": lambda: marts.fct_subscriptions(stg["stg_subscriptions"],
-                                                                 stg["stg_plans"]),
-            "fct_payments": lambda: marts.fct_payments(staging.stg_payments_base(raw),
-                                                       stg["stg_subscriptions"]),
-        },
-        "snapshots": {
-            "users_snapshot": lambda: scd2.build_scd2(stg["stg_users"], "user_id"),
-            "plans_snapshot": lambda: scd2.build_scd2(stg["stg_plans"], "plan_id"),
-        },
-    }
-    built: dict[str, DataFrame] = dict(stg)
-    for stage, models in builds.items():
-        for name, build in models.items():
-            t0 = time.time()
+    built: dict[str, DataFrame] = {}
+
+    def step(stage: str, name: str, action) -> bool:
+        """Run ``action() -> (rows, status)`` and log it, also when it fails."""
+        began = time.time()
+        try:
+            rows, status = action()
+        except Exception as exc:  # noqa: BLE001 - logged as the failed step
+            rows, status = None, f"failed: {type(exc).__name__}"
+        log.append((stage, name, rows, time.time() - began, status))
+        return status == "success"
+
+    def view(name, fn):
+        def action():
+            built[name] = publish_view(fn(raw), name)
+            return built[name].count(), "success"
+        return action
+
+    def table(stage, name, fn):
+        def action():
             path = f"{out}/{stage}/{name}"
-            try:
-                publish_table(build(), path)
-                built[name] = spark.read.parquet(path)
-                log.append((stage, name, built[name].count(), time.time() - t0, "success"))
-            except Exception as exc:  # noqa: BLE001 - logged as the failed stage
-                log.append((stage, name, None, time.time() - t0, f"failed: {type(exc).__name__}"))
-                return spark.createDataFrame(log, RUN_LOG_SCHEMA)
-    t0 = time.time()
-    report = quality.dq_report(built, checks.project_checks())
-    publish_table(report, f"{out}/tests/dq_report")
-    failed = spark.read.parquet(f"{out}/tests/dq_report").where("NOT passed").count()
-    log.append(("tests", "dq_report", 38 - failed, time.time() - t0,
-                "success" if failed == 0 else f"failed: {failed} checks"))
+            publish_table(fn(), path)
+            built[name] = spark.read.parquet(path)
+            return built[name].count(), "success"
+        return action
+
+    def tests():
+        publish_table(quality.dq_report(built, checks.project_checks()), f"{out}/tests/dq_report")
+        report = spark.read.parquet(f"{out}/tests/dq_report")
+        failed, passed = report.where("NOT passed").count(), report.where("passed").count()
+        return passed, "success" if failed == 0 else f"failed: {failed} checks"
+
+    stg = built
+    steps = [("staging", n, view(n, fn)) for n, fn in staging.STAGING_MODELS.items()]
+    steps += [("marts", n, table("marts", n, fn)) for n, fn in {
+        "dim_users": lambda: marts.dim_users(stg["stg_users"]),
+        "dim_plans": lambda: marts.dim_plans(stg["stg_plans"]),
+        "dim_dates": lambda: marts.dim_dates(spark),
+        "fct_subscriptions": lambda: marts.fct_subscriptions(stg["stg_subscriptions"], stg["stg_plans"]),
+        "fct_payments": lambda: marts.fct_payments(staging.stg_payments_base(raw), stg["stg_subscriptions"]),
+    }.items()]
+    steps += [("snapshots", n, table("snapshots", n, fn)) for n, fn in {
+        "users_snapshot": lambda: scd2.build_scd2(stg["stg_users"], "user_id"),
+        "plans_snapshot": lambda: scd2.build_scd2(stg["stg_plans"], "plan_id"),
+    }.items()]
+    steps.append(("tests", "dq_report", tests))
+    for stage, name, action in steps:
+        if not step(stage, name, action):
+            break
     return spark.createDataFrame(log, RUN_LOG_SCHEMA)

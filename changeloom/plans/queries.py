@@ -1,5 +1,9 @@
-"""Registered queries: each takes ``(spark, sf_dir)`` and returns a lazy
-DataFrame computed over the whole base tables of ``sf_dir``."""
+"""Registered queries: each takes ``(spark, sf_dir)`` and returns a
+DataFrame computed over the whole base tables of ``sf_dir``.
+
+Queries are lazy but for those that write: the report and foreign-key queries
+write their marts, the stream and pipeline queries run and read their output.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from changeloom.operators import monitor, quality, scd2
 from changeloom.operators.joins import orphans
 from changeloom.operators.parse import parse_change_events
 from changeloom.plans import checks, marts, metrics, staging
-from changeloom.session import materialize
+from changeloom.session import stage
 from changeloom.sources.changelog import change_messages
 from changeloom.sources.changelog import change_log
 
@@ -41,14 +45,15 @@ def _fct_payments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def revenue_by_day(spark: SparkSession, d: str) -> DataFrame:
-    """Every calendar day with its payments and revenue (zero-filled)."""
+    """Every calendar day with its payments and revenue (zero-filled), and the
+    payment days outside the calendar, which have no calendar columns."""
     from pyspark.sql import functions as F
     pay = (_fct_payments(spark, d)
            .groupBy(F.to_date("created_at").alias("date_day"))
            .agg(F.count(F.lit(1)).alias("payments"),
                 F.sum("recognised_revenue").alias("revenue")))
     cal = marts.dim_dates(spark)
-    return (cal.join(pay, "date_day", "left")
+    return (cal.join(pay, "date_day", "full")
             .select(*cal.columns,
                     F.coalesce(F.col("payments"), F.lit(0)).alias("payments"),
                     F.coalesce(F.col("revenue"), F.lit(0)).cast("decimal(18,2)").alias("revenue")))
@@ -69,6 +74,16 @@ def plans_scd2(spark: SparkSession, d: str) -> DataFrame:
     return scd2.build_scd2(staging.stg_plans(raw(spark, d)), "plan_id")
 
 
+def scd2_incremental_tracked(spark: SparkSession, d: str) -> DataFrame:
+    """The change-only history, built and then extended like ``scd2_incremental``."""
+    from pyspark.sql import functions as F
+    ev = staging.stg_users(raw(spark, d))
+    cut = F.lit(SCD2_CUT).cast("timestamp_ntz")
+    first = scd2.build_scd2(ev.where(F.col("cdc_consumed_at") < cut), "user_id", tracked=USER_TRACKED)
+    return scd2.apply_scd2(first, ev.where(F.col("cdc_consumed_at") >= cut), "user_id",
+                           tracked=USER_TRACKED, log=ev)
+
+
 def users_scd2_changes_only(spark: SparkSession, d: str) -> DataFrame:
     return scd2.build_scd2(staging.stg_users(raw(spark, d)), "user_id", tracked=USER_TRACKED)
 
@@ -98,13 +113,13 @@ def scd2_hard_deletes(spark: SparkSession, d: str) -> DataFrame:
                                         "user_id", F.lit(SCD2_RUN_AT))
 
 
-def models(spark: SparkSession, d: str, persist: bool = False) -> dict[str, DataFrame]:
+def models(spark: SparkSession, d: str, persist: set[str] | None = None) -> dict[str, DataFrame]:
     """Every staging model and mart over the change log of ``d``.
 
-    With ``persist`` the marts (tables) are computed once into the
+    The marts named in ``persist`` are written once as Parquet below the
     checkpoint folder, as the tests of a table run against the built table;
-    staging stays lazy (views), each staging model then scanned once per
-    fused check pass.
+    each check then reads its columns only.  Staging stays lazy (views), each
+    staging model then scanned once per fused check pass.
     """
     r = raw(spark, d)
     stg = {name: fn(r) for name, fn in staging.STAGING_MODELS.items()}
@@ -114,8 +129,7 @@ def models(spark: SparkSession, d: str, persist: bool = False) -> dict[str, Data
     m["dim_dates"] = marts.dim_dates(spark)
     m["fct_subscriptions"] = marts.fct_subscriptions(stg["stg_subscriptions"], stg["stg_plans"])
     m["fct_payments"] = marts.fct_payments(staging.stg_payments_base(r), stg["stg_subscriptions"])
-    if persist:
-        m.update({k: materialize(v) for k, v in m.items() if not k.startswith("stg_")})
+    m.update({k: stage(m[k], k) for k in sorted(persist or ())})
     return m
 
 
@@ -131,13 +145,14 @@ FOREIGN_KEYS = [
 
 
 def dq_report(spark: SparkSession, d: str) -> DataFrame:
-    return quality.dq_report(models(spark, d, persist=True), checks.project_checks())
+    return quality.dq_report(models(spark, d, persist=set(marts.MARTS)), checks.project_checks())
 
 
 def fk_violations(spark: SparkSession, d: str) -> DataFrame:
     from functools import reduce
     from pyspark.sql import functions as F
-    m = models(spark, d, persist=True)
+    used = {c for _, child, _, parent, _ in FOREIGN_KEYS for c in (child, parent)}
+    m = models(spark, d, persist=used & set(marts.MARTS))
     parts = [orphans(m[child], m[parent], col, pcol, ignore_null=True)
              .agg(F.count(F.lit(1)).alias("violations"))
              .select(F.lit(name).alias("fk"), "violations")
@@ -174,19 +189,19 @@ def batch_stats(spark: SparkSession, d: str) -> DataFrame:
 def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     """Land the change messages through Structured Streaming.
 
-    The messages are written as parquet files (one per trigger) under the
-    shared checkpoint folder, consumed with ``availableNow`` and
-    ``maxFilesPerTrigger=1`` by the landing stream, and the landed log is
-    read back with replays removed.
+    The messages are written as parquet files under the shared checkpoint
+    folder, consumed with ``availableNow`` in about ``STREAM_BATCHES``
+    micro-batches by the landing stream, and the landed log is read back with
+    replays removed.
     """
     import uuid
     from pyspark.sql import functions as F
     from changeloom.session import checkpoint_dir
     from changeloom.streaming.landing import read_change_stream, read_landed, start_landing
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream_landing-{uuid.uuid4().hex}"
-    (change_messages(spark, d).repartition(4, "topic", "partition")
-     .write.mode("overwrite").parquet(f"{base}/in"))
-    stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{base}/in")
+    files = _write_messages(spark, d, f"{base}/in")
+    stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": str(-(-files // STREAM_BATCHES))},
+                                f"{base}/in")
     q = start_landing(stream, f"{base}/raw", f"{base}/checkpoint",
                       rejects_path=f"{base}/rejects", consumed_at=F.col("timestamp"))
     q.awaitTermination()
@@ -196,6 +211,48 @@ def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     return read_landed(spark, f"{base}/raw").drop("batch_id")
 
 
+STREAM_BATCHES = 4
+
+
+def _write_messages(spark: SparkSession, d: str, path: str) -> int:
+    """The change messages as files, spread by position; the number of files."""
+    change_messages(spark, d).repartition("topic", "partition", "offset").write.mode("overwrite").parquet(path)
+    return len(spark.read.parquet(path).inputFiles())
+
+
+def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Replays removed by the stream itself: the messages arrive in files that
+    mix old and new event times, and every position comes out once."""
+    import uuid
+    from pyspark.sql import functions as F
+    from changeloom.session import checkpoint_dir
+    from changeloom.streaming.landing import read_change_stream
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream_dedup-{uuid.uuid4().hex}"
+    files = _write_messages(spark, d, f"{base}/in")
+    stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": str(-(-files // STREAM_BATCHES))},
+                                f"{base}/in")
+    valid, _ = parse_change_events(stream, consumed_at=F.col("timestamp"))
+    q = (monitor.dedup_offsets(valid).select(*monitor.POSITION, "source_table", "ts_ms")
+         .writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(f"{base}/out")
+
+
+# The fixed time and bound of the silence query.
+SILENCE_NOW = "2024-06-01 00:00:00"
+SILENCE_MINUTES = 30
+
+
+def current_silence(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from changeloom.schemas import EXPECTED_COLUMNS
+    return monitor.current_silence(raw(spark, d), F.lit(SILENCE_NOW).cast("timestamp_ntz"),
+                                   SILENCE_MINUTES, list(EXPECTED_COLUMNS))
+
+
 def snapshot_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """Re-snapshot of the live users table (after a drop and re-create):
     the current state of every live user as an ``r`` event at run time."""
@@ -226,14 +283,14 @@ def dim_users_incremental(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pipeline_run(spark: SparkSession, d: str) -> DataFrame:
-    """One scheduled run (marts -> snapshots -> tests) over the change log,
-    written under the shared checkpoint folder; returns the run log.  The
-    log holds wall-clock seconds, so it has no oracle (rows-only check)."""
+    """One scheduled run (staging -> marts -> snapshots -> tests) over the
+    change log, written under the shared checkpoint folder; returns the run
+    log without its wall-clock seconds."""
     import uuid
     from changeloom.plans.pipeline import run_pipeline
     from changeloom.session import checkpoint_dir
     out = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    return run_pipeline(spark, raw(spark, d), out)
+    return run_pipeline(spark, raw(spark, d), out).drop("seconds")
 
 
 def registry() -> dict[str, Query]:
@@ -253,13 +310,14 @@ def registry() -> dict[str, Query]:
         "churn_rate": lambda s, d: metrics.churn_rate(_latest_subs(s, d)),
         "avg_duration": lambda s, d: metrics.avg_duration(_latest_subs(s, d)),
         "revenue_by_month": lambda s, d: metrics.revenue_by_month(
-            _fct_payments(s, d), marts.dim_dates(s)),
+            _fct_payments(s, d)),
         "payment_failure_rate": lambda s, d: metrics.payment_failure_rate(_fct_payments(s, d)),
         "payment_retry_rate": lambda s, d: metrics.payment_retry_rate(_fct_payments(s, d)),
         "users_scd2": users_scd2,
         "plans_scd2": plans_scd2,
         "users_scd2_changes_only": users_scd2_changes_only,
         "scd2_incremental": scd2_incremental,
+        "scd2_incremental_tracked": scd2_incremental_tracked,
         "scd2_hard_deletes": scd2_hard_deletes,
         "dq_report": dq_report,
         "fk_violations": fk_violations,
@@ -273,7 +331,9 @@ def registry() -> dict[str, Query]:
         "type_drift": lambda s, d: monitor.type_drift(raw(s, d)),
         "silence_gaps": lambda s, d: monitor.silence_gaps(raw(s, d)),
         "batch_stats": batch_stats,
+        "current_silence": current_silence,
         "stream_landing": stream_landing,
+        "stream_dedup": stream_dedup,
         "snapshot_bootstrap": snapshot_bootstrap,
         "dim_users_incremental": dim_users_incremental,
         "pipeline_run": pipeline_run,

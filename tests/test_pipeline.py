@@ -22,6 +22,7 @@ def test_run_pipeline(spark):
     assert log[("marts", "dim_dates")].rows == 2557
     assert log[("tests", "dq_report")].rows == 38
     report = spark.read.parquet(f"{out}/tests/dq_report")
+    assert [k for k in log if k[0] == "staging"]
     assert report.count() == 38 and report.where("NOT passed").count() == 0
 
 

@@ -2,6 +2,9 @@
 
 import tempfile
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from changeloom.operators import quality
 from changeloom.plans import marts, metrics, staging
 from changeloom.sources.changelog import change_log
@@ -55,9 +58,44 @@ def test_fused_checks_single_distinct_no_expand(spark):
     assert "Expand" not in _plan(report)
 
 
-def test_calendar_join_is_broadcast(spark):
+def test_staging_over_a_landed_log_prunes(spark):
+    """The filter on the source table passes the replay dedup."""
+    from changeloom.streaming.landing import read_landed
+    base = tempfile.mkdtemp(prefix="cl-landed-") + "/raw"
+    raw = change_log(spark, SF001).withColumn("batch_id", F.lit(0).cast("bigint"))
+    raw.write.partitionBy("batch_id", "source_table").parquet(base)
+    users = staging.stg_users(read_landed(spark, base))
+    plan = users._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.splitlines() if "PartitionFilters" in x]
+    assert filters and all("source_table" in x.split("PartitionFilters")[1].split("]")[0] for x in filters)
+
+
+def test_raw_files_are_sorted_by_time(spark):
     raw = _landed(spark)
-    fct = marts.fct_payments(staging.stg_payments_base(raw), staging.stg_subscriptions(raw))
-    df = metrics.revenue_by_month(fct, marts.dim_dates(spark))
-    df.collect()
-    assert "BroadcastHashJoin" in _plan(df)
+    files = (raw.select("source_table", "ts_ms", F.input_file_name().alias("f"),
+                        F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")))
+    previous = F.lag("ts_ms").over(Window.partitionBy("f", "b").orderBy("i"))
+    assert files.withColumn("p", previous).where("p > ts_ms").count() == 0
+
+
+def test_payment_facts_move_payments_twice(spark):
+    """Top-1, counts, latest subscription and one join: four exchanges."""
+    raw = _landed(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fct = marts.fct_payments(staging.stg_payments_base(raw), staging.stg_subscriptions(raw))
+        plan = fct._jdf.queryExecution().executedPlan().toString()
+        moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert len(moved) <= 4, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_revenue_keeps_payments_outside_the_calendar(spark):
+    rows = [("2025-01-05 00:00:00", 10, True), ("2031-02-01 00:00:00", 5, True), (None, 7, False)]
+    fct = spark.createDataFrame(rows, "t string, recognised_revenue int, is_successful boolean").select(
+        F.col("t").cast("timestamp_ntz").alias("created_at"),
+        F.col("recognised_revenue").cast("decimal(10,2)").alias("recognised_revenue"), "is_successful")
+    got = {r.year_month: float(r.revenue) for r in metrics.revenue_by_month(fct).collect()}
+    assert got == {"2025-01": 10.0, "2031-02": 5.0, None: 7.0}

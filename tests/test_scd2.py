@@ -1,5 +1,6 @@
 """SCD2 invariants on the users history built from the change log."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -56,3 +57,30 @@ def test_hard_deletes_close_open_versions(spark):
     out = scd2.invalidate_hard_deletes(h, live, "user_id", F.lit("2031-01-01 00:00:00"))
     assert out.where("is_current AND user_id % 2 = 1").count() == 0
     assert out.where("is_current").count() == live.count()
+
+
+def _event(spark, rows):
+    schema = "user_id bigint, plan_id int, cdc_ts_ms bigint, cdc_id bigint, cdc_consumed_at string"
+    return spark.createDataFrame(rows, schema).withColumn("cdc_consumed_at", F.col("cdc_consumed_at").cast("timestamp_ntz"))
+
+
+def test_late_event_between_equal_states(spark):
+    """A late plan 2 between two equal plan 1 events makes the second one a
+    version again."""
+    stored = [(1, 1, 1, 11, "2024-01-01 00:00:00"), (1, 1, 3, 13, "2024-01-03 00:00:00")]
+    late = [(1, 2, 2, 12, "2024-01-02 00:00:00")]
+    log = _event(spark, stored + late)
+    first = scd2.build_scd2(_event(spark, stored), "user_id", tracked=["plan_id"])
+    assert first.count() == 1
+    got = scd2.apply_scd2(first, _event(spark, late), "user_id", tracked=["plan_id"], log=log)
+    assert [r.plan_id for r in got.orderBy("valid_from").collect()] == [1, 2, 1]
+    with pytest.raises(ValueError):
+        scd2.apply_scd2(first, _event(spark, late), "user_id", tracked=["plan_id"])
+
+
+def test_equal_ids_of_different_events_are_both_kept(spark):
+    first = scd2.build_scd2(_event(spark, [(1, 1, 1, 7, "2024-01-01 00:00:00")]), "user_id")
+    more = _event(spark, [(1, 2, 2, 7, "2024-01-02 00:00:00"), (1, 1, 1, 7, "2024-01-05 00:00:00")])
+    got = scd2.apply_scd2(first, more, "user_id", current_keys=_event(spark, []), closed_at=F.lit("2031-01-01 00:00:00"))
+    assert [r.plan_id for r in got.orderBy("valid_from").collect()] == [1, 2]
+    assert got.where("is_current").count() == 0
