@@ -10,8 +10,9 @@ text of ``after``.
 from __future__ import annotations
 
 from changeloom.plans.checks import project_checks
-from changeloom.plans.queries import FOREIGN_KEYS, SILENCE_MINUTES, SILENCE_NOW
+from changeloom.plans.queries import DRIFT_SINCE_MS, FOREIGN_KEYS, SILENCE_MINUTES, SILENCE_NOW
 from changeloom.plans.staging import STAGING_MODELS
+from changeloom.sources.faults import NO_SUBSCRIPTION, NO_USER, TEN_YEARS_US
 from changeloom.schemas import EXPECTED_COLUMNS, PLANS
 from changeloom.sources.changelog import (BASE_MICROS, DATE_SHIFT_DAYS, DAY_MS, DAY_US,
                                           DEVICES, EVENT_TYPE_MAP, HOUR_US, LATE_DELAY_MS,
@@ -413,5 +414,66 @@ def _run_sql() -> str:
 BODIES["pipeline_run"] = _run_sql()
 
 
+# The rules of sources.faults, added to the CTEs of the derivation.
+_FAULT_ROWS = [
+    ("FROM u_base WHERE k % 37 = 0)", f"""
+  UNION ALL SELECT -k, 'c', c_ms, c_name, 99, 0, CASE WHEN k % 82 <> 0 THEN email END, created_at
+    FROM u_base WHERE k % 41 = 0"""),
+    ("FROM s_fin WHERE k % 50 = 0)", f"""
+  UNION ALL SELECT -k, user_id + {NO_USER}, CASE WHEN k % 106 = 0 THEN 98 ELSE 7 END, started_at, 'c', start_ms,
+         'bogus', NULL FROM s_fin WHERE k % 53 = 0"""),
+]
+
+
+def _faulty_ctes() -> str:
+    """The CTEs with the faulty events.  Payments and events have another
+    natural key than clean ones, so their raw rows are added whole."""
+    out = CTES.replace(f"(VALUES {_plan_rows})", f"(VALUES {_plan_rows}, (7, 'Free', 0, 'weekly'))")
+    for end, rows in _FAULT_ROWS:
+        assert end in out
+        out = out.replace(end, end[:-1] + rows + ")")
+    pay = _finish("payments", f"""(SELECT *, 'c' AS op, created_at // 1000 AS ts_ms, 0 AS late_ms,
+        st0 AS status_text, concat_ws('|', k, 'c', created_at // 1000) AS natural_key,
+        json_object('payment_id', k, 'subscription_id', subscription_id, 'amount', amount_text, 'status', st0,
+          'created_at', created_at)::VARCHAR AS after
+      FROM (SELECT -l_orderkey AS k, l_orderkey + {NO_SUBSCRIPTION} AS subscription_id,
+              l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag,
+              created_at + CASE WHEN l_orderkey % 177 = 0 THEN {TEN_YEARS_US} ELSE 0 END AS created_at,
+              CASE WHEN l_orderkey % 118 <> 0 THEN amount_text END AS amount_text,
+              CASE WHEN l_orderkey % 177 = 0 THEN 'success' ELSE 'unknown' END AS st0
+            FROM pay_base WHERE l_orderkey % 59 = 0 AND l_linenumber = 1))""")
+    ev = _finish("events", f"""(SELECT *, 'c' AS op, created_at // 1000 AS ts_ms, 0 AS late_ms,
+        concat_ws('|', k, 'c', created_at // 1000) AS natural_key,
+        json_object('event_id', k, 'user_id', user_id, 'event_type', event_type, 'properties', NULL,
+          'created_at', created_at)::VARCHAR AS after
+      FROM (SELECT -event_id - 1 AS k, -event_id - 1 AS event_id, user_id + {NO_USER} AS user_id,
+              NULL::VARCHAR AS event_type, created_at FROM e_base WHERE event_id % 61 = 0))""")
+    out = out.replace("pay_raw AS (", f"pay_bad AS ({pay}),\npay_raw AS (SELECT * FROM pay_bad UNION ALL BY NAME (", 1)
+    out = out.replace("),\ne_base AS (", ")),\ne_base AS (", 1)
+    out = out.replace("raw_log AS (", f"e_bad AS ({ev}),\nraw_log AS (", 1)
+    return out.replace("FROM e_raw WHERE op IN ('c', 'r')),", """FROM e_raw WHERE op IN ('c', 'r')
+  UNION ALL BY NAME SELECT cdc_id, op AS cdc_op, ts_ms AS cdc_ts_ms, consumed_at AS cdc_consumed_at, event_id, user_id,
+         event_type, make_timestamp(created_at) AS created_at FROM e_bad),""", 1)
+
+
+_DRIFT = f"""drift_raw AS ({_finish("users", f"""(SELECT k, 'u' AS op, c_ms + {120 * DAY_MS} AS ts_ms, 0 AS late_ms,
+    concat_ws('|', k, 'drift') AS natural_key,
+    json_object('user_id', 'u' || k, 'mail', email, 'name', c_name, 'plan_id', 1, 'created_at', 'soon',
+      'phone', '555')::VARCHAR AS after FROM u_base WHERE k % 47 = 0)""")}),
+drifted_log AS (
+  SELECT cdc_id, topic, partition, offset_value, op, source_table, before, after, ts_ms, consumed_at FROM raw_log
+  UNION ALL SELECT cdc_id, topic, partition, offset_value, op, source_table, before, after, ts_ms, consumed_at
+  FROM drift_raw),
+recent_log AS (SELECT * FROM drifted_log WHERE ts_ms >= {DRIFT_SINCE_MS})"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {name: f"WITH {CTES}\n{body}" for name, body in BODIES.items()}
+    q = {name: f"WITH {CTES}\n{body}" for name, body in BODIES.items()}
+    faulty = _faulty_ctes()
+    q |= {f"{name}_faulty": f"WITH {faulty}\n{BODIES[name]}"
+          for name in ("dq_report", "fk_violations", "orphan_payments", "non_positive_mrr",
+                       "revenue_by_day", "revenue_by_month")}
+    drifted = f"{CTES.rstrip()},\n{_DRIFT}\n"
+    q["type_drift_faulty"] = f"WITH {drifted}{BODIES['type_drift'].replace('raw_log', 'drifted_log')}"
+    q["schema_drift_recent"] = f"WITH {drifted}{BODIES['schema_drift'].replace('raw_log', 'recent_log')}"
+    return q

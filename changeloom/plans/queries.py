@@ -17,7 +17,8 @@ from changeloom.operators.parse import parse_change_events
 from changeloom.plans import checks, marts, metrics, staging
 from changeloom.session import stage
 from changeloom.sources.changelog import change_messages
-from changeloom.sources.changelog import change_log
+from changeloom.sources.changelog import BASE_MICROS, DAY_MS, change_log
+from changeloom.sources.faults import drift_events, fault_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,15 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_log(spark, sf_dir)
 
 
+def faulty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log with the faulty events of ``sources.faults``."""
+    return raw(spark, sf_dir).unionByName(fault_events(spark, sf_dir))
+
+
+def drifted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw(spark, sf_dir).unionByName(drift_events(spark, sf_dir))
+
+
 def _stg(name: str) -> Query:
     return lambda spark, d: staging.STAGING_MODELS[name](raw(spark, d))
 
@@ -39,16 +49,16 @@ def _latest_subs(spark: SparkSession, d: str) -> DataFrame:
     return metrics.latest_subscriptions(_subscription_facts(spark, d, ["cdc_id"]))
 
 
-def _fct_payments(spark: SparkSession, d: str) -> DataFrame:
-    r = raw(spark, d)
+def _fct_payments(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
+    r = log(spark, d)
     return marts.fct_payments(staging.stg_payments_base(r), staging.stg_subscriptions(r))
 
 
-def revenue_by_day(spark: SparkSession, d: str) -> DataFrame:
+def revenue_by_day(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
     """Every calendar day with its payments and revenue (zero-filled), and the
     payment days outside the calendar, which have no calendar columns."""
     from pyspark.sql import functions as F
-    pay = (_fct_payments(spark, d)
+    pay = (_fct_payments(spark, d, log)
            .groupBy(F.to_date("created_at").alias("date_day"))
            .agg(F.count(F.lit(1)).alias("payments"),
                 F.sum("recognised_revenue").alias("revenue")))
@@ -113,7 +123,8 @@ def scd2_hard_deletes(spark: SparkSession, d: str) -> DataFrame:
                                         "user_id", F.lit(SCD2_RUN_AT))
 
 
-def models(spark: SparkSession, d: str, persist: set[str] | None = None) -> dict[str, DataFrame]:
+def models(spark: SparkSession, d: str, persist: set[str] | None = None,
+           log: Query = raw) -> dict[str, DataFrame]:
     """Every staging model and mart over the change log of ``d``.
 
     The marts named in ``persist`` are written once as Parquet below the
@@ -121,7 +132,7 @@ def models(spark: SparkSession, d: str, persist: set[str] | None = None) -> dict
     each check then reads its columns only.  Staging stays lazy (views), each
     staging model then scanned once per fused check pass.
     """
-    r = raw(spark, d)
+    r = log(spark, d)
     stg = {name: fn(r) for name, fn in staging.STAGING_MODELS.items()}
     m = dict(stg)
     m["dim_users"] = marts.dim_users(stg["stg_users"])
@@ -144,15 +155,15 @@ FOREIGN_KEYS = [
 ]
 
 
-def dq_report(spark: SparkSession, d: str) -> DataFrame:
-    return quality.dq_report(models(spark, d, persist=set(marts.MARTS)), checks.project_checks())
+def dq_report(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
+    return quality.dq_report(models(spark, d, set(marts.MARTS), log), checks.project_checks())
 
 
-def fk_violations(spark: SparkSession, d: str) -> DataFrame:
+def fk_violations(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
     from functools import reduce
     from pyspark.sql import functions as F
     used = {c for _, child, _, parent, _ in FOREIGN_KEYS for c in (child, parent)}
-    m = models(spark, d, persist=used & set(marts.MARTS))
+    m = models(spark, d, used & set(marts.MARTS), log)
     parts = [orphans(m[child], m[parent], col, pcol, ignore_null=True)
              .agg(F.count(F.lit(1)).alias("violations"))
              .select(F.lit(name).alias("fk"), "violations")
@@ -160,13 +171,25 @@ def fk_violations(spark: SparkSession, d: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def orphan_payments(spark: SparkSession, d: str) -> DataFrame:
-    m = models(spark, d)
+def orphan_payments(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
+    m = models(spark, d, log=log)
     return orphans(m["fct_payments"], m["fct_subscriptions"], "subscription_id").drop("_pk")
 
 
-def non_positive_mrr(spark: SparkSession, d: str) -> DataFrame:
-    return quality.non_positive(models(spark, d)["fct_subscriptions"], "mrr")
+def non_positive_mrr(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
+    return quality.non_positive(models(spark, d, log=log)["fct_subscriptions"], "mrr")
+
+
+# Recent drift is judged on the events of the last users' changes.
+DRIFT_SINCE_MS = BASE_MICROS // 1000 + 120 * DAY_MS
+
+
+def _faulty(query) -> Query:
+    return lambda spark, d: query(spark, d, faulty_log)
+
+
+FAULTY = {f"{q.__name__}_faulty": _faulty(q)
+          for q in (dq_report, fk_violations, orphan_payments, non_positive_mrr, revenue_by_day)}
 
 
 def _parsed(spark: SparkSession, d: str):
@@ -328,6 +351,11 @@ def registry() -> dict[str, Query]:
         "replay_dedup": lambda s, d: monitor.dedup_offsets(_parsed(s, d)[0]),
         "late_events": lambda s, d: monitor.late_events(staging.stg_users(raw(s, d)), "user_id"),
         "schema_drift": lambda s, d: monitor.schema_drift(raw(s, d), monitor.expected_columns(s)),
+        **FAULTY,
+        "revenue_by_month_faulty": lambda s, d: metrics.revenue_by_month(_fct_payments(s, d, faulty_log)),
+        "schema_drift_recent": lambda s, d: monitor.schema_drift(
+            drifted_log(s, d), monitor.expected_columns(s), DRIFT_SINCE_MS),
+        "type_drift_faulty": lambda s, d: monitor.type_drift(drifted_log(s, d)),
         "type_drift": lambda s, d: monitor.type_drift(raw(s, d)),
         "silence_gaps": lambda s, d: monitor.silence_gaps(raw(s, d)),
         "batch_stats": batch_stats,

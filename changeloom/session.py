@@ -96,10 +96,3 @@ def unstage(*tables: DataFrame) -> None:
     for t in tables:
         for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
             remove_path(t.sparkSession, folder)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its
-    lineage (reliable checkpoint: survives the loss of executors)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -133,7 +133,7 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(ev, "users")
 
 
-def plan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def plan_events(spark: SparkSession, sf_dir: str, plans: list[tuple] = PLANS) -> DataFrame:
     """Catalogue plans plus one yearly price review per year with orders."""
     o = read_table(spark, sf_dir, "orders", ["o_orderdate"])
     base_ms = BASE_MICROS // 1000
@@ -145,7 +145,7 @@ def plan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(pid).alias("plan_id"), F.lit(name).alias("name"),
                  F.lit(int(price.replace(".", ""))).cast("bigint").alias("base_cents"),
                  F.lit(cycle).alias("billing_cycle"))
-        for pid, name, price, cycle in PLANS])
+        for pid, name, price, cycle in plans])
     # Base events: one 'c' per catalogue plan (year 2024 stands for creation).
     creation = spark.range(1).select(F.lit(2024).alias("year"))
     ev = (creation.unionByName(years)
