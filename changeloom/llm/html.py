@@ -65,7 +65,8 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>", re.I | re.S)
-ATTR = re.compile(r"(class|id|role|style|aria-hidden|hidden)(?=[\s=/]|$)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+CAMEL = re.compile(r"([a-z])([A-Z])")
 WORDS = re.compile(r"[a-z]+")
 
 
@@ -156,7 +157,7 @@ def _names(tag: str, attrs: str) -> tuple[str, bool]:
     """Generalised classes and id of a tag, and whether they mark clutter."""
     names, drop = [], False
     for m in ATTR.finditer(attrs):
-        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        kind, value = m[1].lower(), CAMEL.sub(r"\1-\2", m[2] or m[3] or m[4] or "").lower()
         if kind in ("class", "id"):
             parts = sorted(value.split()) if kind == "class" else [value.strip()]
             names += [("." if kind == "class" else "#") + re.sub(r"\d+", "0", x)[:40] for x in parts if x]

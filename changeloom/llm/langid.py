@@ -108,7 +108,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> tupl
     """Languages and log probabilities (buckets + 1 rows) from ``docs(doc_id,
     text, lang)``: about ``sample`` documents of every language, chosen by id
     hash.  What reaches the driver is bounded by buckets x languages."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    labelled = docs.where(F.col("lang").isNotNull())
     per = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
            .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
     if not per:

@@ -102,7 +102,7 @@ m AS (
   FROM w JOIN lines USING (doc_id) LEFT JOIN repeats r USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
-       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 2 * n_symbols > n_words
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 5 * n_symbols > n_words
             OR word_chars < 2 * n_words OR word_chars > 25 * n_words OR 2 * n_dup_lines > n_lines) AS kept
 FROM m
 """

@@ -109,12 +109,12 @@ BASE_RULES = (
     Rule("short", lambda f: f["n_words"] < 20),
     Rule("repeats", lambda f: 100 * f["n_repeat_words"] > 30 * f["n_words"]),
 )
-# Margins are wide, so that plain prose passes: a symbol or more for every two
+# Margins are wide, so that plain prose passes: more than a symbol for every five
 # words, words of under 2 or over 25 characters on average, and over half of
 # the lines repeated.
 PRODUCTION_RULES = (
     *BASE_RULES,
-    Rule("symbols", lambda f: 2 * f["n_symbols"] > f["n_words"]),
+    Rule("symbols", lambda f: 5 * f["n_symbols"] > f["n_words"]),
     Rule("short_words", lambda f: f["word_chars"] < 2 * f["n_words"]),
     Rule("long_words", lambda f: f["word_chars"] > 25 * f["n_words"]),
     Rule("dup_lines", lambda f: 2 * f["n_dup_lines"] > f["n_lines"]),
