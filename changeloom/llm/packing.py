@@ -17,12 +17,14 @@ an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,10 +35,9 @@ from changeloom.session import stage
 TOKENS = "doc_id bigint, run bigint, run_offset bigint, n_tokens bigint, ids binary"
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, ids binary")
-# Fixed value: the pattern by which the byte-level vocabulary splits a text
-# before it merges bytes.  No merge crosses its matches.
+# Fixed value: the pattern by which byte-level vocabularies split a text.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 200_000
+CACHE = 600_000
 
 
 def default_tokenizer() -> str:
@@ -44,30 +45,82 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_alphabet() -> dict[str, int]:
+    """The printable characters by which byte-level vocabularies write bytes."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class ByteTokenizer:
     """Ids of a byte-level tokenizer file as little-endian uint32 bytes.
 
-    The vocabulary encodes each pre-token by itself, so frequent pre-tokens are
-    looked up and only new ones are encoded.  The look-up table is emptied when
-    it holds ``CACHE`` entries, which bounds its memory and changes no id.
+    A byte-level vocabulary splits a text before it merges bytes, and always
+    before a blank or line feed that follows a visible character.  So the
+    stretches between those are encoded each by itself, and frequent ones are
+    looked up.  The look-up table is emptied when it holds ``CACHE`` entries,
+    which bounds its memory and changes no id.  A text with white space next to
+    white space, and any text of another kind of tokenizer, is encoded whole.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(PRE_TOKEN).findall
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        parts = [self.split(t) for t in texts]
-        new = list({p for words in parts for p in words if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in words]) for words in parts]
+        self.merge = self._merger(json.loads(definition))
+        self.known: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes | None] = {}            # stretches that begin a line
+        self.line = self._whole("\n")
+
+    @staticmethod
+    def _merger(definition: dict):
+        """Encoder of single stretches, if the file is a plain byte-level
+        vocabulary whose ids rise in merge order."""
+        model, split = definition["model"], definition.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges") or ()]
+        vocabulary = model.get("vocab") or {}
+        if (model.get("type") != "BPE" or split.get("type") != "ByteLevel" or split.get("add_prefix_space")
+                or not split.get("use_regex", True) or definition.get("normalizer") or model.get("dropout")):
+            return None
+        ids = [vocabulary[a + b] for a, b in merges]
+        special = {t["content"] for t in definition.get("added_tokens") or ()}
+        if not merges or ids != sorted(ids):
+            return None
+        alphabet = _byte_alphabet()
+        ranks = {bytes(alphabet[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        return tiktoken.Encoding("packing", pat_str=PRE_TOKEN, mergeable_ranks=ranks,
+                                 special_tokens={}).encode_ordinary
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _new(self, stretch: str, begins: bool) -> bytes | None:
+        """Ids of a stretch (after a blank, unless it begins a line); None if it
+        is empty or white space is at its border."""
+        if not stretch or stretch[-1].isspace() or (begins and stretch[0].isspace()):
+            ids = None
+        else:
+            ids = array("I", self.merge(stretch if begins else " " + stretch)).tobytes()
+        (self.first if begins else self.known)[stretch] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if self.merge is None or not text:
+            return self._whole(text)
+        if len(self.known) + len(self.first) > CACHE:
+            self.known.clear()
+            self.first.clear()
+        known, first, new, out = self.known, self.first, self._new, []
+        try:
+            for line in text.split("\n"):
+                head, *rest = line.split(" ")
+                out.append(first[head] if head in first else new(head, True))
+                out += [known[w] if w in known else new(w, False) for w in rest]
+                out.append(self.line)
+            out.pop()
+            return b"".join(out)
+        except TypeError:               # a None: white space meets white space
+            return self._whole(text)
 
 
 def _tokenise(definition, end_id: int, step: int = 1 << 20):
@@ -84,7 +137,7 @@ def _tokenise(definition, end_id: int, step: int = 1 << 20):
                 while to < len(texts) and (to == at or chars + len(texts[to] or "") <= step):
                     chars += len(texts[to] or "")
                     to += 1
-                packed = [x + end for x in tokenizer.encode([t or "" for t in texts[at:to]])]
+                packed = [tokenizer.encode(t or "") + end for t in texts[at:to]]
                 counts = np.array([len(x) // 4 for x in packed], np.int64)
                 starts = offset + np.concatenate([[0], np.cumsum(counts)[:-1]])
                 offset += int(counts.sum())
