@@ -202,16 +202,17 @@ def sequences(pieces: DataFrame, window: int = 2048, pad_id: int = 0) -> DataFra
     A sequence shorter than the window is padded with ``pad_id``, unless its
     length is a power of two.  A group holds at most one window of ids.
     """
-    @F.pandas_udf("binary")
-    def padded(parts: "pd.Series") -> "pd.Series":          # noqa: F821
-        def one(items):
-            ids = b"".join(bytes(x["ids"]) for x in items)
-            n = len(ids) // 4
-            return ids if n & (n - 1) == 0 else ids + np.array([pad_id], "<u4").tobytes() * (window - n)
-        return parts.map(one)
-
-    ordered = F.array_sort(F.collect_list(F.struct("offset", "ids")))
-    return (pieces.groupBy("sequence_id").agg(F.sum("length").alias("length"), ordered.alias("_p"))
-            .select("sequence_id", "length", padded("_p").alias("ids")))
-
-
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filler = np.array([pad_id], "<u4").tobytes()
+        for b in batches:
+            out = []
+            for parts in b.column("parts").to_pylist():
+                ids = b"".join(p["ids"] for p in parts)
+                n = len(ids) // 4
+                out.append(ids if n & (n - 1) == 0 else ids + filler * (window - n))
+            yield pa.RecordBatch.from_arrays([b.column("sequence_id"), b.column("length"), pa.array(out, pa.binary())],
+                                             names=["sequence_id", "length", "ids"])
+
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return (pieces.groupBy("sequence_id").agg(F.sum("length").alias("length"), parts.alias("parts"))
+            .mapInArrow(assemble, "sequence_id bigint, length bigint, ids binary"))
