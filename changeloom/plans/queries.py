@@ -15,10 +15,11 @@ from changeloom.operators import monitor, quality, scd2
 from changeloom.operators.joins import orphans
 from changeloom.operators.parse import parse_change_events
 from changeloom.plans import checks, marts, metrics, staging
-from changeloom.session import stage
+from changeloom.session import scratch_path, stage
 from changeloom.sources.changelog import change_messages
 from changeloom.sources.changelog import BASE_MICROS, DAY_MS, change_log
 from changeloom.sources.faults import drift_events, fault_events
+from changeloom.sources.files import read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,12 +128,17 @@ def models(spark: SparkSession, d: str, persist: set[str] | None = None,
            log: Query = raw) -> dict[str, DataFrame]:
     """Every staging model and mart over the change log of ``d``.
 
-    The marts named in ``persist`` are written once as Parquet below the
-    checkpoint folder, as the tests of a table run against the built table;
+    With ``persist`` the log is landed and the marts it names are written once
+    as Parquet below the checkpoint folder, as the tests of a table run against the built table;
     each check then reads its columns only.  Staging stays lazy (views), each
     staging model then scanned once per fused check pass.
     """
     r = log(spark, d)
+    if persist:
+        # Checks scan the staging models many times: land the log once.
+        path = scratch_path(spark, "log")
+        r.write.partitionBy("source_table").parquet(path)
+        r = read_raw(spark, path)
     stg = {name: fn(r) for name, fn in staging.STAGING_MODELS.items()}
     m = dict(stg)
     m["dim_users"] = marts.dim_users(stg["stg_users"])
