@@ -51,6 +51,30 @@ def _object(text: Column) -> Column:
     return dedup_map_last(let(wrapped, lambda a: F.when((F.size(a) == 1) & ~closes_early, a[0])))
 
 
+# A number, not a string, that a variant would respell: with a fraction, an
+# exponent or 19 digits and more.
+_RESPELLED = r"[:\[,]\s*-?\d+(\.|[eE]|\d{18,})"
+
+
+def _image_text(image: Column, text: Column, is_envelope: Column) -> Column:
+    """The row image as JSON text.  Numbers keep their kind and value, integers of
+    any size and floats alike (1.0 stays a float): where the message has one that
+    a variant would change, the values that are not strings are read as text."""
+    raw = dedup_map_last(F.when(
+        is_envelope, F.from_json(text, "struct<payload:map<string,string>>")["payload"])
+        .otherwise(F.from_json(text, "map<string,string>")))
+
+    def exact(r: Column) -> Column:
+        def item(k: Column, v: Column) -> Column:
+            keep = F.schema_of_variant(v).isin("STRING", "VOID")
+            return F.concat(F.to_json(k.cast("variant")), F.lit(":"),
+                            F.when(keep, F.to_json(v)).otherwise(r[k]))
+        return F.concat(F.lit("{"), F.array_join(F.transform(
+            F.map_entries(image), lambda e: item(e["key"], e["value"])), ","), F.lit("}"))
+
+    return F.when(text.rlike(_RESPELLED), let(raw, exact)).otherwise(F.to_json(image))
+
+
 def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
                         keep_columns: list[str] | None = None
                         ) -> tuple[DataFrame, DataFrame]:
@@ -138,5 +162,6 @@ def parse_messages(messages: DataFrame, consumed_at: Column | None = None,
         "topic", "partition", "offset_value", "value", "consumed_at", "op", "source_table",
         "ts_ms",
         F.when(op == F.lit("d"), F.lit(None).cast("string"))
-         .otherwise(F.to_json(F.col("_image"))).alias("after"),
+         .otherwise(_image_text(F.col("_image"), F.col("value").cast("string"),
+                                is_envelope)).alias("after"),
         reason.alias("reason"), *keep_columns)

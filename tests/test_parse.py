@@ -109,3 +109,15 @@ def test_whole_text_nulls_and_nested_duplicates(spark):
     assert json.loads(valid[9].after) == {"l": [{"z": 1}]}
     assert json.loads(valid[10].after) == {"id": 1, "__deleted": "false"}
     assert list(json.loads(valid[11].after)) == ["b", "a"] and json.loads(valid[11].after)["a"] == {"y": 2}
+
+
+def test_numbers_keep_their_kind_and_value(spark):
+    body = '"a":1.0,"b":12345678901234567890123456789012345678901234567890,"c":1e3,"s":"1.0 \\"x\\"","n":null,"l":[1.50],"o":{"y":2.0}'
+    meta = '"op":"c","table":"t","ts_ms":5'
+    valid, _ = _parse(spark, ["{" + body + "," + meta + "}",
+                              '{"schema":{},"payload":{' + body + "," + meta + "}}",
+                              '{"id":1,"__deleted":"false","v":2.50,' + meta + "}"])
+    same = lambda text: json.dumps(json.loads(text), separators=(",", ":"))     # noqa: E731
+    assert valid[1].after == valid[2].after == same("{" + body + "}")
+    assert valid[3].after == same('{"id":1,"__deleted":"false","v":2.50}')
+
