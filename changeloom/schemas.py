@@ -15,20 +15,12 @@ PLANS = [
     (5, "growth", "299.99", "annual"),
     (6, "pro", "799.99", "annual"),
 ]
-EVENT_TYPES = [
-    "page_view", "button_click", "feature_used", "plan_viewed",
-    "checkout_started", "checkout_abandoned", "support_ticket_opened",
-    "login", "logout",
-]
 SUBSCRIPTION_STATUSES = ["active", "cancelled", "paused", "expired"]
 PAYMENT_STATUSES = ["success", "failed", "refunded", "pending"]
 BILLING_CYCLES = ["monthly", "annual"]
 STAGED_OPS = ["c", "u", "r"]          # ops kept by the four entity models
 EVENT_OPS = ["c", "r"]                # events are insert-only
-CHANGE_OPS = ["c", "u", "d", "r"]
-SOURCE_TABLES = ["users", "plans", "subscriptions", "payments", "events"]
-# Connector metadata fields (plain and prefixed spelling).
-META_FIELDS = ["op", "table", "ts_ms"]
+# Connector metadata fields have a plain and a prefixed spelling.
 META_PREFIX = "__"
 DELETED_MARKER = "__deleted"
 # Row-image columns per source table with their declared types.

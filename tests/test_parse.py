@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from changeloom.operators.parse import parse_change_events
 from changeloom.schemas import MESSAGE_SCHEMA
 
-TS = 1745580000000
-USER = {"user_id": 1, "email": "u1@example.com", "name": "U One", "plan_id": 1,
-        "created_at": 1767225600000000}
+TS = 1709251200123
+USER = {"user_id": 1, "email": "ada@example.org", "name": "Ada", "plan_id": 1,
+        "created_at": 1704153600000000}
 
 
 def _parse(spark, values, topic="shop.public.users"):
@@ -30,7 +30,7 @@ def test_unit_cases(spark):
         {"user_id": 1, "op": "r", "table": "users", "ts_ms": TS},             # 5 snapshot
         {"user_id": 42, "email": "x@example.com", "op": "c", "table": "users", "ts_ms": TS},
     ]
-    valid, rejected = _parse(spark, [json.dumps(c) for c in cases] + ["not valid json {"])
+    valid, rejected = _parse(spark, [json.dumps(c) for c in cases] + ['{"user_id": 7, "op"'])
     assert valid[1].op == "c" and valid[1].source_table == "users" and valid[1].ts_ms == TS
     assert valid[1].topic == "shop.public.users" and valid[1].offset_value == 1
     assert valid[1].before is None
