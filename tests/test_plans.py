@@ -99,3 +99,21 @@ def test_revenue_keeps_payments_outside_the_calendar(spark):
         F.col("recognised_revenue").cast("decimal(10,2)").alias("recognised_revenue"), "is_successful")
     got = {r.year_month: float(r.revenue) for r in metrics.revenue_by_month(fct).collect()}
     assert got == {"2025-01": 10.0, "2031-02": 5.0, None: 7.0}
+
+
+def test_building_a_plan_runs_no_job(spark):
+    from changeloom.operators import monitor, scd2
+    raw = _landed(spark)
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-building", "plans only")
+    try:
+        subs, plans, users = staging.stg_subscriptions(raw), staging.stg_plans(raw), staging.stg_users(raw)
+        marts.fct_subscriptions(subs, plans)
+        metrics.revenue_by_month(marts.fct_payments(staging.stg_payments_base(raw), subs))
+        history = scd2.build_scd2(users, "user_id", tracked=["email", "plan_id"])
+        scd2.apply_scd2(history, users, "user_id", tracked=["email", "plan_id"], log=users)
+        monitor.silence_gaps(raw)
+        monitor.late_events(users, "user_id")
+        assert not sc.statusTracker().getJobIdsForGroup("plan-building")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
