@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import word_count
+from changeloom.session import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -79,8 +80,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     input gives equal output, in any partitioning.  ``cell_rows`` is the number
     of rows of one window (expected; ids are spread by hash).
     """
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        word_count(F.col(text_col)).alias("size"))
+    # Texts are read once: all that follows needs three narrow columns.
+    sized = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                              word_count(F.col(text_col)).alias("size")), "mix-sizes")
     targets = source_targets(sized.select("source", "size"), weights, share, max_repeat)
 
     tag = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
