@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import partitions_for
@@ -124,16 +124,18 @@ def merge_tree(digests: DataFrame, largest: bool, fan_in: int = 16) -> DataFrame
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.  Rows are found
-    again by id and text digest; of repeated rows the first in any order stays
+    again by id and text digest, in one shuffle; of repeated rows any one stays
     (they are equal in both)."""
-    from pyspark.sql import Window
+    def tag(c: Column) -> Column:       # never null: a plain equality join
+        return F.coalesce(c.cast("string"), F.lit(""))
+
     kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("sha256").alias("_sha"))
+        tag(F.col("doc_id")).alias("_id"), F.col("sha256").alias("_sha"))
     lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower())
     own = F.unhex(F.sha2(lowered.cast("binary"), 256))
     once = Window.partitionBy("_own_id", "_own").orderBy(F.lit(0))
-    return (docs.withColumns({"_own_id": F.col(id_col).cast("long"), "_own": own})
-            .join(kept, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
+    return (docs.withColumns({"_own_id": tag(F.col(id_col)), "_own": own})
+            .join(kept, (F.col("_own_id") == F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
             .withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
             .select(*[F.col(c) for c in docs.columns]))
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import crc_mod
@@ -130,47 +130,77 @@ def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> tupl
     return langs, logp.astype(np.float32)
 
 
+class Scorer:
+    """Languages and scores of lower-cased texts; ``model`` is (languages, log
+    probabilities)."""
+
+    def __init__(self, model: tuple, buckets: int = BUCKETS):
+        self.langs, self.logp = model
+        self.grams = Grams(buckets=buckets)
+
+    def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        names, scores = [], [np.zeros(0)]
+        for a, b in _chunks(texts):
+            codes, starts = self.grams.codes(texts[a:b])
+            total = np.zeros((b - a, max(1, len(self.langs))))
+            letters = np.add.reduceat(codes != 32, starts, dtype=np.int64)
+            if self.langs:
+                for h in self.grams.hashes(codes):
+                    for k in range(len(self.langs)):
+                        total[:, k] += np.add.reduceat(self.logp[:, k][h], starts, dtype=np.float64)
+            best = total.argmax(axis=1)
+            top = total[np.arange(b - a), best]
+            sure = (letters > 0) & bool(self.langs)
+            names += [self.langs[i] if s else UNKNOWN for i, s in zip(best, sure)]
+            scores.append(np.where(sure, 1.0 / np.exp(total - top[:, None]).sum(axis=1), 0.0))
+        return names, np.concatenate(scores)
+
+
 def _score(model, buckets: int):
-    """``model`` is a broadcast of (languages, log probabilities)."""
+    """``model`` is a broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, logp = model.value
-        grams = Grams(buckets=buckets)
+        scorer = Scorer(model.value, buckets)
         for batch in batches:
-            texts = _lowered(batch.column("text"))
-            for a, b in _chunks(texts):
-                codes, starts = grams.codes(texts[a:b])
-                total = np.zeros((b - a, max(1, len(langs))))
-                known = np.add.reduceat(codes != 32, starts, dtype=np.int64) if len(codes) else np.zeros(b - a, np.int64)
-                if langs:
-                    for h in grams.hashes(codes):
-                        for k in range(len(langs)):
-                            total[:, k] += np.add.reduceat(logp[:, k][h], starts, dtype=np.float64)
-                best = total.argmax(axis=1)
-                top = total[np.arange(b - a), best]
-                score = 1.0 / np.exp(total - top[:, None]).sum(axis=1)
-                sure = (known > 0) & bool(langs)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a),
-                     pa.array([langs[i] if s else UNKNOWN for i, s in zip(best, sure)], pa.string()),
-                     pa.array(np.where(sure, score, 0.0))],
-                    names=["doc_id", "held_out", "lang_pred", "score"])
+            names, scores = scorer(_lowered(batch.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)],
+                names=["doc_id", "held_out", "lang_pred", "score"])
     return run
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             folds: int = 3, fold: int = 1, sample: int = SAMPLE, buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, held_out, lang_pred and score (posterior of the prediction) of
-    every row; documents of the held-out fold take no part in the training."""
-    spark = docs.sparkSession
+def _accept(model, buckets: int, place: int, min_score: float):
+    """Pass the rows on whose text (column number ``place``) is accepted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model.value, buckets)
+        for batch in batches:
+            names, scores = scorer(_lowered(batch.column(place)))
+            yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, scores)], pa.bool_()))
+    return run
+
+
+def _fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, fold: int,
+            sample: int, buckets: int):
+    """The rows to score and a broadcast of the model of the training folds."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(lang_col).alias("lang"),
                        (crc_mod(F.col(id_col), folds) == fold).alias("held_out"))
     langs, logp = train(docs.where(~F.col("held_out")), sample, buckets)
-    model = spark.sparkContext.broadcast((langs, np.asfortranarray(logp)))
+    return docs, docs.sparkSession.sparkContext.broadcast((langs, np.asfortranarray(logp)))
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             folds: int = 3, fold: int = 1, sample: int = SAMPLE, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, held_out, lang_pred and score (posterior of the prediction) of
+    every row; documents of the held-out fold take no part in the training."""
+    docs, model = _fitted(docs, id_col, text_col, lang_col, folds, fold, sample, buckets)
     return docs.select("doc_id", "held_out", "text").mapInArrow(
         _score(model, buckets), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def accepted(min_score: float = 0.5) -> Column:
-    """A prediction that names a language with a fair posterior."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    folds: int = 3, fold: int = 1, sample: int = SAMPLE, buckets: int = BUCKETS,
+                    min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose prediction names a
+    language with a posterior of at least ``min_score``.  No shuffle."""
+    _, model = _fitted(docs, id_col, text_col, lang_col, folds, fold, sample, buckets)
+    return docs.mapInArrow(_accept(model, buckets, docs.columns.index(text_col), min_score), docs.schema)
