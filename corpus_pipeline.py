@@ -18,9 +18,7 @@ from changeloom.sources.tables import read_table
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model names with a fair score stay
     (operator 2); those without a letter, or unclear, go."""
-    judged = langid.identify(docs)
-    gone = judged.where(~langid.accepted()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return langid.keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
