@@ -223,11 +223,9 @@ def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     micro-batches by the landing stream, and the landed log is read back with
     replays removed.
     """
-    import uuid
     from pyspark.sql import functions as F
-    from changeloom.session import checkpoint_dir
     from changeloom.streaming.landing import read_change_stream, read_landed, start_landing
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream_landing-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "stream_landing")
     files = _write_messages(spark, d, f"{base}/in")
     stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": str(-(-files // STREAM_BATCHES))},
                                 f"{base}/in")
@@ -252,11 +250,9 @@ def _write_messages(spark: SparkSession, d: str, path: str) -> int:
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Replays removed by the stream itself: the messages arrive in files that
     mix old and new event times, and every position comes out once."""
-    import uuid
     from pyspark.sql import functions as F
-    from changeloom.session import checkpoint_dir
     from changeloom.streaming.landing import read_change_stream
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream_dedup-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "stream_dedup")
     files = _write_messages(spark, d, f"{base}/in")
     stream = read_change_stream(spark, "parquet", {"maxFilesPerTrigger": str(-(-files // STREAM_BATCHES))},
                                 f"{base}/in")
@@ -315,11 +311,8 @@ def pipeline_run(spark: SparkSession, d: str) -> DataFrame:
     """One scheduled run (staging -> marts -> snapshots -> tests) over the
     change log, written under the shared checkpoint folder; returns the run
     log without its wall-clock seconds."""
-    import uuid
     from changeloom.plans.pipeline import run_pipeline
-    from changeloom.session import checkpoint_dir
-    out = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    return run_pipeline(spark, raw(spark, d), out).drop("seconds")
+    return run_pipeline(spark, raw(spark, d), scratch_path(spark, "pipeline")).drop("seconds")
 
 
 def registry() -> dict[str, Query]:
