@@ -13,12 +13,15 @@ are clustered by the frequent words around their endings.
    (a block is a run of documents of bounded size within a partition) and
    writes both.  Word counts are summed over the blocks: they, and what is
    shuffled, grow with the corpus; only totals per class reach the driver.
-2. The class factor is fitted on a bounded sample of training documents by
-   distributed gradient updates: every shard runs mini-batch steps from the
-   broadcast weights, the shards' weights are averaged piece by piece, and the
-   next round starts from the mean.
-3. The counts are joined back to the block dictionaries, and each block is
-   scored in numpy, sparse rows of weights added up per token.
+2. The counts are joined back to the block dictionaries; every document is
+   written as the buckets of its words, with its base score and what of its
+   word factor does not depend on the classes.
+3. The class factor is fitted on all training documents by distributed gradient
+   updates: every shard (their number grows with the corpus) runs mini-batch
+   steps from the broadcast weights, equal histories of a run of text as one;
+   the shards' weights are averaged piece by piece in a tree, every feature row
+   by how often a shard met it, and the next round starts from the mean.
+4. Documents are scored in numpy, sparse rows of weights added up per token.
 
 Defined results: a null text is empty and scores its end token; a null id
 counts as empty text for the fold; repeated rows are scored alike; an empty
@@ -46,15 +49,20 @@ HEADS = 28              # frequent words (with the end of text) that are classes
 TAILS = 36              # classes of the other words
 ENDINGS = 4096          # hashed word endings
 WEIGHT_ROWS = 1 << 14   # hashed feature rows
-SHARDS, ROUNDS = 8, 3
-SAMPLE = 6000           # expected training documents of the class factor
+SHARDS, ROUNDS = 8, 3   # fewest shards, if there are so many partitions
+SHARD_TOKENS = 1 << 23  # expected training tokens of a shard of a larger corpus
+RUN_TOKENS = 1 << 20    # tokens whose equal histories are trained as one
+PIECES, FAN_IN = 64, 16  # of the weights, and of the tree that averages them
 BLOCK_BYTES = 8 << 20   # text of a block
 RATE = 0.3
 END = b""               # the end of a text; no word is empty
 
 TOKENS = ("block bigint, doc_id bigint, held_out boolean, words binary, "
           "place int, token binary, n bigint")
+BUCKETS = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
+           "word_score double, buckets binary")
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+PART = "piece bigint, part bigint, n binary, weights binary"
 
 
 def _blocks(block_bytes: int):
@@ -128,8 +136,13 @@ class Model:
 def features(buckets: np.ndarray, classes: np.ndarray, n_classes: int, n_rows: int) -> np.ndarray:
     """Feature rows (4 x positions) of a padded sequence: bucket 1 and 2 back,
     both, and both classes.  The first two positions are padding."""
-    b1, b2 = np.roll(buckets, 1).astype(np.uint64), np.roll(buckets, 2).astype(np.uint64)
-    c1, c2 = np.roll(classes, 1), np.roll(classes, 2)
+    return _feature_rows(np.roll(buckets, 1), np.roll(buckets, 2), np.roll(classes, 1), np.roll(classes, 2),
+                         n_classes, n_rows)
+
+
+def _feature_rows(b1: np.ndarray, b2: np.ndarray, c1: np.ndarray, c2: np.ndarray, n_classes: int,
+                  n_rows: int) -> np.ndarray:
+    b1, b2 = b1.astype(np.uint64), b2.astype(np.uint64)
     pairs = (n_classes + 1) ** 2
     room = np.uint64(n_rows - pairs)
 
@@ -165,21 +178,52 @@ def _buckets_of(text: bytes | None, heads: dict[bytes, int]) -> np.ndarray:
     return np.array([heads[w] if w in heads else zlib.crc32(w[-3:]) % ENDINGS for w in words], np.int64)
 
 
-def _profiles(heads: dict[bytes, int], span: int = 4):
-    """How often each head occurs within ``span`` words of every bucket."""
+def _sequences(heads: dict[bytes, int]):
+    """The buckets of texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = ENDINGS + len(heads)
-        table = np.zeros((n, len(heads)), np.int64)
         for batch in batches:
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                b = _buckets_of(text, heads)
-                for k in range(1, min(span, len(b) - 1) + 1):
-                    for x, y in ((b[:-k], b[k:]), (b[k:], b[:-k])):
-                        hit = y >= ENDINGS
-                        np.add.at(table, (x[hit], y[hit] - ENDINGS), 1)
-                np.add.at(table, (b, 0), 1)          # the first column: occurrences
-        row, head = np.nonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(head), pa.array(table[row, head])],
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_buckets_of(t, heads).astype("<u2").tobytes() for t in texts], pa.binary())], names=["buckets"])
+    return run
+
+
+def _runs(batches: Iterator[pa.RecordBatch], pad: int, size: int = RUN_TOKENS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Padded sequences, and masks of what is to be predicted, about ``size``
+    tokens at a time; a longer text goes on behind its last two tokens."""
+    held, many = [], 0
+    for batch in batches:
+        for b in batch.column("buckets").to_pylist():
+            held.append(np.frombuffer(b, "<u2").astype(np.int64))
+            many += len(held[-1])
+            if many >= size:
+                flat, real = _padded(held, pad)
+                for at in range(0, len(flat), 2 * size):
+                    lo = max(0, at - 2)
+                    part = real[lo:at + 2 * size].copy()
+                    part[:at - lo] = False
+                    yield flat[lo:at + 2 * size], part
+                held, many = [], 0
+    if held:
+        yield _padded(held, pad)
+
+
+def _profiles(n_heads: int, span: int = 4):
+    """How often each head occurs within ``span`` words of every bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = ENDINGS + n_heads
+        table = np.zeros(n * n_heads, np.int64)
+        for flat, real in _runs(batches, n):
+            text = np.cumsum(~real)
+            for k in range(1, span + 1):
+                same = (text[:-k] == text[k:]) & real[:-k] & real[k:]
+                for x, y in ((flat[:-k], flat[k:]), (flat[k:], flat[:-k])):
+                    hit = same & (y >= ENDINGS)
+                    table += np.bincount(x[hit] * n_heads + y[hit] - ENDINGS, minlength=len(table))
+            # the first column: occurrences
+            table[::n_heads] += np.bincount(flat[real], minlength=n)
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at // n_heads), pa.array(at % n_heads), pa.array(table[at])],
                                          names=["bucket", "head", "n"])
     return run
 
@@ -204,51 +248,99 @@ def _cluster(table: np.ndarray, heads: int, tails: int, rounds: int = 10) -> np.
     return np.concatenate([heads + near, np.arange(heads)]).astype(np.int64)
 
 
+def _train(m, weights: np.ndarray, bias: np.ndarray, speed: np.ndarray, seen: np.ndarray, flat: np.ndarray,
+           real: np.ndarray, rate: float, batch: int) -> None:
+    """Mini-batch steps, in place, over the histories of a run of text, each
+    with the counts of the classes that follow it."""
+    n = len(m.classes) + 1
+    at = np.flatnonzero(real)
+    classes = np.append(m.classes, m.size)
+    found = np.sort((flat[at - 1] * n + flat[at - 2]) * m.size + classes[flat[at]])
+    first = np.flatnonzero(np.diff(found, prepend=-1))
+    many = np.diff(first, append=len(found))                    # of a history and a class
+    history, goal = np.divmod(found[first], m.size)
+    start = np.flatnonzero(np.diff(history, prepend=-1))        # of a history
+    rank = np.random.default_rng(len(found)).permutation(len(start))
+    place = np.repeat(rank, np.diff(start, append=len(history)))
+    order = np.argsort(place, kind="stable")
+    place, goal, many = place[order], goal[order], many[order]
+    whole = np.empty(len(start), np.int64)
+    whole[rank] = history[start]
+    b1, b2 = np.divmod(whole, n)
+    rows = _feature_rows(b1, b2, classes[b1], classes[b2], m.size, len(weights))
+    total = np.bincount(place, weights=many, minlength=len(whole)).astype(np.float32)
+    for f in rows:
+        seen[:-1] += np.bincount(f, weights=total, minlength=len(weights))
+    seen[-1] += len(found)
+    cuts = np.searchsorted(place, np.arange(0, len(whole) + batch, batch))
+    for i, lo, hi in zip(range(0, len(whole), batch), cuts, cuts[1:]):
+        r, each = rows[:, i:i + batch], total[i:i + batch]
+        slope = np.exp(_log_softmax(weights, bias, r))
+        slope *= each[:, None]
+        slope[place[lo:hi] - i, goal[lo:hi]] -= many[lo:hi]
+        bias -= rate * slope.sum(axis=0) / each.sum()
+        for f in r:                     # sum the slopes of equal rows, one step per row
+            order = np.argsort(f, kind="stable")
+            first = np.flatnonzero(np.diff(f[order], prepend=-1))
+            where, step = f[order][first], np.add.reduceat(slope[order], first, axis=0)
+            speed[where] += (step ** 2).mean(axis=1)
+            weights[where] -= rate * step / np.sqrt(speed[where])[:, None] / 4
+
+
 def _train_shard(model, rate: float, batch: int = 2048):
-    """Mini-batch steps over one shard; yields the shard's weights by piece."""
-    def run(table: pa.Table) -> pa.Table:
+    """Mini-batch steps over one shard, a partition; yields by piece its weights
+    and how often it met each of their rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = SimpleNamespace(**model.value)
-        heads = {w: ENDINGS + i for i, w in enumerate(m.heads)}
         weights, bias = m.weights.copy(), m.bias.copy()
-        speed = np.full(len(weights), 1e-3, np.float32)
-        texts = table.sort_by("doc_id").column("text").cast(pa.binary()).to_pylist()
-        pad = len(m.classes)
-        classes = np.append(m.classes, m.size)
-        for at in range(0, len(texts), 64):
-            flat, real = _padded([_buckets_of(t, heads) for t in texts[at:at + 64]], pad)
-            own = classes[flat]
-            rows = features(flat, own, m.size, len(weights))[:, real]
-            goal = own[real]
-            for i in range(0, len(goal), batch):
-                r, y = rows[:, i:i + batch], goal[i:i + batch]
-                slope = np.exp(_log_softmax(weights, bias, r))
-                slope[np.arange(len(y)), y] -= 1
-                bias -= rate * slope.mean(axis=0)
-                for f in r:                 # sum the slopes of equal rows, one step per row
-                    order = np.argsort(f, kind="stable")
-                    first = np.flatnonzero(np.diff(f[order], prepend=-1))
-                    where, step = f[order][first], np.add.reduceat(slope[order], first, axis=0)
-                    speed[where] += (step ** 2).mean(axis=1)
-                    weights[where] -= rate * step / np.sqrt(speed[where])[:, None] / 4
-        whole = np.vstack([weights, bias[None]]).astype("<f4")
-        pieces = np.array_split(whole, 64)
-        return pa.table({"piece": pa.array(range(64), pa.int64()),
-                         "weights": pa.array([p.tobytes() for p in pieces], pa.binary())})
+        speed, seen = np.full(len(weights), 1e-3, np.float32), np.zeros(len(weights) + 1)
+        for flat, real in _runs(batches, len(m.classes)):
+            _train(m, weights, bias, speed, seen, flat, real, rate, batch)
+        if seen[-1]:
+            whole = np.vstack([weights, bias[None]]).astype("<f4")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(PIECES), pa.int64()), pa.array([TaskContext.get().partitionId()] * PIECES, pa.int64()),
+                 pa.array([p.tobytes() for p in np.array_split(seen, PIECES)], pa.binary()),
+                 pa.array([p.tobytes() for p in np.array_split(whole, PIECES)], pa.binary())],
+                names=["piece", "part", "n", "weights"])
     return run
 
 
 def _mean(table: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(b, "<f4") for b in table.column("weights").to_pylist()]
-    return pa.table({"piece": table.column("piece").slice(0, 1),
-                     "weights": pa.array([np.mean(parts, axis=0, dtype=np.float64).astype("<f4").tobytes()], pa.binary())})
-
-
-def fit_classes(sample: DataFrame, heads: list[bytes], tails: int = TAILS, rounds: int = ROUNDS,
+    """Mean of every row, weighted by how often the shards met it: a row that
+    few shards met is not drawn to where the round began."""
+    seen, total = 0.0, 0.0
+    table = table.sort_by("part")
+    for n, w in zip(table.column("n").to_pylist(), table.column("weights").to_pylist()):
+        n = np.frombuffer(n, "<f8")
+        share = np.maximum(n, 1e-9)     # not met by any: all are where the round began
+        seen, total = seen + share, total + np.frombuffer(w, "<f4").reshape(len(n), -1) * share[:, None]
+    return pa.table({"piece": table.column("piece").slice(0, 1), "part": table.column("part").slice(0, 1),
+                     "n": pa.array([seen.tobytes()], pa.binary()),
+                     "weights": pa.array([(total / seen[:, None]).astype("<f4").tobytes()], pa.binary())})
+
+
+def _averaged(parts: DataFrame, many: int) -> DataFrame:
+    """One row a piece, by a tree over the numbers of at most ``many`` shards."""
+    while many > FAN_IN:
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("piece", "part").applyInArrow(_mean, PART)
+        many = -(-many // FAN_IN)
+    return parts.groupBy("piece").applyInArrow(_mean, PART)
+
+
+def fit_classes(docs: DataFrame, heads: list[bytes], tails: int = TAILS, rounds: int = ROUNDS,
                 n_rows: int = WEIGHT_ROWS, rate: float = RATE) -> Model:
-    """The class factor from ``sample(doc_id, text)`` (a bounded table)."""
-    spark = sample.sparkSession
+    """The class factor from all of ``docs(doc_id, text)``."""
     numbered = {w: ENDINGS + i for i, w in enumerate(heads)}
-    counted = (sample.select("text").mapInArrow(_profiles(numbered), "bucket bigint, head bigint, n bigint")
+    return _fit(docs.select("text").mapInArrow(_sequences(numbered), "buckets binary"), heads, tails, rounds, n_rows, rate)
+
+
+def _fit(sequences: DataFrame, heads: list[bytes], tails: int = TAILS, rounds: int = ROUNDS,
+         n_rows: int = WEIGHT_ROWS, rate: float = RATE) -> Model:
+    """The class factor from all of ``sequences(buckets)``, which are read once
+    for the classes and once a round."""
+    spark = sequences.sparkSession
+    counted = (sequences.mapInArrow(_profiles(len(heads)), "bucket bigint, head bigint, n bigint")
                .groupBy("bucket", "head").agg(F.sum("n").alias("n")).toArrow())
     table = np.zeros((ENDINGS + len(heads), len(heads)), np.int64)
     table[counted["bucket"].to_numpy(), counted["head"].to_numpy()] = counted["n"].to_numpy()
@@ -257,59 +349,77 @@ def fit_classes(sample: DataFrame, heads: list[bytes], tails: int = TAILS, round
     share = np.bincount(classes, weights=table[:, 0], minlength=size) + 1.0
     model = Model(heads, classes, np.log(share / share.sum()).astype(np.float32),
                   np.zeros((n_rows, size), np.float32), np.zeros(size), 0, 0)
-    sharded = sample.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)))
+    shards = max(SHARDS, -(-int(table[:, 0].sum()) // SHARD_TOKENS))
+    sharded = sequences.coalesce(shards)
     for _ in range(rounds):
         now = spark.sparkContext.broadcast(model.plain())
-        pieces = (sharded.groupBy("shard").applyInArrow(_train_shard(now, rate), "piece bigint, weights binary")
-                  .groupBy("piece").applyInArrow(_mean, "piece bigint, weights binary").toArrow())
+        pieces = _averaged(sharded.mapInArrow(_train_shard(now, rate), PART), shards).toArrow()
         found = dict(zip(pieces["piece"].to_pylist(), pieces["weights"].to_pylist()))
         if found:
-            whole = np.frombuffer(b"".join(found[k] for k in range(64)), "<f4").reshape(n_rows + 1, size)
+            whole = np.frombuffer(b"".join(found[k] for k in range(PIECES)), "<f4").reshape(n_rows + 1, size)
             model.weights, model.bias = whole[:-1].copy(), whole[-1].copy()
         now.unpersist()
     return model
 
 
-def _score(model, chunk: int = 1 << 16):
-    """Scores of the documents of a block given its dictionary."""
+def _bucketed(total: int, distinct: int):
+    """Documents of a block as buckets, given its dictionary, with what of their
+    scores does not depend on the classes."""
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        m = SimpleNamespace(**model.value)
+        docs = docs.sort_by("doc_id")
         order = np.argsort(words.column("place").to_numpy())
         count = words.column("c").to_numpy()[order].astype(np.float64)
-        bucket = words.column("bucket").to_numpy()[order].astype(np.int64)
-        sequences = [np.frombuffer(b, "<u4").astype(np.int64) for b in docs.column("words").to_pylist()]
-        # per dictionary entry: log10 of the base and of the word factor
-        base = np.log10(count + 1) - np.log10(m.total + m.distinct + 1)
-        own = m.classes[bucket]
-        word = np.where(bucket >= ENDINGS, 0.0, np.log10(count + 1) - np.log10(m.mass[own] + 1))
+        bucket = words.column("bucket").to_numpy()[order]
+        # per dictionary entry: log10 of the base and of the word factor's count
+        base = np.log10(count + 1) - np.log10(total + distinct + 1)
+        word = np.where(bucket >= ENDINGS, 0.0, np.log10(count + 1))
         known = (count > 0).astype(np.int64)
-
-        pad = len(count)
-        flat, real = _padded(sequences, pad)
-        buckets, classes = np.append(bucket, len(m.classes))[flat], np.append(own, m.size)[flat]
-        log_class = np.zeros(len(flat))
-        for at in range(0, len(flat), chunk):
-            # two positions of history come before the chunk
-            lo = max(0, at - 2)
-            rows = features(buckets[lo:at + chunk], classes[lo:at + chunk], m.size, len(m.weights))[:, at - lo:]
-            mask = real[at:at + chunk]
-            z = _log_softmax(m.weights, m.bias, rows[:, mask])
-            log_class[at:at + chunk][mask] = z[np.arange(len(z)), classes[at:at + chunk][mask]]
+        sequences = [np.frombuffer(b, "<u4") for b in docs.column("words").to_pylist()]
         starts = np.cumsum([0, *(len(s) for s in sequences[:-1])])
-        flat, log_class = flat[real], log_class[real] / np.log(10)
-        total = lambda x: np.add.reduceat(x, starts)       # noqa: E731  no sequence is empty
+        flat = np.concatenate(sequences)
+        summed = lambda x: np.add.reduceat(x[flat], starts)       # noqa: E731  no sequence is empty
+        bucket = bucket.astype("<u2")
         return pa.table({
             "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
-            "n_tokens": pa.array([len(s) for s in sequences], pa.int64()), "n_known": pa.array(total(known[flat])),
-            "base_score": pa.array(total(base[flat])), "score": pa.array(total(log_class + word[flat]))})
+            "n_tokens": pa.array([len(s) for s in sequences], pa.int64()), "n_known": pa.array(summed(known)),
+            "base_score": pa.array(summed(base)), "word_score": pa.array(summed(word)),
+            "buckets": pa.array([bucket[s].tobytes() for s in sequences], pa.binary())})
+    return run
+
+
+def _score(model, chunk: int = 1 << 16):
+    """Scores of documents given as buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = SimpleNamespace(**model.value)
+        pad = len(m.classes)
+        mass = np.append(np.where(np.arange(m.size) < len(m.heads), 0.0, np.log10(m.mass + 1)), 0.0)
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
+            sequences = [np.frombuffer(b, "<u2").astype(np.int64) for b in batch.column("buckets").to_pylist()]
+            buckets, real = _padded(sequences, pad)
+            classes = np.append(m.classes, m.size)[buckets]
+            log_class = np.zeros(len(buckets))
+            for at in range(0, len(buckets), chunk):
+                # two positions of history come before the chunk
+                lo = max(0, at - 2)
+                rows = features(buckets[lo:at + chunk], classes[lo:at + chunk], m.size, len(m.weights))[:, at - lo:]
+                mask = real[at:at + chunk]
+                z = _log_softmax(m.weights, m.bias, rows[:, mask])
+                log_class[at:at + chunk][mask] = z[np.arange(len(z)), classes[at:at + chunk][mask]]
+            starts = np.cumsum([0, *(len(s) for s in sequences[:-1])])
+            score = np.add.reduceat((log_class / np.log(10) - mass[classes])[real], starts)     # no sequence is empty
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")),
+                 pa.array(score + batch.column("word_score").to_numpy())],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2,
-                sample: int = SAMPLE, heads: int = HEADS, tails: int = TAILS,
+                sample: int | None = None, heads: int = HEADS, tails: int = TAILS,
                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
-    (log10 probability of the text) of every row."""
+    (log10 probability of the text) of every row.  The class factor is fitted on
+    all training documents, or on about ``sample`` of them."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        (crc_mod(F.col(id_col), folds) == fold).alias("held_out"))
@@ -320,24 +430,26 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = [bytes(r["token"]) for r in counts.where((F.length("token") > 0) & (F.col("c") > 0))
                 .orderBy(F.col("c").desc(), "token").limit(heads - 1).collect()]
     head_words = [END, *frequent]
-    n_docs = docs.where(~F.col("held_out")).select(F.lit(1)).count()
-    drawn = F.pmod(F.xxhash64(F.lit("lm"), "doc_id"), F.lit(1 << 20)) < int(min(1.0, sample / max(1, n_docs)) * (1 << 20))
-    model = fit_classes(stage(docs.where(~F.col("held_out") & drawn).select("doc_id", "text"), "lm-sample"),
-                        head_words, tails)
-
     own = F.create_map(*[x for i, w in enumerate(head_words) for x in (F.lit(bytearray(w)), F.lit(ENDINGS + i))])
     bucket = F.coalesce(F.try_element_at(own, F.col("token")), ending_of(F.col("token")))
     counts = counts.withColumn("bucket", bucket)
-    of_class = F.element_at(F.array(*[F.lit(int(k)) for k in model.classes]), F.col("bucket") + 1)
-    known = counts.where("c > 0")
-    for row in known.groupBy(of_class.alias("k")).agg(F.sum(F.col("c") + 1).alias("mass"), F.sum("c").alias("c"),
-                                                      F.count(F.lit(1)).alias("v")).collect():
-        model.mass[row["k"]] = row["mass"]
-        model.total, model.distinct = model.total + row["c"], model.distinct + row["v"]
-    now = spark.sparkContext.broadcast(model.plain())
+    known = (counts.where("c > 0").groupBy("bucket")
+             .agg(F.sum(F.col("c") + 1).alias("mass"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect())
+    total, distinct = sum(r["c"] for r in known), sum(r["v"] for r in known)
 
     words = (entries.select("block", "place", "token").join(counts, "token")
              .select("block", "place", "c", "bucket"))
     texts = tokens.where("words IS NOT NULL").select(F.col("block").alias("own"), "doc_id", "held_out", "words")
-    return (texts.groupBy("own").cogroup(words.groupBy("block")).applyInArrow(_score(now), SCORES)
-            .withColumn("train_tokens", F.lit(int(model.total)).cast("long")))
+    texts = stage(texts.groupBy("own").cogroup(words.groupBy("block")).applyInArrow(_bucketed(total, distinct), BUCKETS),
+                  "lm-buckets")
+
+    trained = texts.where(~F.col("held_out"))
+    if sample is not None:
+        share = min(1.0, sample / max(1, trained.count()))
+        trained = trained.where(F.pmod(F.xxhash64(F.lit("lm"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    model = _fit(trained.select("buckets"), head_words, tails)
+    for r in known:
+        model.mass[model.classes[r["bucket"]]] += r["mass"]
+    model.total, model.distinct = total, distinct
+    now = spark.sparkContext.broadcast(model.plain())
+    return texts.mapInArrow(_score(now), SCORES).withColumn("train_tokens", F.lit(int(total)).cast("long"))

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,33 @@ def test_language_model_beats_unigrams_on_held_out_text(spark):
     assert r["s"] / r["n"] > r["b"] / r["n"] + 0.1
 
 
+def test_class_factor_is_fitted_on_all_training_documents(spark):
+    """Histories that stand only in documents which a draw of 6000 leaves out."""
+    left_out = F.pmod(F.xxhash64(F.lit("lm"), "id"), F.lit(1 << 20)) >= 1 << 19
+    docs = spark.range(16_000).select(F.col("id").alias("doc_id"), F.when(left_out, "c d c d c d").otherwise("a b a b a b").alias("text"))
+    got = lm.score_texts(docs).join(docs, "doc_id").where("held_out").groupBy("text").agg(
+        F.avg("score").alias("s"), F.avg("base_score").alias("b")).collect()
+    assert len(got) == 2 and all(r.s > r.b + 2 for r in got)
+
+
+def test_long_texts_are_trained_whole():
+    """Runs of a text longer than a run lose and repeat no token."""
+    texts = [np.arange(k) % 4000 for k in (1, 7, 95, 3)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.astype("<u2").tobytes() for t in texts])], names=["buckets"])
+    runs = list(lm._runs(iter([batch]), 5000, size=10))
+    assert len(runs) > 3 and [int(x) for f, r in runs for x in f[r]] == [int(x) for t in texts for x in t]
+    for flat, real in runs:
+        for i in np.flatnonzero(real):
+            assert i >= 2 and flat[i - 1] == (flat[i] - 1 if flat[i] else 5000)
+
+
+def test_means_weigh_shards_by_what_they_met():
+    def part(k, n, w):
+        return {"piece": 0, "part": k, "n": np.array(n, "<f8").tobytes(), "weights": np.array(w, "<f4").tobytes()}
+    got = lm._mean(pa.Table.from_pylist([part(1, [3, 0], [[1, 1], [5, 5]]), part(2, [1, 0], [[5, 5], [5, 5]])])).to_pylist()[0]
+    assert np.allclose(np.frombuffer(got["weights"], "<f4"), [2, 2, 5, 5])
+
+
 def test_class_factor_sums_to_one(spark):
     sample = documents(spark).select("doc_id", "text")
     m = lm.fit_classes(sample, [b"", b"word"], tails=5, rounds=1)
