@@ -39,7 +39,10 @@ DEPTH = 400             # deeper elements become siblings: bounds work on broken
 FAIR = 0.25             # share of the running text that a winning path must hold
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|title|select|object|canvas|audio|video"
+# Elements whose content is text up to their end tag, and embedded ones, which
+# are dropped if their end tag stands where it belongs.
+RAW = frozenset("script style noscript template textarea iframe title".split())
+EMBEDS = frozenset("svg math select object canvas audio video".split())
 BLOCKS = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre figure figcaption address fieldset hr details summary center header footer nav aside "
@@ -59,12 +62,13 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
           "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody"),
           "option": ("option",)}
 # What an implied end tag may not cross.
-FENCES = frozenset("ul ol dl table body article main section div td".split())
+FENCES = frozenset("ul ol dl table body article main section div td".split()) | EMBEDS
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>", re.I | re.S)
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:._-]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
+    r"|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:._-]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>", re.I | re.S)
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 WORDS = re.compile(r"[a-z]+")
@@ -87,28 +91,41 @@ def parse(source: str) -> list[Node]:
     """The page as a list of nodes in page order; node 0 is the root."""
     nodes = [Node("html", -1, "")]
     stack, at = [0], 0
+    endless: set[str] = set()       # raw elements without an end tag in the rest of the page
 
     def text(piece: str) -> None:
         if piece:
             nodes[stack[-1]].parts.append(html.unescape(piece) if "&" in piece else piece)
 
-    def close(upto: int) -> None:
-        del stack[upto:]
+    def close(upto: int, own: bool = False) -> None:
+        _cut(nodes, stack, upto, own)
 
-    for m in TOKEN.finditer(source):
+    while m := TOKEN.search(source, at):
         text(source[at:m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if not tag:
             continue
         tag, ending = tag.lower(), m["end"] or m["end2"]
+        if tag in RAW:
+            foreign = m.group().endswith("/>") and any(nodes[k].tag in ("svg", "math") for k in stack)
+            if not ending and not foreign:
+                begin = source.index(">", m.start()) + 1
+                last = None if tag in endless else RAW_END[tag].search(source, begin)
+                if last:
+                    at = last.end()
+                else:
+                    endless.add(tag)
+                    if tag in ("script", "style"):
+                        at = len(source)
+            continue
         if ending:
             for k in range(len(stack) - 1, 0, -1):
                 open_tag = nodes[stack[k]].tag
                 if open_tag == tag:
-                    close(k)
+                    close(k, own=True)
                     break
-                if tag not in BLOCKS and open_tag in BLOCKS:
+                if tag not in BLOCKS and tag not in EMBEDS and open_tag in BLOCKS:
                     break           # an inline end tag does not close a block
                 if tag == "p" and open_tag in FENCES:
                     break
@@ -130,7 +147,7 @@ def parse(source: str) -> list[Node]:
         attrs = m["attrs"] or m["attrs2"] or ""
         parent = nodes[stack[-1]]
         names, drop = _names(tag, attrs) if attrs.strip() else ("", False)
-        node = Node(tag, stack[-1], f"{parent.path}>{tag}{names}" if len(stack) < 40 else parent.path, drop or tag in DROP_TAGS)
+        node = Node(tag, stack[-1], f"{parent.path}>{tag}{names}" if len(stack) < 40 else parent.path, drop or tag in DROP_TAGS or tag in EMBEDS)
         if tag in ("article", "main", "h1"):
             for k in stack:
                 nodes[k].keeper = True
@@ -139,15 +156,25 @@ def parse(source: str) -> list[Node]:
         if len(stack) < DEPTH and (tag in BLOCKS or not m.group().endswith("/>")):
             stack.append(len(nodes) - 1)
     text(source[at:])
+    close(1)
     return nodes
 
 
+def _cut(nodes: list[Node], stack: list[int], upto: int, own: bool = False) -> None:
+    """Close all from ``upto`` on, that one by its ``own`` end tag.  An embedded
+    element that another tag closes does not take what follows it along."""
+    for k in stack[upto + own:]:
+        if nodes[k].tag in EMBEDS:
+            nodes[k].drop = False
+    del stack[upto:]
+
+
 def _imply(nodes: list[Node], stack: list[int], tags: tuple) -> None:
     """Close the nearest open element of ``tags`` within the current fence."""
     for k in range(len(stack) - 1, 0, -1):
         tag = nodes[stack[k]].tag
         if tag in tags:
-            del stack[k:]
+            _cut(nodes, stack, k)
             return
         if tag in FENCES:
             return
@@ -172,7 +199,7 @@ def _names(tag: str, attrs: str) -> tuple[str, bool]:
 
 def _dropped(node: Node) -> bool:
     """Clutter, unless it is a wrapper marked by class that holds the article."""
-    return node.drop and (node.tag in DROP_TAGS or not node.keeper)
+    return node.drop and (node.tag in DROP_TAGS or node.tag in EMBEDS or not node.keeper)
 
 
 def measure(nodes: list[Node]) -> None:

@@ -45,6 +45,14 @@ def test_extract(body, text):
     assert page(body) == text
 
 
+@pytest.mark.parametrize("tag", [
+    "<svg class='i'/>", "<math/>", "<object data='x'/>", "<video-js id=a></video-js>", "<audio-player></audio-player>",
+    "<title-block></title-block>", "<select-menu></select-menu>", "<video src=x>", "<iframe src=x>",
+    "<svg><title/><text>no</text></svg>", "<video><p>no</video>", "<select><option>no</select>", "<title>no</title>"])
+def test_embedded_elements_end_where_they_end(tag):
+    assert page(f"<article><p>one</p>{tag}<p>two</p></article>") == "one\n\ntwo"
+
+
 def test_hosts_vote_for_a_container(spark):
     """A short page follows its host, although its side column is longer."""
     def site(main, side):
