@@ -225,7 +225,8 @@ def measure(nodes: list[Node]) -> None:
 
 def best_container(nodes: list[Node]) -> int:
     """The innermost container that holds most of the running text, widened to
-    its article or main element, or to a parent that holds its headline."""
+    its article or main element, or to the outermost parent that holds more of
+    the article beside it."""
     at = 0
     while True:
         children = [c for c in _children(nodes, at) if nodes[c].running >= COVER * max(1, nodes[at].running)]
@@ -240,13 +241,41 @@ def best_container(nodes: list[Node]) -> int:
         for n in seen:
             if nodes[n].tag == tag:
                 return n
-    for n in seen[1:]:
-        if nodes[n].tag not in ("html", "body") and any(
-                isinstance(p, int) and nodes[p].tag in ("h1", "h2") for p in nodes[n].parts):
-            return n
+    for below, n in zip(seen, seen[1:]):
+        if nodes[n].tag != "html" and _article_beside(nodes, n, below):
+            at = n
     return at
 
 
+def _article_beside(nodes: list[Node], n: int, below: int) -> bool:
+    """Does ``n`` hold more of the article than the child ``below`` does: loose
+    running text, a container like it, or a headline?  (h2 only before it or
+    loose: boxes at the side have headings, too.)"""
+    todo, before = [(p, False) for p in reversed(nodes[n].parts)], True
+    while todo:
+        part, boxed = todo.pop()
+        if isinstance(part, str):
+            if not boxed and any(map(str.isalnum, part)):
+                return True
+        elif part == below:
+            before = False
+        elif part is not None and not _dropped(nodes[part]):
+            node = nodes[part]
+            if node.tag == "h1" or (node.tag == "h2" and (before or not boxed)):
+                return True
+            if node.tag in CONTAINERS:
+                if node.running and node.path == nodes[below].path:
+                    return True
+                todo += [(p, True) for p in reversed(node.parts)]
+            elif node.tag in BLOCKS:
+                if node.running and not boxed:
+                    return True
+                todo += [(p, True) for p in reversed(node.parts)]
+            elif node.tag != "a":
+                todo += [(p, boxed) for p in reversed(node.parts)]
+    return False
+
+
 def _children(nodes: list[Node], n: int) -> Iterator[int]:
     """Container children, also those inside inline or other block elements."""
     todo = list(nodes[n].parts)

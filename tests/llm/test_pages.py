@@ -53,6 +53,17 @@ def test_embedded_elements_end_where_they_end(tag):
     assert page(f"<article><p>one</p>{tag}<p>two</p></article>") == "one\n\ntwo"
 
 
+@pytest.mark.parametrize("before, after, kept", [
+    ("<div class='entry-top'><h1>T</h1><p>lead</p></div>", "", "T\n\nlead\n\n{}"), ("<p>lead</p>", "", "lead\n\n{}"),
+    ("<h1>T</h1>", "", "T\n\n{}"), ("", "<p>end</p>", "{}\n\nend"), ("", "<div class=entry-content>end</div>", "{}\n\nend"),
+    ("", "<div class=box><h2>Popular</h2><p>x</p></div>", "{}"), ("<div class=top><a href=x>Site</a></div>", "", "{}")])
+@pytest.mark.parametrize("wrap", ["{}", "<div class=entry>{}</div>", "<div class=entry><div>{}</div></div>"])
+def test_long_bodies_keep_what_stands_beside_them(before, after, kept, wrap):
+    long = "running text of the article " * 60
+    got = page(wrap.format(f"{before}<div class=entry-content><p>{long}</p></div>{after}"))
+    assert got == kept.format(long.strip())
+
+
 def test_hosts_vote_for_a_container(spark):
     """A short page follows its host, although its side column is longer."""
     def site(main, side):
