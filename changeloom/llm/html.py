@@ -3,10 +3,10 @@
 First pass: every page is parsed, its containers are scored by the running
 text below them, and the page votes for the generalised path (tags, classes
 and ids with digits folded) of its best container.  Votes are summed per host
-and path in Spark.  Second pass: every page is parsed again with the winning
-paths of its host and the text of the winning container is taken; a page in
-which no winning path holds a fair part of the running text uses its own best
-container.
+and path in Spark, also of containers that pages leave out.  Second pass: every
+page is parsed again with the winning paths of its host and the text of all
+containers of a winning path is taken; a page whose own best container holds
+more, other than what the host's pages leave out, uses that one.
 
 Pages are never shuffled unless the winners (three paths a host) are too large
 for the planner's broadcast limit; then they meet in a join that splits hot
@@ -22,7 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from changeloom.session import stage
 
 PATHS = 3               # winning paths kept per host
+BESIDE = 20             # paths kept per host that its pages leave out
 FULL_VOTE = 1000        # vote of a page with at least FULL_TEXT characters of running text
 FULL_TEXT = 400
 COVER = 0.85            # a container is entered while one child holds this share
@@ -320,21 +321,46 @@ def block_texts(nodes: list[Node], n: int) -> list[str]:
     return blocks
 
 
-def extract(source: str, paths: list[str]) -> tuple[str, str]:
-    """Text of a page given its host's winning paths, and the path used."""
+def extract(source: str, paths: list[str], beside: Collection[str] = ()) -> tuple[str, str]:
+    """Text of a page given its host's winning paths and those that the host's
+    pages leave out, and the path used."""
     nodes = parse(source)
     measure(nodes)
-    total, chosen = nodes[0].running, None
+    total, best = nodes[0].running, best_container(nodes)
     for path in paths:
-        match = [n for n, x in enumerate(nodes) if x.path == path and x.tag in CONTAINERS and _visible(nodes, n)]
-        if match:
-            n = max(match, key=lambda k: (nodes[k].running, -k))
-            if nodes[n].running >= FAIR * total:
-                chosen = n
-                break
-    if chosen is None:
-        chosen = best_container(nodes)
-    return "\n\n".join(block_texts(nodes, chosen)), nodes[chosen].path
+        match = _outermost(nodes, lambda x: x.path == path)
+        held = sum(nodes[n].running for n in match)
+        if match and held >= FAIR * total:
+            inside = lambda n: best in _upward(nodes, n)       # noqa: E731
+            out = sum(nodes[n].running for n in _outermost(nodes, lambda x: x.path in beside and x.path != path)
+                      if inside(n) and not any(k in match for k in _upward(nodes, n))
+                      and not any(n in _upward(nodes, k) for k in match))
+            own = sum(nodes[n].running for n in match if inside(n)) if any(map(inside, match)) else held
+            if own >= COVER * (nodes[best].running - out):
+                return "\n\n".join(t for n in match for t in block_texts(nodes, n)), path
+    return "\n\n".join(block_texts(nodes, best)), nodes[best].path
+
+
+def _upward(nodes: list[Node], n: int) -> Iterator[int]:
+    while n >= 0:
+        yield n
+        n = nodes[n].parent
+
+
+def _outermost(nodes: list[Node], wanted: Callable[[Node], bool]) -> list[int]:
+    """Visible containers that are wanted, in page order, none within another."""
+    found: list[int] = []
+    for n, x in enumerate(nodes):
+        if x.tag in CONTAINERS and wanted(x) and _visible(nodes, n) and not any(k in found[-1:] for k in _upward(nodes, n)):
+            found.append(n)
+    return found
+
+
+def _left_out(nodes: list[Node], best: int) -> set[str]:
+    """Paths of the containers with running text beside the best one."""
+    chain = list(_upward(nodes, best))
+    paths = {nodes[c].path for n in chain[1:] for c in _children(nodes, n) if c not in chain and nodes[c].running}
+    return paths - {nodes[best].path}
 
 
 def _visible(nodes: list[Node], n: int) -> bool:
@@ -346,25 +372,28 @@ def _visible(nodes: list[Node], n: int) -> bool:
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Votes of the pages of a partition, summed by host and path."""
+    """Votes of the pages of a partition, summed by host, path and whether it is
+    that of a container left out."""
     votes: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
-        rows = [(h, p, v) for (h, p), v in votes.items()]
+        rows = [(*k, v) for k, v in votes.items()]
         votes.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))],
-            names=["host", "path", "votes"])
+            [pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.string(), pa.bool_(), pa.int64()))],
+            names=["host", "path", "beside", "votes"])
 
     for batch in batches:
         for host, source in zip(*(batch.column(c).to_pylist() for c in ("host", "html"))):
             if source:
                 nodes = parse(source)
                 measure(nodes)
-                best = nodes[best_container(nodes)]
-                vote = FULL_VOTE * min(best.running, FULL_TEXT) // FULL_TEXT
+                best = best_container(nodes)
+                vote = FULL_VOTE * min(nodes[best].running, FULL_TEXT) // FULL_TEXT
                 if vote:
-                    votes[host, best.path] += vote
+                    votes[host, nodes[best].path, False] += vote
+                    for path in _left_out(nodes, best):
+                        votes[host, path, True] += vote
         if len(votes) > 100_000:
             yield flush()
     if votes:
@@ -375,8 +404,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         # a few pages at a time: a batch may hold very long ones
         for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
-            rows = [extract(h or "", p or []) for h, p in zip(part.column("html").to_pylist(),
-                                                              part.column("paths").to_pylist())]
+            rows = [extract(h or "", p or [], b or ()) for h, p, b in zip(*(
+                part.column(c).to_pylist() for c in ("html", "paths", "beside")))]
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id").cast(pa.int64()), part.column("url").cast(pa.string()),
                  pa.array([t for t, _ in rows], pa.string()), pa.array([p for _, p in rows], pa.string()),
@@ -389,14 +418,20 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
 
 
-def host_paths(pages: DataFrame, paths: int = PATHS) -> DataFrame:
-    """host, paths: the winning container paths of every host, the best first."""
-    votes = (pages.select("host", "html").mapInArrow(_vote, "host string, path string, votes bigint")
-             .groupBy("host", "path").agg(F.sum("votes").alias("votes")))
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.col("votes").desc(), "path"))
-    top = votes.withColumn("rank", rank).where(F.col("rank") <= paths)
-    return (top.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path"))).alias("p"))
-            .select("host", F.col("p.path").alias("paths")))
+def host_paths(pages: DataFrame, paths: int = PATHS, beside: int = BESIDE) -> DataFrame:
+    """host, paths: the winning container paths of every host, the best first;
+    beside: paths of containers that more votes leave out than take."""
+    votes = (pages.select("host", "html").mapInArrow(_vote, "host string, path string, beside boolean, votes bigint")
+             .groupBy("host", "path").agg(F.sum(F.when(F.col("beside"), 0).otherwise(F.col("votes"))).alias("votes"),
+                                          F.sum(F.when(F.col("beside"), F.col("votes")).otherwise(0)).alias("out")))
+    rank = [F.row_number().over(Window.partitionBy("host").orderBy(F.col(c).desc(), "path")) for c in ("votes", "out")]
+    top = (votes.withColumn("rank", rank[0]).withColumn("out_rank", rank[1])
+           .withColumn("wins", (F.col("rank") <= paths) & (F.col("votes") > 0))
+           .withColumn("loses", (F.col("out_rank") <= beside) & (F.col("out") > F.col("votes"))).where("wins OR loses"))
+    return (top.groupBy("host").agg(
+        F.array_sort(F.collect_list(F.when(F.col("wins"), F.struct("rank", "path")))).alias("p"),
+        F.array_sort(F.collect_list(F.when(F.col("loses"), F.col("path")))).alias("beside"))
+        .select("host", F.col("p.path").alias("paths"), "beside"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -405,5 +440,5 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                          F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     winners = stage(host_paths(pages), "host-paths")
-    return (pages.join(winners, "host", "left").select("page_id", "url", "html", "paths")
+    return (pages.join(winners, "host", "left").select("page_id", "url", "html", "paths", "beside")
             .mapInArrow(_extract, "page_id bigint, url string, text string, path string, n_chars bigint"))

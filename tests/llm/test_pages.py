@@ -77,6 +77,20 @@ def test_hosts_vote_for_a_container(spark):
     assert got[0].text.count("\n\n") == 8
 
 
+def test_pages_of_another_shape_keep_their_article(spark):
+    """Several containers of the winning path, and a page in which it is a minor box."""
+    text = lambda w, n=9: "".join(f"<p>{(w + ' text of the article ') * 4}</p>" for _ in range(n))      # noqa: E731
+    site = "<body><div class=wrap>{}</div></body>"
+    rows = [(k, "http://h.org/1", site.format(f"<div class=post>{text('running')}</div>")) for k in range(5)]
+    rows += [(8, "http://h.org/2", site.format("".join(f"<div class=post>{text(w)}</div>" for w in ("one", "two", "three")))),
+             (9, "http://h.org/3", site.format(f"<div class=long>{text('main', 6)}</div><div class=post>{text('box', 4)}</div>"))]
+    got = {r.page_id: r.text for r in html.main_text(pages(spark, rows)).collect()}
+    assert [w for w in ("one", "two", "three") if w in got[8]] == ["one", "two", "three"] and got[8].count("\n\n") == 26
+    assert got[9].count("main text") == 24 and got[0].count("\n\n") == 8
+    both = "<div class=post><p>a b c d e</p></div><div class=post><p>f g h i j</p></div><div class=post><p>x</p></div>"
+    assert html.extract(both, [">div.post"])[0] == "a b c d e\n\nf g h i j\n\nx"
+
+
 def test_main_text_of_odd_pages(spark):
     got = html.main_text(pages(spark)).collect()
     assert len(got) == len(PAGES)
