@@ -168,13 +168,13 @@ def _score(model, buckets: int):
     return run
 
 
-def _accept(model, buckets: int, place: int, min_score: float):
-    """Pass the rows on whose text (column number ``place``) is accepted."""
+def _accept(model, buckets: int, place: int):
+    """Pass the rows on whose text (column number ``place``) is in a language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value, buckets)
         for batch in batches:
-            names, scores = scorer(_lowered(batch.column(place)))
-            yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, scores)], pa.bool_()))
+            names, _ = scorer(_lowered(batch.column(place)))
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
     return run
 
 
@@ -198,9 +198,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    folds: int = 3, fold: int = 1, sample: int = SAMPLE, buckets: int = BUCKETS,
-                    min_score: float = 0.5) -> DataFrame:
+                    folds: int = 3, fold: int = 1, sample: int = SAMPLE, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose prediction names a
-    language with a posterior of at least ``min_score``.  No shuffle."""
+    language.  No shuffle."""
     _, model = _fitted(docs, id_col, text_col, lang_col, folds, fold, sample, buckets)
-    return docs.mapInArrow(_accept(model, buckets, docs.columns.index(text_col), min_score), docs.schema)
+    return docs.mapInArrow(_accept(model, buckets, docs.columns.index(text_col)), docs.schema)

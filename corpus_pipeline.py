@@ -16,8 +16,8 @@ from changeloom.sources.tables import read_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model names with a fair score stay
-    (operator 2); those without a letter, or unclear, go."""
+    """Documents in a language that the model names stay (operator 2); those
+    without a letter go."""
     return langid.keep_identified(docs)
 
 

@@ -99,6 +99,14 @@ def test_language_held_out_accuracy(spark):
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("a")).first()["a"] > 0.98
 
 
+def test_unsure_languages_are_kept(spark):
+    """Equal texts in four languages: no posterior reaches a half."""
+    rows = [(k, "same text", "abcd"[k // 3 % 4], None) for k in range(24)] + [(99, "12", "a", None)]
+    docs = documents(spark, rows)
+    named = {r.doc_id for r in langid.identify(docs).where("lang_pred <> 'und'").collect()}
+    assert {r.doc_id for r in langid.keep_identified(docs).collect()} == named == set(range(24))
+
+
 def test_language_without_labels(spark):
     rows = [(k, "some text", None, None) for k in range(5)]
     assert {r.lang_pred for r in langid.identify(documents(spark, rows)).collect()} == {"und"}
