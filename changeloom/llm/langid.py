@@ -110,7 +110,9 @@ def train(docs: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> tupl
     hash.  What reaches the driver is bounded by buckets x languages."""
     labelled = docs.where(F.col("lang").isNotNull())
     per = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
+           .limit(LANGUAGES + 1).collect()}
+    if len(per) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: the model has one column each")
     if not per:
         return [], np.zeros((buckets + 1, 0), np.float32)
     langs = sorted(per)

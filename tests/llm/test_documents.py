@@ -107,6 +107,12 @@ def test_unsure_languages_are_kept(spark):
     assert {r.doc_id for r in langid.keep_identified(docs).collect()} == named == set(range(24))
 
 
+def test_too_many_languages_are_an_error(spark):
+    rows = [(k, "some text", f"l{k}", None) for k in range(3 * langid.LANGUAGES)]
+    with pytest.raises(ValueError, match="languages"):
+        langid.identify(documents(spark, rows))
+
+
 def test_language_without_labels(spark):
     rows = [(k, "some text", None, None) for k in range(5)]
     assert {r.lang_pred for r in langid.identify(documents(spark, rows)).collect()} == {"und"}
