@@ -346,7 +346,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents are linked when 100 * intersection >= percent * union of their
     shingle sets; a component is named by its smallest id, whose row is kept.
+    The sketch test holds for 75 percent or more and 250 bins, others are refused.
     """
+    if percent < 75 or bands * rows != BANDS * ROWS:
+        raise ValueError(f"percent must be at least 75 and bands * rows {BANDS * ROWS}: the sketch test is made for these")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
     signed = stage(docs.mapInArrow(_sign(width, bands, rows), SIGNED), "near-signatures")

@@ -113,6 +113,12 @@ def test_too_many_languages_are_an_error(spark):
         langid.identify(documents(spark, rows))
 
 
+@pytest.mark.parametrize("params", [{"percent": 50}, {"bands": 20}, {"rows": 6}])
+def test_near_duplicates_refuse_what_the_sketch_is_not_made_for(spark, params):
+    with pytest.raises(ValueError, match="sketch"):
+        near.near_duplicates(documents(spark, []), **params)
+
+
 def test_language_without_labels(spark):
     rows = [(k, "some text", None, None) for k in range(5)]
     assert {r.lang_pred for r in langid.identify(documents(spark, rows)).collect()} == {"und"}
