@@ -100,11 +100,11 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_unsure_languages_are_kept(spark):
-    """Equal texts in four languages: no posterior reaches a half."""
-    rows = [(k, "same text", "abcd"[k // 3 % 4], None) for k in range(24)] + [(99, "12", "a", None)]
+    """Letters that no language has: no posterior reaches a half."""
+    rows = [(k, "same text", "abcd"[k // 3 % 4], None) for k in range(24)] + [(99, "12", "a", None), (24, "zzz", None, None)]
     docs = documents(spark, rows)
     named = {r.doc_id for r in langid.identify(docs).where("lang_pred <> 'und'").collect()}
-    assert {r.doc_id for r in langid.keep_identified(docs).collect()} == named == set(range(24))
+    assert {r.doc_id for r in langid.keep_identified(docs).collect()} == named == set(range(25))
 
 
 def test_too_many_languages_are_an_error(spark):
