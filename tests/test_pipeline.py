@@ -10,7 +10,7 @@ from changeloom.plans.pipeline import run_pipeline
 from changeloom.sources.changelog import change_log, snapshot_events
 from changeloom.sources.files import publish_versioned, read_raw, read_versioned, write_raw
 
-from conftest import SF001
+from sf_folders import SF001
 
 
 def test_run_pipeline(spark):

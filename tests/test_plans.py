@@ -10,7 +10,7 @@ from changeloom.plans import marts, metrics, staging
 from changeloom.sources.changelog import change_log
 from changeloom.sources.files import read_raw, write_raw
 
-from conftest import SF001
+from sf_folders import SF001
 
 
 def _plan(df) -> str:

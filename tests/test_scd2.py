@@ -8,7 +8,7 @@ from changeloom.operators import scd2
 from changeloom.plans import staging
 from changeloom.sources.changelog import change_log
 
-from conftest import SF001
+from sf_folders import SF001
 
 
 def _events(spark):

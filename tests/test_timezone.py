@@ -3,7 +3,7 @@
 from changeloom.plans import staging
 from changeloom.sources.changelog import change_log
 
-from conftest import SF001
+from sf_folders import SF001
 
 
 def test_session_zone_independent(spark):
