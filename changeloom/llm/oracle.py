@@ -107,5 +107,70 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+                                   for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """CTEs of a tree over ``<name>0`` (tree, id, r, total, h, f): per level the
+    runs of up to three nodes, then every leaf's proof text and folded digest."""
+    out = [f"{name}n0 AS MATERIALIZED (SELECT tree, r AS idx, total, h FROM {name}0)",
+           f"{name}p0 AS MATERIALIZED (SELECT *, '' AS proof FROM {name}0)"]
+    for k in range(levels):
+        out.append(f"""{name}g{k} AS MATERIALIZED (
+  SELECT tree, idx // 3 AS idx, any_value(total) AS total, list(h ORDER BY idx) AS hs
+  FROM {name}n{k} GROUP BY tree, idx // 3)""")
+        out.append(f"""{name}n{k + 1} AS MATERIALIZED (
+  SELECT tree, idx, total, CASE WHEN total > {3 ** k} THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h
+  FROM {name}g{k})""")
+        out.append(f"""{name}p{k + 1} AS MATERIALIZED (
+  SELECT p.* EXCLUDE (proof, f, lft, rgt),
+         CASE WHEN p.total > {3 ** k} THEN proof || lft || rgt ELSE proof END AS proof,
+         CASE WHEN p.total > {3 ** k} THEN sha256(lft || f || rgt) ELSE f END AS f
+  FROM (SELECT p.*, coalesce(array_to_string(hs[1:(r // {3 ** k}) % 3], ''), '') AS lft,
+               coalesce(array_to_string(hs[(r // {3 ** k}) % 3 + 2:], ''), '') AS rgt
+        FROM {name}p{k} p JOIN {name}g{k} g
+          ON g.tree IS NOT DISTINCT FROM p.tree AND g.idx = p.r // {3 ** (k + 1)}) p)""")
+    return ",\n".join(out)
+
+
+# 3^13 documents a source and 3^8 sources; a level above a tree's own depth changes nothing.
+DOC_LEVELS, SOURCE_LEVELS = 13, 8
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(crc_table[(xor(c, b) & 255) + 1], c >> 8)))"""
+OP11 = f"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table),
+leaves AS MATERIALIZED (
+  SELECT source AS tree, source, doc_id, lang, n_chars, {_leaf_sql("text")} AS h,
+         CASE WHEN {CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS t
+  FROM documents, crc),
+d0 AS MATERIALIZED (
+  SELECT tree, doc_id, h, h AS leaf, {_leaf_sql("t")} AS f,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS r,
+         count(*) OVER (PARTITION BY tree) AS total FROM leaves),
+{_tree_sql("d", DOC_LEVELS)},
+s0 AS MATERIALIZED (
+  SELECT 0 AS tree, tree AS source, h, h AS f, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS r,
+         count(*) OVER () AS total FROM dn{DOC_LEVELS}),
+{_tree_sql("s", SOURCE_LEVELS)},
+-- The way above the subroot holds for every leaf of the source; a tampered leaf folds up it anew.
+f0 AS MATERIALIZED (
+  SELECT d.doc_id, d.leaf, d.f, d.proof AS below, s.proof AS above, s.h AS subroot, s.r, s.total, 0 AS tree
+  FROM dp{DOC_LEVELS} d JOIN sp{SOURCE_LEVELS} s ON s.source IS NOT DISTINCT FROM d.tree),
+{",".join(f"""
+f{k + 1} AS MATERIALIZED (
+  SELECT f.* EXCLUDE (f), CASE WHEN f.total > {3 ** k} THEN sha256(
+           coalesce(array_to_string(hs[1:(r // {3 ** k}) % 3], ''), '') || f
+           || coalesce(array_to_string(hs[(r // {3 ** k}) % 3 + 2:], ''), '')) ELSE f END AS f
+  FROM f{k} f JOIN sg{k} g ON g.idx = f.r // {3 ** (k + 1)})""" for k in range(SOURCE_LEVELS))}
+SELECT doc_id, leaf, subroot, root, sha256(below || above) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM f{SOURCE_LEVELS}, (SELECT h AS root FROM sn{SOURCE_LEVELS})
+"""
+
 ORACLE_SQL = {"op5_exact_dedup": OP5, "op6_warc": OP6, "op8_url_filter": OP8,
-              "op7_mix_sources": OP7, "op10_quality_rules": OP10}
+              "op7_mix_sources": OP7, "op10_quality_rules": OP10,
+              "op11_merkle_manifest": OP11}

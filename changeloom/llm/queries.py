@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import exact, html, langid, lm, mixing, near, oracle, packing, quality, urls, warc
+from changeloom.llm import exact, html, langid, lm, merkle, mixing, near, oracle, packing, quality, urls, warc
 from changeloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,10 +67,16 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
                          "n_repeat_words", base_failed.alias("base_failed"), "kept")
 
 
+def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents", merkle.FIELDS)
+    return merkle.manifest(docs, check=merkle.line_feeds_deleted()).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_main_text, op2_language_id, op3_lm_score, op4_near_dedup, op5_exact_dedup, op6_warc, op7_mix_sources, op8_url_filter,
-        op9_packing, op10_quality_rules)}
+        op9_packing, op10_quality_rules, op11_merkle_manifest)}
 
 
 def oracle_queries() -> dict[str, str]:
