@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import exact, html, langid, lm, merkle, mixing, near, oracle, packing, quality, urls, warc
+from changeloom.llm import exact, html, langid, lm, merkle, mixing, near, oracle, packing, quality, toxicity, urls, warc, whitening
 from changeloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,10 +73,22 @@ def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return toxicity.toxicity(docs, read_table(spark, d, "labels", ["doc_id", "toxic"]))
+
+
+def op13_whiten_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    vectors = read_table(spark, d, "embeddings", ["vec_id", "embedding"])
+    # A squared distance too large for a long is null here.
+    return whitening.whiten(vectors).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_main_text, op2_language_id, op3_lm_score, op4_near_dedup, op5_exact_dedup, op6_warc, op7_mix_sources, op8_url_filter,
-        op9_packing, op10_quality_rules, op11_merkle_manifest)}
+        op9_packing, op10_quality_rules, op11_merkle_manifest, op12_toxicity,
+        op13_whiten_embeddings)}
 
 
 def oracle_queries() -> dict[str, str]:
