@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import ts_to_micros
 from changeloom.operators.latest import latest_by_key
-from changeloom.operators.neighbors import DEFAULT_HOT_ROWS, mark_hot, with_neighbor
+from changeloom.operators.neighbors import ends, in_parts, met, with_neighbor
 from changeloom.schemas import DELETED_MARKER, EXPECTED_COLUMNS, expected_columns_rows
 
 POSITION = ["topic", "partition", "offset_value"]
@@ -88,14 +88,13 @@ def silence_gaps(raw: DataFrame, minutes: int = 30) -> DataFrame:
     A silence of a minute or more can only start at the last event of an
     occupied minute, so the log is first reduced to one row per (table,
     minute) with partial aggregation; the next occupied minute comes from the
-    bucketed neighbour operator, so a busy table is not one task.
+    neighbour operator, so a busy table is not one task.
     """
     m = (raw.select("source_table", "consumed_at",
                     F.floor(ts_to_micros(F.col("consumed_at")) / 60_000_000).alias("minute"))
          .groupBy("source_table", "minute")
          .agg(F.min("consumed_at").alias("first_at"), F.max("consumed_at").alias("last_at")))
-    n = with_neighbor(m, ["source_table"], ["minute"], F.floor(F.col("minute") / 1440),
-                      ["first_at"], "next", "next_")
+    n = with_neighbor(m, ["source_table"], ["minute"], ["first_at"], "next", "next_")
     gap_us = ts_to_micros(F.col("next_first_at")) - ts_to_micros(F.col("last_at"))
     return (n.where(F.col("next_first_at").isNotNull() & (gap_us >= minutes * 60_000_000))
             .select("source_table", F.col("last_at").alias("gap_start"),
@@ -145,28 +144,20 @@ def dedup_offsets(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
                          [F.col("consumed_at").asc(), F.col("cdc_id").asc()])
 
 
-def late_events(events: DataFrame, key: str, hot_rows: int | None = DEFAULT_HOT_ROWS
-                ) -> DataFrame:
+def late_events(events: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Events consumed after a newer event (higher ``cdc_ts_ms``) of the same
     key -> the event plus ``newer_ts_ms`` (the highest ts seen before it).
 
-    A running maximum per key.  Keys with more than ``hot_rows`` events are
-    split by day of consumption: within a day the window runs per (key, day);
-    earlier days contribute their maxima through a per-(hot key, day) table.
+    A running maximum per (key, part) of ``neighbors.in_parts``; the parts of a
+    split key hand on their maxima through a small table, so a hot key is not
+    one task.
     """
     order = ["cdc_consumed_at", "cdc_ts_ms", "cdc_id"]
-    day = F.floor(ts_to_micros(F.col("cdc_consumed_at")) / 86_400_000_000).cast("bigint")
-    e = mark_hot(events, [key], hot_rows)
-    e = e.withColumn("_d", F.when(F.col("_hot"), day).otherwise(F.lit(0).cast("bigint")))
-    w = Window.partitionBy(key, "_d").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    e = e.withColumn("_in_day", F.max("cdc_ts_ms").over(w))
-    days = e.where(F.col("_hot")).groupBy(key, "_d").agg(F.max("cdc_ts_ms").alias("_dmax"))
-    wd = Window.partitionBy(key).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(F.col(key).alias("_dk"), F.col("_d").alias("_dd"),
-                       F.max("_dmax").over(wd).alias("_before"))
-    cond = F.col("_hot") & F.col(key).eqNullSafe(F.col("_dk")) & (F.col("_d") == F.col("_dd"))
-    j = e.join(days, cond, "left")
-    newer = F.greatest(F.col("_in_day"), F.col("_before"))
-    return (j.withColumn("newer_ts_ms", newer)
+    cut = in_parts(events, [key], order, parts)
+    w = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends(cut, [key], F.col("cdc_ts_ms"), last=True).withColumn("_r", F.max("_r").over(across))
+    j = met(cut.withColumn("_within", F.max("cdc_ts_ms").over(w)), before, [key], F.col("_split"))
+    return (j.withColumn("newer_ts_ms", F.greatest("_within", "_r"))
             .where(F.col("newer_ts_ms") > F.col("cdc_ts_ms"))
-            .drop("_d", "_in_day", "_before", "_hot", "_dk", "_dd"))
+            .select(*events.columns, "newer_ts_ms"))

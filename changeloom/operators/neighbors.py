@@ -1,81 +1,106 @@
-"""Next / previous row within a key, exact, with hot keys split.
+"""Next / previous row within a key, exact, with no task per key.
 
 ``lead``/``lag`` over ``Window.partitionBy(key)`` sends every row of a key to
-one task; a key holding a third of the data would then be one task.  Here
-keys with more than ``hot_rows`` rows are found first (a partial
-aggregation; their number is bounded by ``rows / hot_rows``, a million keys
-for a trillion rows, so the set is broadcast).  Only those keys are split: their window
-runs per ``(key, bucket)`` where ``bucket`` is a coarse function of the
-leading order column (for example the hour of a timestamp), and the rows at
-bucket edges look across buckets through a small boundary table (hot keys x
-buckets).  All other keys run the ordinary window in one piece.  The result
-equals the plain window's.
+one task.  Here the rows in the order (key, order columns) are thought cut into
+parts of nearly equal size, and a key that a cut falls into is split there:
+
+1. A uniform sample, the row of the smallest hash in each of a fixed number of
+   hash cells, is sorted, and every so many rows one becomes a bound.  The
+   bounds are a function of the rows alone, so they come out the same when a
+   task is repeated or a plan computes them twice.
+2. A row of a key that has bounds finds its part among them by binary search;
+   all other keys are one part, and smaller than the distance of two bounds
+   as far as the sample tells.
+3. The window runs per (key, part).  Where it ends at a bound, the row takes the
+   first (last) row of the key's next (previous) part from a table of the parts'
+   ends.
+
+Both small tables are broadcast; they have at most ``SPLIT`` rows a shuffle
+partition, and twice as many, whatever the number of rows.  Rows equal in all
+order columns are not split.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys with more rows than this are split by bucket.
-DEFAULT_HOT_ROWS = 1_000_000
-
-
-def mark_hot(df: DataFrame, keys: list[str], hot_rows: int | None) -> DataFrame:
-    """Add ``_hot``: the row's key has more than ``hot_rows`` rows (all rows
-    when ``hot_rows`` is None).  NULL keys form one group."""
-    if hot_rows is None:
-        return df.withColumn("_hot", F.lit(True))
-    hk = [f"_hk{i}" for i in range(len(keys))]
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows)
-           .select(*[F.col(k).alias(a) for k, a in zip(keys, hk)], F.lit(True).alias("_hot")))
-    h = F.broadcast(hot)
-    cond = None
-    for k, a in zip(keys, hk):
-        part = F.col(k).eqNullSafe(F.col(a))
-        cond = part if cond is None else cond & part
-    return (df.join(h, cond, "left")
-            .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-            .drop(*hk))
-
-
-def with_neighbor(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
-                  values: list[str], direction: str = "next", prefix: str | None = None,
-                  hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+from changeloom.functions import let
+
+SPLIT = 16          # bounds of a shuffle partition
+SAMPLE = 16         # sampled rows of a part
+
+
+def _row(columns: list[str], letter: str) -> Column:
+    return F.struct(*[F.col(c).alias(f"{letter}{i}") for i, c in enumerate(columns)])
+
+
+def _same(keys: list[str], letter: str) -> Column:
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{letter}{i}")) for i, k in enumerate(keys)])
+
+
+def _bounds(df: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
+    """Keys that a cut falls into, with the sorted places of the cuts."""
+    x = F.struct(_row(keys, "k").alias("k"), _row(order, "o").alias("o")).alias("x")
+    h = F.xxhash64(*keys, *order)
+    sample = (df.select(x, h.alias("h")).groupBy(F.pmod("h", F.lit(parts * SAMPLE)).alias("cell"))
+              .agg(F.min(F.struct("h", "x")).alias("m")))
+
+    def cut(s: Column) -> Column:
+        n = F.greatest(F.lit(1), F.least(F.lit(parts), (F.size(s) / SAMPLE).cast("int")))
+        return F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: i > 0),
+                           lambda i: F.get(s, (i * F.size(s) / n).cast("int")))
+
+    cuts = sample.agg(let(F.array_sort(F.collect_list("m.x")), cut).alias("cuts"))
+    return (cuts.select(F.explode("cuts").alias("x")).groupBy("x.k")
+            .agg(F.array_sort(F.collect_set("x.o")).alias("_cuts"))
+            .select(*[F.col(f"k.k{i}").alias(f"_k{i}") for i in range(len(keys))], "_cuts"))
+
+
+def in_parts(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """Add ``_part`` (from 0, ascending along the order within a key; nulls come
+    first) and ``_split``: the key has several parts.  ``parts`` (default:
+    ``SPLIT`` a shuffle partition) bounds the cuts; a small table has fewer."""
+    if parts is None:
+        parts = SPLIT * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.join(F.broadcast(_bounds(df, keys, order, parts)), _same(keys, "k"), "left")
+    rows = rows.withColumn("_part", F.lit(0))
+    for k in range(max(1, parts.bit_length()) - 1, -1, -1):
+        beyond = F.col("_part") + (1 << k)
+        rows = rows.withColumn("_part", F.when(F.get("_cuts", beyond - 1) <= _row(order, "o"), beyond)
+                               .otherwise(F.col("_part")))
+    return rows.select(*df.columns, "_part", F.col("_cuts").isNotNull().alias("_split"))
+
+
+def ends(cut: DataFrame, keys: list[str], row: Column, last: bool) -> DataFrame:
+    """The last (first) row of every part of the split keys: (keys, _part, _r)."""
+    return cut.where("_split").groupBy(*keys, "_part").agg((F.max(row) if last else F.min(row)).alias("_r"))
+
+
+def met(rows: DataFrame, ends_: DataFrame, keys: list[str], when: Column) -> DataFrame:
+    """``rows`` with the column ``_r`` of their part in ``ends_``, where ``when`` holds."""
+    named = ends_.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col("_part").alias("_to"), "_r")
+    return rows.join(F.broadcast(named), when & (F.col("_part") == F.col("_to")) & _same(keys, "e"), "left")
+
+
+def with_neighbor(df: DataFrame, keys: list[str], order: list[str], values: list[str],
+                  direction: str = "next", prefix: str | None = None, parts: int | None = None) -> DataFrame:
     """Add ``<prefix><v>`` for each ``v`` in ``values``: the value on the next
     (``direction="next"``) or previous (``"prev"``) row of the same key in
-    ascending ``order``.  ``bucket`` must be non-decreasing in ``order``.
-    ``hot_rows=None`` splits every key by bucket.
-    """
+    ascending ``order``.  A null key is a group like any other."""
     prefix = prefix or f"{direction}_"
-    fn = F.lead if direction == "next" else F.lag
-
-    b = mark_hot(df, keys, hot_rows)
-    b = b.withColumn("_bkt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("bigint")))
-    w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+    forward = direction == "next"
+    fn = F.lead if forward else F.lag
+    cut = in_parts(df, keys, order, parts)
+    rows, w = cut, Window.partitionBy(*keys, "_part").orderBy(*order)
     for v in values:
-        b = b.withColumn(prefix + v, fn(F.col(v)).over(w))
-    b = b.withColumn("_edge", F.col("_hot") & fn(F.lit(1)).over(w).isNull())
-
-    # Boundary table (hot keys only): first (for "next") or last (for
-    # "prev") row per bucket, then the neighbouring bucket's one.
-    row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                   *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
-    pick = F.min(row) if direction == "next" else F.max(row)
-    edges = (b.where(F.col("_hot")).groupBy(*keys, "_bkt").agg(pick.alias("_r")))
-    wb = Window.partitionBy(*keys).orderBy("_bkt")
-    cross = fn(F.col("_r")).over(wb)
-    ek = [f"_ek{i}" for i in range(len(keys))]
-    edges = edges.select(*[F.col(k).alias(a) for k, a in zip(keys, ek)],
-                         F.col("_bkt").alias("_ebkt"),
-                         *[cross[f"_v{i}"].alias(f"_x{i}") for i in range(len(values))])
-    cond = F.col("_edge") & (F.col("_bkt") == F.col("_ebkt"))
-    for k, a in zip(keys, ek):
-        cond = cond & F.col(k).eqNullSafe(F.col(a))
-    joined = b.join(edges, cond, "left")
-    out = [F.col(c) for c in b.columns
-           if c not in ("_bkt", "_edge", "_hot") and not c.startswith(prefix)]
-    fixed = [F.when(F.col("_edge"), F.col(f"_x{i}")).otherwise(F.col(prefix + v)).alias(prefix + v)
-             for i, v in enumerate(values)]
-    return joined.select(*out, *fixed)
+        rows = rows.withColumn(prefix + v, fn(F.col(v)).over(w))
+    rows = rows.withColumn("_edge", F.col("_split") & fn(F.lit(1)).over(w).isNull())
+    row = F.struct(_row(order, "o").alias("o"), _row(values, "v").alias("v"))
+    across = Window.partitionBy(*keys).orderBy("_part")
+    beyond = ends(cut, keys, row, last=not forward).withColumn("_r", fn("_r").over(across))
+    return met(rows, beyond, keys, F.col("_edge")).select(*df.columns, *[
+        F.when(F.col("_edge"), F.col(f"_r.v.v{i}")).otherwise(F.col(prefix + v)).alias(prefix + v)
+        for i, v in enumerate(values)])

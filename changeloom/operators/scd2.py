@@ -18,12 +18,6 @@ from changeloom.operators.latest import latest_by_key
 from changeloom.operators.neighbors import with_neighbor
 
 ORDER_TAIL = ["cdc_ts_ms", "cdc_id"]
-# Width of the buckets that split a hot key's history (1 hour).
-BUCKET_MICROS = 3_600_000_000
-
-
-def _bucket(updated_at: str) -> Column:
-    return F.floor(ts_to_micros(F.col(updated_at)) / F.lit(BUCKET_MICROS)).cast("bigint")
 
 
 def _scd_id(key: str) -> Column:
@@ -33,7 +27,7 @@ def _scd_id(key: str) -> Column:
 
 def _intervals(versions: DataFrame, key: str, updated_at: str) -> DataFrame:
     order = [updated_at] + ORDER_TAIL
-    v = with_neighbor(versions, [key], order, _bucket(updated_at), [updated_at], "next", "_next_")
+    v = with_neighbor(versions, [key], order, [updated_at], "next", "_next_")
     return (v.withColumn("updated_at", F.col(updated_at))
             .withColumn("valid_from", F.col(updated_at))
             .withColumn("valid_to", F.col("_next_" + updated_at))
@@ -46,7 +40,7 @@ def _compact(events: DataFrame, key: str, updated_at: str, tracked: list[str]) -
     """Drop events whose tracked columns equal the previous event's."""
     order = [updated_at] + ORDER_TAIL
     src = events.withColumn("_one", F.lit(1))
-    p = with_neighbor(src, [key], order, _bucket(updated_at), tracked + ["_one"], "prev", "_prev_")
+    p = with_neighbor(src, [key], order, tracked + ["_one"], "prev", "_prev_")
     same = None
     for c in tracked:
         eq = F.col(c).eqNullSafe(F.col("_prev_" + c))

@@ -60,6 +60,6 @@ def test_late_events_and_dedup(spark):
     rows = [(1, 10, 100, dt.datetime(2024, 1, 1)), (1, 30, 101, dt.datetime(2024, 1, 2)),
             (1, 20, 102, dt.datetime(2024, 1, 5)), (2, 5, 103, dt.datetime(2024, 1, 1))]
     ev = spark.createDataFrame(rows, "user_id bigint, cdc_ts_ms bigint, cdc_id bigint, cdc_consumed_at timestamp_ntz")
-    for hot_rows in (None, 1, 1_000_000):
-        late = monitor.late_events(ev, "user_id", hot_rows=hot_rows).collect()
+    for parts in (None, 1, 100):
+        late = monitor.late_events(ev, "user_id", parts=parts).collect()
         assert [(r.cdc_id, r.newer_ts_ms) for r in late] == [(102, 30)]
