@@ -329,22 +329,27 @@ def _valued(weights, text_at: int, names: list[str]):
 
 
 class Model:
-    """Table of weights, and slopes and offset of the probability."""
+    """Table of weights, slopes and offset of the probability, and the least and
+    largest logarithm of a number of windows it was fitted on."""
 
-    def __init__(self, weights: np.ndarray, slopes: np.ndarray, offset: float):
-        self.weights, self.slopes, self.offset = weights, slopes, offset
+    def __init__(self, weights: np.ndarray, slopes: np.ndarray, offset: float, ends: tuple[float, float]):
+        self.weights, self.slopes, self.offset, self.ends = weights, slopes, offset, ends
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Fit on ``labelled(doc_id, text, label)``, labels 0 or 1; None without both."""
-    spark = labelled.sparkSession
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+    """Fit on ``docs(doc_id, text)`` with ``labels(doc_id, label)``, one row an id,
+    0 or 1; None without both.  The labels are drawn first, so that few rows look
+    for their texts."""
+    spark = docs.sparkSession
+    counts = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return None
     share = {k: min(1.0, sample / n) for k, n in counts.items()}
     drawn = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 20))
     bound = F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0])) * F.lit(1 << 20)
-    rows = stage(labelled.where(drawn < bound).select(
+    # About 2 x ``sample`` rows at most, whatever the number of labels.
+    chosen = F.broadcast(labels.where(drawn < bound))
+    rows = stage(docs.join(chosen, "doc_id").select(
         F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).alias("serial"), "text",
         F.col("label").cast("int").alias("label"), (F.pmod(F.xxhash64(F.lit("sigmoid"), "doc_id"), F.lit(4)) == 0)
         .alias("aside")), "toxicity-sample")
@@ -365,12 +370,12 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     ranked = stage(words.where("c1 + c0 > 1").withColumn("z", z), "toxicity-words")
     toxic = ranked.where("z > 0").orderBy(F.desc("z"), "word").limit(LANDMARKS).collect()
     common = ranked.orderBy(F.desc("c0"), "word").limit(COMMON).collect()
-    chosen = {bytes(r["word"]): max(0.0, r["z"]) for r in [*common, *toxic]}
-    if not chosen:
+    landmarks = {bytes(r["word"]): max(0.0, r["z"]) for r in [*common, *toxic]}
+    if not landmarks:
         return None
-    kernel = Kernel(list(chosen))
+    kernel = Kernel(list(landmarks))
 
-    alpha, bias = np.array(list(chosen.values())), 0.0
+    alpha, bias = np.array(list(landmarks.values())), 0.0
     clean: set[bytes] = set()
     for _ in range(ROUNDS):
         weights = spark.sparkContext.broadcast(kernel.weights(alpha))
@@ -390,29 +395,32 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
            .collect())
     x, y = np.array([r["value"] for r in got]), np.array([r["label"] for r in got])
     if len(set(y)) < 2:
-        return Model(weights, np.r_[1.0, np.zeros(TOP)], bias)
-    return Model(weights, *fit_logistic(x, y, np.where(y > 0, 1 / share[1], 1 / share[0])))
+        return Model(weights, np.r_[1.0, np.zeros(TOP)], bias, (0.0, 0.0))
+    slopes, offset = fit_logistic(x, y, np.where(y > 0, 1 / share[1], 1 / share[0]))
+    return Model(weights, slopes, offset, (float(x[:, TOP].min()), float(x[:, TOP].max())))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", folds: int = 5, fold: int = 0, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``.  ``labels``
     (id, label) cover some of them; those of the held-out fold are not read."""
-    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("_label_of")).agg((F.max(label_col) > 0).cast("int").alias("label")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       (crc_mod(F.col(id_col), folds) == fold).alias("held_out"))
-    labelled = rows.where(~F.col("held_out")).join(known, F.col("doc_id") == F.col("_label_of"))
-    model = train(labelled.select("doc_id", "text", "label"), sample)
+    held_out = crc_mod(F.col(id_col), folds) == fold
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
+    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out)
+             .groupBy(F.col(id_col).alias("doc_id")).agg((F.max(label_col) > 0).cast("int").alias("label")))
+    model = train(rows.where(~F.col("held_out")).select("doc_id", "text"), known, sample)
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     shared = docs.sparkSession.sparkContext.broadcast(model.weights)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     valued = rows.mapInArrow(_valued(shared, 1, ["doc_id", "held_out"]),
                              f"doc_id {kinds['doc_id']}, held_out boolean, value array<double>")
+    # Numbers of windows that the fit has not seen count as the nearest seen.
+    features = [F.col("value")[k] for k in range(TOP)]
+    features.append(F.least(F.greatest(F.col("value")[TOP], F.lit(model.ends[0])), F.lit(model.ends[1])))
     total = F.lit(model.offset)
-    for k, slope in enumerate(model.slopes):
-        total = total + F.lit(float(slope)) * F.col("value")[k]
+    for slope, feature in zip(model.slopes, features):
+        total = total + F.lit(float(slope)) * feature
     score = 1 / (1 + F.exp(-total))
     return (valued.withColumn("score", score)
             .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))

@@ -158,8 +158,11 @@ def test_symbols_leave_signs_out():
 
 def test_toxicity_held_out_and_disguised(spark):
     rows, labels = _labelled(1500, 1)
-    planted = [(5000 + k, prose(900 + k, 40) + " " + t + " " + prose(950 + k, 40), "en", "a")
-               for k, t in enumerate(["you st-upid man", "an i d i o t", "what a m.o.r.o.n", "a losxer", "trrash", "c*l*o*w*n"])]
+    # Two insults a document, as in the labelled ones, none of them in a plain form.
+    disguised = [("st-upid", "an i d i o t"), ("m.o.r.o.n", "losxer"), ("a losxer", "trrash"), ("c*l*o*w*n", "idi0ot"),
+                 ("STU_PID", "tra$h trash!"), ("m0oron", "clo wn")]
+    planted = [(5000 + k, f"{prose(900 + k, 20)} {a} {prose(930 + k, 20)} {b} {prose(960 + k, 20)}", "en", "a")
+               for k, (a, b) in enumerate(disguised)]
     labels_df = spark.createDataFrame(labels + [(None, 1, 1), (3, None, None)], "doc_id bigint, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.toxicity(documents(spark, rows + planted + [(9000, None, None, None)]), labels_df).collect()}
     truth = {i: t for i, _, t in labels}
