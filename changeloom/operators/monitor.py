@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import ts_to_micros
 from changeloom.operators.latest import latest_by_key
-from changeloom.operators.neighbors import ends, in_parts, met, with_neighbor
+from changeloom.operators.neighbors import in_parts, with_neighbor
 from changeloom.schemas import DELETED_MARKER, EXPECTED_COLUMNS, expected_columns_rows
 
 POSITION = ["topic", "partition", "offset_value"]
@@ -155,9 +155,12 @@ def late_events(events: DataFrame, key: str, parts: int | None = None) -> DataFr
     order = ["cdc_consumed_at", "cdc_ts_ms", "cdc_id"]
     cut = in_parts(events, [key], order, parts)
     w = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = ends(cut, [key], F.col("cdc_ts_ms"), last=True).withColumn("_r", F.max("_r").over(across))
-    j = met(cut.withColumn("_within", F.max("cdc_ts_ms").over(w)), before, [key], F.col("_split"))
-    return (j.withColumn("newer_ts_ms", F.greatest("_within", "_r"))
+    across = Window.partitionBy("_key").orderBy("_to").rowsBetween(Window.unboundedPreceding, -1)
+    # At most two rows a cut.
+    before = (cut.where("_split").groupBy(F.col(key).alias("_key"), F.col("_part").alias("_to"))
+              .agg(F.max("cdc_ts_ms").alias("_m")).withColumn("_before", F.max("_m").over(across)))
+    same = F.col("_split") & F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_to"))
+    j = cut.withColumn("_within", F.max("cdc_ts_ms").over(w)).join(F.broadcast(before), same, "left")
+    return (j.withColumn("newer_ts_ms", F.greatest("_within", "_before"))
             .where(F.col("newer_ts_ms") > F.col("cdc_ts_ms"))
             .select(*events.columns, "newer_ts_ms"))

@@ -11,13 +11,13 @@ parts of nearly equal size, and a key that a cut falls into is split there:
 2. A row of a key that has bounds finds its part among them by binary search;
    all other keys are one part, and smaller than the distance of two bounds
    as far as the sample tells.
-3. The window runs per (key, part).  Where it ends at a bound, the row takes the
-   first (last) row of the key's next (previous) part from a table of the parts'
-   ends.
+3. The window runs per (key, part).  A bound is a row of its own: the first of
+   the part behind it when the next row is asked for, the last of the part
+   before it for the previous one.  So a row that has no neighbour in its part
+   finds it in the bound, which came along with it.
 
-Both small tables are broadcast; they have at most ``SPLIT`` rows a shuffle
-partition, and twice as many, whatever the number of rows.  Rows equal in all
-order columns are not split.
+The bounds are broadcast; there are at most ``SPLIT`` a shuffle partition,
+whatever the number of rows.  Rows equal in all order columns are not split.
 """
 
 from __future__ import annotations
@@ -41,11 +41,12 @@ def _same(keys: list[str], letter: str) -> Column:
     return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{letter}{i}")) for i, k in enumerate(keys)])
 
 
-def _bounds(df: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
-    """Keys that a cut falls into, with the sorted places of the cuts."""
-    x = F.struct(_row(keys, "k").alias("k"), _row(order, "o").alias("o")).alias("x")
-    h = F.xxhash64(*keys, *order)
-    sample = (df.select(x, h.alias("h")).groupBy(F.pmod("h", F.lit(parts * SAMPLE)).alias("cell"))
+def _bounds(df: DataFrame, keys: list[str], order: list[str], values: list[str], parts: int) -> DataFrame:
+    """Keys that a cut falls into, with the sorted rows (o, v) of the cuts."""
+    x = F.struct(_row(keys, "k").alias("k"), _row(order, "o").alias("o"),
+                 (_row(values, "v") if values else F.lit(0)).alias("v")).alias("x")
+    sample = (df.select(x, F.xxhash64(*keys, *order).alias("h"))
+              .groupBy(F.pmod("h", F.lit(parts * SAMPLE)).alias("cell"))
               .agg(F.min(F.struct("h", "x")).alias("m")))
 
     def cut(s: Column) -> Column:
@@ -55,34 +56,29 @@ def _bounds(df: DataFrame, keys: list[str], order: list[str], parts: int) -> Dat
 
     cuts = sample.agg(let(F.array_sort(F.collect_list("m.x")), cut).alias("cuts"))
     return (cuts.select(F.explode("cuts").alias("x")).groupBy("x.k")
-            .agg(F.array_sort(F.collect_set("x.o")).alias("_cuts"))
+            .agg(F.array_sort(F.collect_set(F.struct("x.o", "x.v"))).alias("_cuts"))
             .select(*[F.col(f"k.k{i}").alias(f"_k{i}") for i in range(len(keys))], "_cuts"))
 
 
-def in_parts(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+def in_parts(df: DataFrame, keys: list[str], order: list[str], parts: int | None = None,
+             values: list[str] | None = None, forward: bool = True) -> DataFrame:
     """Add ``_part`` (from 0, ascending along the order within a key; nulls come
-    first) and ``_split``: the key has several parts.  ``parts`` (default:
-    ``SPLIT`` a shuffle partition) bounds the cuts; a small table has fewer."""
+    first), ``_split`` (the key has several parts) and ``_cut``, the row (o: order
+    columns, v: ``values``) behind the part's end, which is the first of the next
+    part; without ``forward`` the one before its begin, the last of the previous
+    part.  ``parts`` (default: ``SPLIT`` a shuffle partition) bounds the cuts; a
+    small table has fewer."""
     if parts is None:
         parts = SPLIT * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.join(F.broadcast(_bounds(df, keys, order, parts)), _same(keys, "k"), "left")
-    rows = rows.withColumn("_part", F.lit(0))
+    rows = df.join(F.broadcast(_bounds(df, keys, order, values or [], parts)), _same(keys, "k"), "left")
+    rows, place = rows.withColumn("_part", F.lit(0)), _row(order, "o")
     for k in range(max(1, parts.bit_length()) - 1, -1, -1):
         beyond = F.col("_part") + (1 << k)
-        rows = rows.withColumn("_part", F.when(F.get("_cuts", beyond - 1) <= _row(order, "o"), beyond)
+        bound = F.get("_cuts", beyond - 1)["o"]
+        rows = rows.withColumn("_part", F.when(bound <= place if forward else bound < place, beyond)
                                .otherwise(F.col("_part")))
-    return rows.select(*df.columns, "_part", F.col("_cuts").isNotNull().alias("_split"))
-
-
-def ends(cut: DataFrame, keys: list[str], row: Column, last: bool) -> DataFrame:
-    """The last (first) row of every part of the split keys: (keys, _part, _r)."""
-    return cut.where("_split").groupBy(*keys, "_part").agg((F.max(row) if last else F.min(row)).alias("_r"))
-
-
-def met(rows: DataFrame, ends_: DataFrame, keys: list[str], when: Column) -> DataFrame:
-    """``rows`` with the column ``_r`` of their part in ``ends_``, where ``when`` holds."""
-    named = ends_.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col("_part").alias("_to"), "_r")
-    return rows.join(F.broadcast(named), when & (F.col("_part") == F.col("_to")) & _same(keys, "e"), "left")
+    return rows.select(*df.columns, "_part", F.col("_cuts").isNotNull().alias("_split"),
+                       F.get("_cuts", F.col("_part") if forward else F.col("_part") - 1).alias("_cut"))
 
 
 def with_neighbor(df: DataFrame, keys: list[str], order: list[str], values: list[str],
@@ -93,14 +89,9 @@ def with_neighbor(df: DataFrame, keys: list[str], order: list[str], values: list
     prefix = prefix or f"{direction}_"
     forward = direction == "next"
     fn = F.lead if forward else F.lag
-    cut = in_parts(df, keys, order, parts)
-    rows, w = cut, Window.partitionBy(*keys, "_part").orderBy(*order)
-    for v in values:
-        rows = rows.withColumn(prefix + v, fn(F.col(v)).over(w))
-    rows = rows.withColumn("_edge", F.col("_split") & fn(F.lit(1)).over(w).isNull())
-    row = F.struct(_row(order, "o").alias("o"), _row(values, "v").alias("v"))
-    across = Window.partitionBy(*keys).orderBy("_part")
-    beyond = ends(cut, keys, row, last=not forward).withColumn("_r", fn("_r").over(across))
-    return met(rows, beyond, keys, F.col("_edge")).select(*df.columns, *[
-        F.when(F.col("_edge"), F.col(f"_r.v.v{i}")).otherwise(F.col(prefix + v)).alias(prefix + v)
-        for i, v in enumerate(values)])
+    rows = in_parts(df, keys, order, parts, values, forward)
+    w = Window.partitionBy(*keys, "_part").orderBy(*order)
+    rows = rows.withColumn("_edge", fn(F.lit(1)).over(w).isNull())
+    for i, v in enumerate(values):
+        rows = rows.withColumn(prefix + v, F.when(F.col("_edge"), F.col(f"_cut.v.v{i}")).otherwise(fn(F.col(v)).over(w)))
+    return rows.select(*df.columns, *[prefix + v for v in values])

@@ -286,6 +286,7 @@ BODIES.update({
     "plans_scd2": _scd2_sql("stg_plans", "plan_id"),
     "users_scd2_changes_only": _scd2_sql(_USERS_CHANGES, "user_id"),
     "scd2_incremental": _scd2_sql("stg_users", "user_id"),
+    "users_scd2_bucketed": _scd2_sql("stg_users", "user_id"),
     "scd2_incremental_tracked": _scd2_sql(_USERS_CHANGES, "user_id"),
     "scd2_hard_deletes": f"""SELECT * REPLACE (
         CASE WHEN is_current AND user_id % 37 = 0 THEN TIMESTAMP '2031-01-01 00:00:00' ELSE valid_to END
@@ -355,6 +356,7 @@ BODIES.update({
     "stream_dedup": "SELECT topic, partition, offset_value, source_table, ts_ms FROM raw_log",
     "stream_landing": "SELECT * FROM raw_log",
     "dim_users_incremental": "SELECT * FROM dim_users",
+    "dim_users_bucketed": "SELECT * FROM dim_users",
     "snapshot_bootstrap": """SELECT
         ('0x' || substr(md5('shop.public.users|' || partition || '|' || offset_value), 1, 15))::BIGINT AS cdc_id,
         topic, partition, offset_value, 'r' AS op, 'users' AS source_table, NULL::VARCHAR AS before,

@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from changeloom.operators.latest import latest_by_key
 from changeloom.operators.monitor import batch_stats, dedup_offsets
 from changeloom.operators.parse import parse_messages, rejected_rows, valid_rows
 from changeloom.schemas import MESSAGE_SCHEMA, RAW_COLUMNS
+from changeloom.sources.bucketed import BucketedTable, exists, upsert_latest
 
 
 def read_change_stream(spark: SparkSession, fmt: str, options: dict[str, str],
@@ -97,23 +99,20 @@ def compact_landed(spark: SparkSession, path: str, out: str) -> None:
 
 
 def start_latest_upsert(rows: DataFrame, base: str, keys: list[str], checkpoint: str,
-                        trigger: dict | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, buckets: int = 64, keep: int = 2) -> StreamingQuery:
     """Keep a latest-state table current from a stream of staged rows.
 
-    Every micro-batch is merged into the newest version under ``base``
-    (newest ``cdc_ts_ms`` wins, ties by ``cdc_id``) and written as the next
-    version; a replayed batch re-applies the same rows and yields the same
-    state.
+    ``base`` is a ``sources.bucketed`` table: a micro-batch rewrites the buckets
+    its keys hash to (newest ``cdc_ts_ms`` wins, ties by ``cdc_id``) and commits
+    by a rename; a replayed batch yields the same state.  Versions before the
+    newest ``keep`` are removed.
     """
-    from changeloom.operators.latest import latest_by_key, merge_latest
-    from changeloom.sources.files import publish_versioned, read_versioned
-
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = read_versioned(spark, base)
-        nxt = (latest_by_key(batch, keys) if current is None
-               else merge_latest(current, batch, keys))
-        publish_versioned(nxt, base)
+        if exists(spark, base):
+            upsert_latest(BucketedTable(spark, base), batch).vacuum(keep)
+        else:
+            BucketedTable.create(latest_by_key(batch, keys), base, keys, buckets)
 
     return (rows.writeStream.foreachBatch(upsert)
             .option("checkpointLocation", checkpoint)

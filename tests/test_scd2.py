@@ -84,3 +84,55 @@ def test_equal_ids_of_different_events_are_both_kept(spark):
     got = scd2.apply_scd2(first, more, "user_id", current_keys=_event(spark, []), closed_at=F.lit("2031-01-01 00:00:00"))
     assert [r.plan_id for r in got.orderBy("valid_from").collect()] == [1, 2]
     assert got.where("is_current").count() == 0
+
+
+def _random_events(seed, n):
+    """Events of six keys in a few states, with ties in time and unchanged
+    states; some are replayed later."""
+    import random
+    rng = random.Random(seed)
+    rows = [(rng.choice([1, 1, 1, 2, 3, None]), rng.randint(1, 3), rng.randint(1, 20), k,
+             f"2024-01-{rng.randint(1, 12):02d} 0{rng.randint(0, 3)}:00:00") for k in range(n)]
+    replays = [(*r[:4], f"2024-02-{rng.randint(1, 9):02d} 00:00:00") for r in rng.sample(rows, n // 5)]
+    return rng, rows, replays
+
+
+@pytest.mark.parametrize("tracked", [None, ["plan_id"]])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_splicing_random_batches_equals_a_full_build(spark, seed, tracked):
+    """Late, replayed and tied events, in three batches of arbitrary rows."""
+    rng, rows, replays = _random_events(seed, 60)
+    full = scd2.build_scd2(_event(spark, rows), "user_id", tracked=tracked)
+    rng.shuffle(rows)
+    batches = [rows[:30], rows[30:45] + replays[:6], rows[45:] + replays]
+    # the stored history holds the replays' copies only if their originals came before
+    history, log = scd2.build_scd2(_event(spark, batches[0]), "user_id", tracked=tracked), list(batches[0])
+    for batch in batches[1:]:
+        log += batch
+        history = scd2.apply_scd2(history, _event(spark, batch), "user_id", tracked=tracked,
+                                  log=_event(spark, log) if tracked else None)
+        history = spark.createDataFrame(history.collect(), history.schema)
+    cols = sorted(full.columns)
+    state = lambda d: sorted(map(tuple, d.select(*cols).collect()), key=repr)
+    assert state(history) == state(full)
+
+
+def test_only_the_neighbours_of_new_events_are_cut_anew(spark):
+    """A thousand versions and one newer event: one stored version is touched."""
+    stored = [(1, k % 3, k, k, f"2024-01-01 {k // 3600:02d}:{k // 60 % 60:02d}:{k % 60:02d}") for k in range(1000)]
+    history = scd2.build_scd2(_event(spark, stored + [(2, 1, 5, 5000, "2024-01-01 00:00:05")]), "user_id")
+    near = lambda t: scd2.affected(history, spark.createDataFrame([(1, t)], "user_id bigint, t string").select(
+        "user_id", F.col("t").cast("timestamp_ntz").alias("_since")), "user_id").where("_near").count()
+    assert near("2024-01-02 00:00:00") == 1
+    # 00:16:29.5: the version of 00:16:29 and the ten after it
+    assert near("2024-01-01 00:16:29.5") == 11
+    after = scd2.apply_scd2(history, _event(spark, [(1, 7, 2000, 6000, "2024-01-02 00:00:00")]), "user_id")
+    ends = lambda d: {(r.scd_id, r.valid_to) for r in d.select("scd_id", "valid_to").collect()}
+    assert len(ends(after)) == 1002 and len(ends(after) & ends(history)) == 1000
+
+
+def test_a_version_closed_by_a_delete_stays_closed(spark):
+    first = scd2.build_scd2(_event(spark, [(1, 1, 1, 1, "2024-01-01 00:00:00")]), "user_id")
+    closed = scd2.invalidate_hard_deletes(first, _event(spark, []), "user_id", F.lit("2024-01-05 00:00:00"))
+    got = scd2.apply_scd2(closed, _event(spark, [(1, 2, 2, 2, "2024-01-09 00:00:00")]), "user_id").orderBy("valid_from").collect()
+    assert [(str(r.valid_to)[:10], r.is_current) for r in got] == [("2024-01-05", False), ("None", True)]

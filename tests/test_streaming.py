@@ -113,7 +113,7 @@ def test_silence_heartbeat(spark):
 
 
 def test_latest_upsert_out_of_order(spark):
-    from changeloom.sources.files import read_versioned
+    from changeloom.sources.bucketed import BucketedTable
     from changeloom.streaming.landing import start_latest_upsert
     base = tempfile.mkdtemp(prefix="cl-upsert-")
     schema = "user_id bigint, email string, cdc_ts_ms bigint, cdc_id bigint"
@@ -127,5 +127,5 @@ def test_latest_upsert_out_of_order(spark):
     q = start_latest_upsert(rows, f"{base}/dim", ["user_id"], f"{base}/ck")
     q.awaitTermination()
     q.stop()
-    got = {r.user_id: r.email for r in read_versioned(spark, f"{base}/dim").collect()}
+    got = {r.user_id: r.email for r in BucketedTable(spark, f"{base}/dim").read().collect()}
     assert got == {1: "new@x", 2: "b@x", 3: "c@x"}
