@@ -132,14 +132,12 @@ def dedup_offsets(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One row per message position (topic, partition, offset_value).
 
     Static: the first consumption wins (partial top-1 before the shuffle).
-    Streaming: the state keeps every position seen, and no event time decides
-    (a watermark would also drop late rows that were never seen).  Where that
-    state grows too large, land the replays and remove them on read
-    (``streaming.landing.read_landed``).  ``extra`` columns that the position
-    determines let filters on them pass.
+    Streaming: intervals of seen positions decide (``streaming.dedup``), no event
+    time.  ``extra`` columns that the position determines let filters on them pass.
     """
     if df.isStreaming:
-        return df.dropDuplicates(POSITION)
+        from changeloom.streaming.dedup import dedup_positions
+        return dedup_positions(df, *POSITION, first_by=["consumed_at", "cdc_id"])
     return latest_by_key(df, [*(extra or []), *POSITION],
                          [F.col("consumed_at").asc(), F.col("cdc_id").asc()])
 
