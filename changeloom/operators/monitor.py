@@ -102,19 +102,37 @@ def silence_gaps(raw: DataFrame, minutes: int = 30) -> DataFrame:
                     F.floor(gap_us / 60_000_000).cast("bigint").alias("minutes_silent")))
 
 
-def current_silence(raw: DataFrame, now: Column, minutes: int = 30,
-                    tables: list[str] | None = None) -> DataFrame:
-    """Tables whose last consumption is at least ``minutes`` before ``now``,
-    and those of ``tables`` that never had an event (``last_event`` NULL)."""
-    last = raw.groupBy("source_table").agg(F.max("consumed_at").alias("last_event"))
+def last_seen(raw: DataFrame) -> DataFrame:
+    """(source_table, first_event, last_event): a mergeable summary of consumption."""
+    return raw.groupBy("source_table").agg(F.min("consumed_at").alias("first_event"),
+                                           F.max("consumed_at").alias("last_event"))
+
+
+def merge_seen(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Two summaries as one.  Merging a batch twice changes nothing."""
+    return (stored.unionByName(new).groupBy("source_table")
+            .agg(F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event")))
+
+
+def silent_tables(seen: DataFrame, now: Column, minutes: int = 30, tables: list[str] | None = None) -> DataFrame:
+    """Tables of a ``last_seen`` summary whose last consumption is at least
+    ``minutes`` before ``now``, and those of ``tables`` that never had an event
+    (``last_event`` NULL)."""
+    last = seen.select("source_table", "last_event")
     if tables:
-        declared = raw.sparkSession.createDataFrame([(t,) for t in tables], "source_table string")
+        declared = seen.sparkSession.createDataFrame([(t,) for t in tables], "source_table string")
         last = declared.join(last, "source_table", "full")
     silent = F.floor((ts_to_micros(now) - ts_to_micros(F.col("last_event"))) / 60_000_000)
     return (last.select("source_table", "last_event", silent.cast("bigint").alias("minutes_silent"))
             .where(F.col("last_event").isNull() | (F.col("minutes_silent") >= minutes)))
 
 
+def current_silence(raw: DataFrame, now: Column, minutes: int = 30,
+                    tables: list[str] | None = None) -> DataFrame:
+    """``silent_tables`` of a whole log."""
+    return silent_tables(last_seen(raw), now, minutes, tables)
+
+
 def batch_stats(batch: DataFrame, batch_col: Column | str) -> DataFrame:
     """Events per batch and source table, with a per-batch total row
     (``is_total``, ``source_table`` NULL).  A NULL batch or table is a group

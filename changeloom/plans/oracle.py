@@ -355,6 +355,7 @@ BODIES.update({
     "replay_dedup": "SELECT * FROM raw_log",
     "stream_dedup": "SELECT topic, partition, offset_value, source_table, ts_ms FROM raw_log",
     "stream_landing": "SELECT * FROM raw_log",
+    "stream_landing_bounded": "SELECT * FROM raw_log",
     "dim_users_incremental": "SELECT * FROM dim_users",
     "dim_users_bucketed": "SELECT * FROM dim_users",
     "snapshot_bootstrap": """SELECT
@@ -414,6 +415,7 @@ def _run_sql() -> str:
 
 
 BODIES["pipeline_run"] = _run_sql()
+BODIES["current_silence_live"] = BODIES["current_silence"]
 
 
 # The rules of sources.faults, added to the CTEs of the derivation.

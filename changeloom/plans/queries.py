@@ -238,6 +238,23 @@ def stream_landing(spark: SparkSession, d: str) -> DataFrame:
     return read_landed(spark, f"{base}/raw").drop("batch_id")
 
 
+def stream_landing_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """The same landing from a source whose micro-batches are bounded by records."""
+    from pyspark.sql import functions as F
+    from changeloom.streaming.landing import read_landed, start_landing
+    from changeloom.streaming.messages import read_bounded_messages
+    base = scratch_path(spark, "stream_bounded")
+    _write_messages(spark, d, f"{base}/in")
+    bound = -(-spark.read.parquet(f"{base}/in").count() // STREAM_BATCHES)
+    q = start_landing(read_bounded_messages(spark, f"{base}/in", max(1, bound)), f"{base}/raw", f"{base}/checkpoint",
+                      trigger={"processingTime": "0 seconds"}, consumed_at=F.col("timestamp"))
+    q.processAllAvailable()
+    q.stop()
+    if q.exception():
+        raise q.exception()
+    return read_landed(spark, f"{base}/raw").drop("batch_id")
+
+
 STREAM_BATCHES = 4
 
 
@@ -278,6 +295,19 @@ def current_silence(spark: SparkSession, d: str) -> DataFrame:
                                    SILENCE_MINUTES, list(EXPECTED_COLUMNS))
 
 
+def current_silence_live(spark: SparkSession, d: str) -> DataFrame:
+    """``current_silence`` from the last-seen table that a landing keeps: the log
+    is merged into it in two batches, and the query reads that table only."""
+    from pyspark.sql import functions as F
+    from changeloom.schemas import EXPECTED_COLUMNS
+    from changeloom.streaming.landing import record_seen
+    path, log = scratch_path(spark, "last_seen"), raw(spark, d)
+    late = F.col("consumed_at") >= F.lit(SCD2_CUT).cast("timestamp_ntz")
+    record_seen(log.where(~late), path)
+    seen = record_seen(log.where(late), path).read()
+    return monitor.silent_tables(seen, F.lit(SILENCE_NOW).cast("timestamp_ntz"), SILENCE_MINUTES, list(EXPECTED_COLUMNS))
+
+
 def snapshot_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """Re-snapshot of the live users table (after a drop and re-create):
     the current state of every live user as an ``r`` event at run time."""
@@ -387,6 +417,8 @@ def registry() -> dict[str, Query]:
         "current_silence": current_silence,
         "stream_landing": stream_landing,
         "stream_dedup": stream_dedup,
+        "stream_landing_bounded": stream_landing_bounded,
+        "current_silence_live": current_silence_live,
         "snapshot_bootstrap": snapshot_bootstrap,
         "dim_users_incremental": dim_users_incremental,
         "dim_users_bucketed": dim_users_bucketed,

@@ -21,12 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.operators.latest import latest_by_key
-from changeloom.operators.monitor import batch_stats, dedup_offsets
+from changeloom.operators.monitor import batch_stats, dedup_offsets, last_seen, merge_seen
 from changeloom.operators.parse import parse_messages, rejected_rows, valid_rows
 from changeloom.schemas import MESSAGE_SCHEMA, RAW_COLUMNS
 from changeloom.sources.bucketed import BucketedTable, exists, upsert_latest
 
 
+def kafka_options(options: dict[str, str], max_records: int | None = None) -> dict[str, str]:
+    """Options of the Kafka source: a new query starts with the earliest
+    message, a micro-batch has at most ``max_records``, and messages that are gone
+    before they were read fail the query.  ``options`` win."""
+    bound = {"maxOffsetsPerTrigger": str(max_records)} if max_records else {}
+    return {"startingOffsets": "earliest", "failOnDataLoss": "true", **bound, **options}
+
+
 def read_change_stream(spark: SparkSession, fmt: str, options: dict[str, str],
                        path: str | None = None) -> DataFrame:
     """Streaming DataFrame ``(topic, partition, offset, value, timestamp)``.
@@ -36,16 +44,25 @@ def read_change_stream(spark: SparkSession, fmt: str, options: dict[str, str],
     there is, so the stream can always catch up.
     """
     if fmt == "kafka":
-        opts = {"startingOffsets": "earliest", **options}
-        df = spark.readStream.format("kafka").options(**opts).load()
+        df = spark.readStream.format("kafka").options(**kafka_options(options)).load()
         return df.select("topic", "partition", "offset", F.col("value").cast("string"),
                          F.col("timestamp").cast("timestamp_ntz"))
     reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA).options(**options)
     return reader.load(path) if path else reader.load()
 
 
+def record_seen(batch: DataFrame, base: str) -> BucketedTable:
+    """Merge the batch into the last-seen table (one row a source table) at ``base``."""
+    spark, new = batch.sparkSession, last_seen(batch)
+    if not exists(spark, base):
+        return BucketedTable.create(new, base, ["source_table"], 1)
+    table = BucketedTable(spark, base).update(new, merge_seen)
+    table.vacuum()
+    return table
+
+
 def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
-                  consumed_at: Column | None):
+                  consumed_at: Column | None, seen_path: str | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():          # an empty poll writes nothing
             return
@@ -62,6 +79,8 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
             if stats_path:
                 (batch_stats(valid, F.lit(batch_id).cast("bigint").alias("batch_id"))
                  .write.mode("overwrite").parquet(f"{stats_path}/batch_id={batch_id}"))
+            if seen_path:
+                record_seen(valid, seen_path)
         finally:
             parsed.unpersist()
     return write
@@ -69,14 +88,15 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
 
 def start_landing(messages: DataFrame, path: str, checkpoint: str,
                   trigger: dict | None = None, rejects_path: str | None = None,
-                  stats_path: str | None = None, consumed_at: Column | None = None
-                  ) -> StreamingQuery:
+                  stats_path: str | None = None, consumed_at: Column | None = None,
+                  seen_path: str | None = None) -> StreamingQuery:
     """Start the landing query; ``trigger`` defaults to ``availableNow``
     (scheduled runs); use ``{"processingTime": "1 second"}`` for a
-    continuously polling consumer."""
+    continuously polling consumer.  ``seen_path`` is a table of the last
+    consumption per source table, for the silence monitor."""
     trig = trigger or {"availableNow": True}
     return (messages.writeStream
-            .foreachBatch(_batch_writer(path, rejects_path, stats_path, consumed_at))
+            .foreachBatch(_batch_writer(path, rejects_path, stats_path, consumed_at, seen_path))
             .option("checkpointLocation", checkpoint)
             .trigger(**trig)
             .start())

@@ -129,3 +129,27 @@ def test_latest_upsert_out_of_order(spark):
     q.stop()
     got = {r.user_id: r.email for r in BucketedTable(spark, f"{base}/dim").read().collect()}
     assert got == {1: "new@x", 2: "b@x", 3: "c@x"}
+
+
+def test_silence_from_the_last_seen_table(spark):
+    """The landing keeps first and last consumption per table; a replayed batch
+    changes nothing, and the check reads no log."""
+    from changeloom.operators.monitor import silent_tables
+    from changeloom.sources.bucketed import BucketedTable
+    base = tempfile.mkdtemp(prefix="cl-seen-")
+    stamps = {"users": ["2024-01-01 00:00:00", "2024-01-01 09:00:00"], "plans": ["2024-01-01 08:00:00"]}
+    for n, (table, times) in enumerate(sorted(stamps.items())):
+        rows = [(*_msg(i, 10 * n + i, table)[:4], dt.datetime.fromisoformat(t)) for i, t in enumerate(times)]
+        spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    for _ in range(2):      # the second query reads everything again
+        q = start_landing(read_change_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{base}/in"), f"{base}/raw",
+                          tempfile.mkdtemp(prefix="cl-ck-"), consumed_at=F.col("timestamp"), seen_path=f"{base}/seen")
+        q.awaitTermination()
+        assert q.exception() is None
+    seen = BucketedTable(spark, f"{base}/seen").read()
+    assert {(r.source_table, str(r.first_event), str(r.last_event)) for r in seen.collect()} == {
+        ("users", "2024-01-01 00:00:00", "2024-01-01 09:00:00"), ("plans", "2024-01-01 08:00:00", "2024-01-01 08:00:00")}
+    now = F.lit("2024-01-01 09:20:00").cast("timestamp_ntz")
+    got = silent_tables(seen, now, 30, ["users", "plans", "events"])
+    assert {(r.source_table, r.minutes_silent) for r in got.collect()} == {("plans", 80), ("events", None)}
+    assert f"{base}/raw" not in got._jdf.queryExecution().toString()
