@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import ts_to_micros
 from changeloom.operators.latest import latest_by_key
-from changeloom.operators.neighbors import in_parts, with_neighbor
+from changeloom.operators.neighbors import with_neighbor, with_running_max
 from changeloom.schemas import DELETED_MARKER, EXPECTED_COLUMNS, expected_columns_rows
 
 POSITION = ["topic", "partition", "offset_value"]
@@ -164,19 +164,38 @@ def late_events(events: DataFrame, key: str, parts: int | None = None) -> DataFr
     """Events consumed after a newer event (higher ``cdc_ts_ms``) of the same
     key -> the event plus ``newer_ts_ms`` (the highest ts seen before it).
 
-    A running maximum per (key, part) of ``neighbors.in_parts``; the parts of a
-    split key hand on their maxima through a small table, so a hot key is not
-    one task.
+    A running maximum (``neighbors.with_running_max``), so a hot key is not one
+    task.
     """
     order = ["cdc_consumed_at", "cdc_ts_ms", "cdc_id"]
-    cut = in_parts(events, [key], order, parts)
-    w = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy("_key").orderBy("_to").rowsBetween(Window.unboundedPreceding, -1)
-    # At most two rows a cut.
-    before = (cut.where("_split").groupBy(F.col(key).alias("_key"), F.col("_part").alias("_to"))
-              .agg(F.max("cdc_ts_ms").alias("_m")).withColumn("_before", F.max("_m").over(across)))
-    same = F.col("_split") & F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_to"))
-    j = cut.withColumn("_within", F.max("cdc_ts_ms").over(w)).join(F.broadcast(before), same, "left")
-    return (j.withColumn("newer_ts_ms", F.greatest("_within", "_before"))
-            .where(F.col("newer_ts_ms") > F.col("cdc_ts_ms"))
-            .select(*events.columns, "newer_ts_ms"))
+    return (with_running_max(events, [key], order, F.col("cdc_ts_ms"), "newer_ts_ms", parts)
+            .where(F.col("newer_ts_ms") > F.col("cdc_ts_ms")))
+
+
+def column_renames(raw: DataFrame, since_ts_ms: int, least: float = 0.5) -> DataFrame:
+    """Columns that vanished at ``since_ts_ms`` paired with columns that are new
+    from then on: (source_table, old_column, new_column, new_values, shared_values).
+
+    A pair shares at least ``least`` of the new column's distinct values, and each
+    is the other's best match.  Distinct values are estimated by mergeable theta
+    sketches of 4096 entries, one per column (exact below that many values), so
+    what is shuffled does not grow with the values, whatever a column holds.
+    """
+    entries = F.explode(F.from_json("after", "map<string,string>")).alias("column_name", "value")
+    cells = (raw.where(F.col("after").isNotNull())
+             .select("source_table", (F.col("ts_ms") >= since_ts_ms).alias("recent"), entries)
+             .where((F.col("column_name") != DELETED_MARKER)))
+    columns = (cells.groupBy("source_table", "column_name")
+               .agg(F.max("recent").alias("present"), F.min("recent").alias("new"),
+                    F.theta_sketch_agg(F.when(F.col("value").isNotNull(), F.col("value")), 12).alias("sketch")))
+    old = columns.where("NOT present").select("source_table", F.col("column_name").alias("old_column"),
+                                              F.col("sketch").alias("old_sketch"))
+    new = columns.where("new").select("source_table", F.col("column_name").alias("new_column"),
+                                      F.col("sketch").alias("new_sketch"))
+    pairs = old.join(new, "source_table").select(
+        "source_table", "old_column", "new_column", F.theta_sketch_estimate("new_sketch").alias("new_values"),
+        F.theta_sketch_estimate(F.theta_intersection("old_sketch", "new_sketch")).alias("shared_values"))
+    best = [F.row_number().over(Window.partitionBy("source_table", c).orderBy(F.desc("shared_values"), o))
+            for c, o in (("old_column", "new_column"), ("new_column", "old_column"))]
+    return (pairs.where((F.col("new_values") > 0) & (F.col("shared_values") >= least * F.col("new_values")))
+            .withColumn("_a", best[0]).withColumn("_b", best[1]).where("_a = 1 AND _b = 1").drop("_a", "_b"))

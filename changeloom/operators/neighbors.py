@@ -95,3 +95,20 @@ def with_neighbor(df: DataFrame, keys: list[str], order: list[str], values: list
     for i, v in enumerate(values):
         rows = rows.withColumn(prefix + v, F.when(F.col("_edge"), F.col(f"_cut.v.v{i}")).otherwise(fn(F.col(v)).over(w)))
     return rows.select(*df.columns, *[prefix + v for v in values])
+
+
+def with_running_max(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str,
+                     parts: int | None = None) -> DataFrame:
+    """Add ``name``: the greatest ``value`` on an earlier row of the same key (nulls
+    do not count).  The parts of a split key hand on their maxima through a table
+    of at most two rows a cut."""
+    cut = in_parts(df.withColumn("_v", value), keys, order, parts)
+    w = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    across = (Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_to")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    before = (cut.where("_split").groupBy(*named, F.col("_part").alias("_to"))
+              .agg(F.max("_v").alias("_m")).withColumn("_before", F.max("_m").over(across)))
+    here = F.col("_split") & (F.col("_part") == F.col("_to")) & _same(keys, "k")
+    rows = cut.withColumn("_within", F.max("_v").over(w)).join(F.broadcast(before), here, "left")
+    return rows.select(*df.columns, F.greatest("_within", "_before").alias(name))

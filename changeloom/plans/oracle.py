@@ -13,7 +13,7 @@ from changeloom.plans.checks import project_checks
 from changeloom.plans.queries import DRIFT_SINCE_MS, FOREIGN_KEYS, SILENCE_MINUTES, SILENCE_NOW
 from changeloom.plans.staging import STAGING_MODELS
 from changeloom.sources.faults import NO_SUBSCRIPTION, NO_USER, TEN_YEARS_US
-from changeloom.schemas import EXPECTED_COLUMNS, PLANS
+from changeloom.schemas import EXPECTED_COLUMNS, PLANS, SOURCE_CONSTRAINTS
 from changeloom.sources.changelog import (BASE_MICROS, DATE_SHIFT_DAYS, DAY_MS, DAY_US,
                                           DEVICES, EVENT_TYPE_MAP, HOUR_US, LATE_DELAY_MS,
                                           MINUTE_US, PLAN_NAMES, TOPIC_PREFIX)
@@ -418,6 +418,63 @@ BODIES["pipeline_run"] = _run_sql()
 BODIES["current_silence_live"] = BODIES["current_silence"]
 
 
+def _constraints_sql() -> str:
+    def violations(table, column, kind, arg):
+        v = f"json_extract_string(after, '$.{column}')"
+        images = f"FROM raw_log WHERE source_table = '{table}' AND after IS NOT NULL"
+        if kind == "not_null":
+            return f"(SELECT count(*) {images} AND {v} IS NULL)"
+        if kind == "max_length":
+            return f"(SELECT count(*) {images} AND length({v}) > {arg})"
+        if kind == "check":
+            return f"(SELECT count(*) {images} AND {v} NOT IN ({', '.join(repr(a) for a in arg)}))"
+        if kind == "primary_key":
+            return (f"(SELECT count(*) FROM (SELECT {v} {images} AND op = 'c' AND {v} IS NOT NULL GROUP BY 1 "
+                    f"HAVING count(*) > 1))")
+        key = f"json_extract_string(after, '$.{EXPECTED_COLUMNS[table][0][0]}')"
+        return (f"(SELECT count(*) FROM (SELECT v FROM (SELECT DISTINCT ON (k) k, v FROM (SELECT {key} AS k, {v} AS v, "
+                f"ts_ms, cdc_id {images}) ORDER BY k, ts_ms DESC, cdc_id DESC) WHERE v IS NOT NULL GROUP BY v "
+                f"HAVING count(*) > 1))")
+    return "\n  UNION ALL ".join(
+        f"SELECT '{t}' AS source_table, '{c}' AS column_name, '{k}' AS kind, CAST({violations(t, c, k, a)} AS BIGINT) AS violations"
+        for t, c, k, a in SOURCE_CONSTRAINTS)
+
+
+BODIES["source_constraints"] = _constraints_sql()
+
+# Subscriptions out of order (sources.faults.lifecycle_events), and the state
+# before every event by a plain window.
+_LIFECYCLE = f"""life_raw AS ({_finish("subscriptions", f"""(SELECT *, 0 AS late_ms,
+    concat_ws('|', k, 'lifecycle', op, ts_ms) AS natural_key, '' AS after FROM (
+      SELECT k, 'u' AS op, start_ms - {10 * DAY_MS} AS ts_ms FROM s_base WHERE k % 61 = 0
+      UNION ALL SELECT k, 'c', start_ms + {20 * DAY_MS} FROM s_base WHERE k % 67 = 0
+      UNION ALL SELECT k, 'd', start_ms + {500 * DAY_MS} FROM s_base WHERE k % 71 = 0
+      UNION ALL SELECT k, 'u', start_ms + {510 * DAY_MS} FROM s_base WHERE k % 71 = 0))""")}),
+life AS (
+  SELECT k AS subscription_id, op AS cdc_op, ts_ms AS cdc_ts_ms, cdc_id FROM s_raw
+  UNION ALL SELECT k, op, ts_ms, cdc_id FROM life_raw),
+life_state AS (
+  SELECT *, last_value(CASE WHEN cdc_op IN ('c', 'r', 'd') THEN cdc_op END IGNORE NULLS) OVER (
+    PARTITION BY subscription_id ORDER BY cdc_ts_ms, cdc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS state
+  FROM life)"""
+_LIFECYCLE_BODY = """SELECT * FROM (SELECT *, CASE WHEN cdc_op IN ('u', 'd') AND state IS NULL THEN 'before_create'
+    WHEN cdc_op IN ('u', 'd') AND state = 'd' THEN 'after_delete'
+    WHEN cdc_op = 'c' AND state IN ('c', 'r') THEN 'second_create' END AS violation FROM life_state)
+  WHERE violation IS NOT NULL"""
+_RENAMES_BODY = f"""SELECT * FROM (
+  SELECT o.source_table, o.column_name AS old_column, n.column_name AS new_column,
+         len(n.vals)::BIGINT AS new_values, len(list_intersect(o.vals, n.vals))::BIGINT AS shared_values
+  FROM cols o JOIN cols n ON n.source_table = o.source_table AND NOT o.present AND n.fresh)
+  WHERE new_values > 0 AND shared_values >= 0.5 * new_values"""
+_RENAMES = f"""cols AS (
+  SELECT source_table, c AS column_name, bool_or(ts_ms >= {DRIFT_SINCE_MS}) AS present,
+         bool_and(ts_ms >= {DRIFT_SINCE_MS}) AS fresh,
+         coalesce(list(DISTINCT v) FILTER (WHERE v IS NOT NULL), []) AS vals
+  FROM (SELECT source_table, ts_ms, c, json_extract_string(after, '$.' || c) AS v
+        FROM (SELECT source_table, ts_ms, after, unnest(json_keys(after)) AS c FROM drifted_log WHERE after IS NOT NULL))
+  GROUP BY ALL)"""
+
+
 # The rules of sources.faults, added to the CTEs of the derivation.
 _FAULT_ROWS = [
     ("FROM u_base WHERE k % 37 = 0)", f"""
@@ -455,6 +512,10 @@ def _faulty_ctes() -> str:
     out = out.replace("pay_raw AS (", f"pay_bad AS ({pay}),\npay_raw AS (SELECT * FROM pay_bad UNION ALL BY NAME (", 1)
     out = out.replace("),\ne_base AS (", ")),\ne_base AS (", 1)
     out = out.replace("raw_log AS (", f"e_bad AS ({ev}),\nraw_log AS (", 1)
+    end = "ts_ms, consumed_at FROM e_raw),"
+    assert end in out
+    out = out.replace(end, end[:-2] + """
+  UNION ALL SELECT cdc_id, topic, partition, offset_value, op, source_table, before, after, ts_ms, consumed_at FROM e_bad),""")
     return out.replace("FROM e_raw WHERE op IN ('c', 'r')),", """FROM e_raw WHERE op IN ('c', 'r')
   UNION ALL BY NAME SELECT cdc_id, op AS cdc_op, ts_ms AS cdc_ts_ms, consumed_at AS cdc_consumed_at, event_id, user_id,
          event_type, make_timestamp(created_at) AS created_at FROM e_bad),""", 1)
@@ -476,8 +537,10 @@ def oracle_queries() -> dict[str, str]:
     faulty = _faulty_ctes()
     q |= {f"{name}_faulty": f"WITH {faulty}\n{BODIES[name]}"
           for name in ("dq_report", "fk_violations", "orphan_payments", "non_positive_mrr",
-                       "revenue_by_day", "revenue_by_month")}
+                       "revenue_by_day", "revenue_by_month", "source_constraints")}
     drifted = f"{CTES.rstrip()},\n{_DRIFT}\n"
     q["type_drift_faulty"] = f"WITH {drifted}{BODIES['type_drift'].replace('raw_log', 'drifted_log')}"
     q["schema_drift_recent"] = f"WITH {drifted}{BODIES['schema_drift'].replace('raw_log', 'recent_log')}"
+    q["column_renames"] = f"WITH {drifted.rstrip()},\n{_RENAMES}\n{_RENAMES_BODY}"
+    q["lifecycle_violations"] = f"WITH {CTES.rstrip()},\n{_LIFECYCLE}\n{_LIFECYCLE_BODY}"
     return q

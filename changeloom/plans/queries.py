@@ -186,6 +186,19 @@ def non_positive_mrr(spark: SparkSession, d: str, log: Query = raw) -> DataFrame
     return quality.non_positive(models(spark, d, log=log)["fct_subscriptions"], "mrr")
 
 
+def source_constraints(spark: SparkSession, d: str, log: Query = raw) -> DataFrame:
+    """Every declared constraint of the source tables with its violations."""
+    from changeloom.operators.constraints import source_constraints as check
+    return check(log(spark, d))
+
+
+def lifecycle_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Subscription events out of order, in the log with such events."""
+    from changeloom.operators.lifecycle import lifecycle_violations as check, subscription_events
+    from changeloom.sources.faults import lifecycle_events
+    return check(subscription_events(raw(spark, d).unionByName(lifecycle_events(spark, d))), "subscription_id")
+
+
 # Recent drift is judged on the events of the last users' changes.
 DRIFT_SINCE_MS = BASE_MICROS // 1000 + 120 * DAY_MS
 
@@ -195,7 +208,7 @@ def _faulty(query) -> Query:
 
 
 FAULTY = {f"{q.__name__}_faulty": _faulty(q)
-          for q in (dq_report, fk_violations, orphan_payments, non_positive_mrr, revenue_by_day)}
+          for q in (dq_report, fk_violations, orphan_payments, non_positive_mrr, revenue_by_day, source_constraints)}
 
 
 def _parsed(spark: SparkSession, d: str):
@@ -410,6 +423,9 @@ def registry() -> dict[str, Query]:
         "revenue_by_month_faulty": lambda s, d: metrics.revenue_by_month(_fct_payments(s, d, faulty_log)),
         "schema_drift_recent": lambda s, d: monitor.schema_drift(
             drifted_log(s, d), monitor.expected_columns(s), DRIFT_SINCE_MS),
+        "source_constraints": source_constraints,
+        "lifecycle_violations": lifecycle_violations,
+        "column_renames": lambda s, d: monitor.column_renames(drifted_log(s, d), DRIFT_SINCE_MS),
         "type_drift_faulty": lambda s, d: monitor.type_drift(drifted_log(s, d)),
         "type_drift": lambda s, d: monitor.type_drift(raw(s, d)),
         "silence_gaps": lambda s, d: monitor.silence_gaps(raw(s, d)),

@@ -38,6 +38,28 @@ EXPECTED_COLUMNS = {
     "events": [("event_id", "int"), ("user_id", "int"), ("event_type", "string"),
                ("properties", "string"), ("created_at", "bigint")],
 }
+# Constraints of the source tables: (table, column, kind, argument).
+SOURCE_CONSTRAINTS = [
+    ("plans", "plan_id", "primary_key", None), ("plans", "plan_id", "not_null", None),
+    ("plans", "name", "not_null", None), ("plans", "name", "max_length", 50),
+    ("plans", "price", "not_null", None),
+    ("plans", "billing_cycle", "not_null", None), ("plans", "billing_cycle", "max_length", 20),
+    ("plans", "billing_cycle", "check", BILLING_CYCLES), ("plans", "created_at", "not_null", None),
+    ("users", "user_id", "primary_key", None), ("users", "user_id", "not_null", None),
+    ("users", "email", "not_null", None), ("users", "email", "max_length", 255), ("users", "email", "unique", None),
+    ("users", "name", "not_null", None), ("users", "name", "max_length", 100), ("users", "created_at", "not_null", None),
+    ("subscriptions", "subscription_id", "primary_key", None), ("subscriptions", "subscription_id", "not_null", None),
+    ("subscriptions", "user_id", "not_null", None), ("subscriptions", "plan_id", "not_null", None),
+    ("subscriptions", "status", "not_null", None), ("subscriptions", "status", "max_length", 20),
+    ("subscriptions", "status", "check", SUBSCRIPTION_STATUSES), ("subscriptions", "started_at", "not_null", None),
+    ("payments", "payment_id", "primary_key", None), ("payments", "payment_id", "not_null", None),
+    ("payments", "subscription_id", "not_null", None), ("payments", "amount", "not_null", None),
+    ("payments", "status", "not_null", None), ("payments", "status", "max_length", 20),
+    ("payments", "status", "check", PAYMENT_STATUSES), ("payments", "created_at", "not_null", None),
+    ("events", "event_id", "primary_key", None), ("events", "event_id", "not_null", None),
+    ("events", "user_id", "not_null", None), ("events", "event_type", "not_null", None),
+    ("events", "event_type", "max_length", 50), ("events", "created_at", "not_null", None),
+]
 # Property keys flattened by the events model.
 EVENT_PROPERTY_COLUMNS = [
     ("page", "string"), ("referrer", "string"), ("button", "string"),

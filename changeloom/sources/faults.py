@@ -19,6 +19,11 @@ monitors look for; the oracle queries apply the same rules.
 * events: for ``event_id % 61 = 0`` an event ``-event_id - 1`` of an unknown
   user without a type.
 
+``lifecycle_events`` (subscriptions out of order, with images): for ``orderkey %
+61 = 0`` a change ten days before the creation; for ``orderkey % 67 = 0`` a second
+creation after 20 days; for ``orderkey % 71 = 0`` a delete after 500 days and a
+change after 510.
+
 ``drift_events``: for ``custkey % 47 = 0`` a users event 120 days after the
 creation whose ``email`` is called ``mail``, with a new ``phone`` and values that
 are not of the declared types.
@@ -109,3 +114,27 @@ def drift_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.col("c_name").alias("name"), F.lit(1).alias("plan_id"), F.lit("soon").alias("created_at"),
               F.lit("555").alias("phone")).alias("after")), "users")
     return drifted.select(*RAW_COLUMNS)
+
+
+def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    o = (read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+         .withColumn("started_at", _shifted_micros("o_orderdate")))
+    start_ms = F.floor(F.col("started_at") / 1000).cast("bigint")
+
+    def event(op: str, days: int, divisor: int):
+        return F.struct(F.lit(op).alias("op"), (start_ms + days * DAY_MS).alias("ts_ms"), (k % divisor == 0).alias("keep"))
+
+    events = F.array(event("u", -10, 61), event("c", 20, 67), event("d", 500, 71), event("u", 510, 71))
+    ev = o.select(k.alias("entity_key"), "o_custkey", "started_at", F.explode(F.filter(events, lambda e: e["keep"])).alias("e"))
+    return _finish_with_image(ev.select("entity_key", "o_custkey", "started_at", "e.op", "e.ts_ms")).select(*RAW_COLUMNS)
+
+
+def _finish_with_image(ev: DataFrame) -> DataFrame:
+    image = _json(F.col("entity_key").alias("subscription_id"), F.col("o_custkey").alias("user_id"),
+                  F.lit(1).alias("plan_id"), F.lit("active").alias("status"), F.col("started_at"),
+                  F.lit(None).cast("bigint").alias("ended_at"))
+    key = F.concat_ws("|", F.col("entity_key"), F.lit("lifecycle"), F.col("op"), F.col("ts_ms"))
+    done = _finish(ev.select("entity_key", "op", "ts_ms", key.alias("natural_key"), F.lit("").alias("after"),
+                             image.alias("image")), "subscriptions")
+    return done.withColumn("after", F.col("image")).drop("image")
