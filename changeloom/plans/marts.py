@@ -62,6 +62,16 @@ def latest_plans(stg_plans: DataFrame) -> DataFrame:
     return latest_by_key(stg_plans, ["plan_id"]).select("plan_id", "price", "billing_cycle")
 
 
+def monthly(price, billing_cycle):
+    """Monthly revenue of a plan: a twelfth of an annual price, to the cent."""
+    return (F.when(billing_cycle == "annual", F.round(price / 12, 2)).otherwise(price)).cast("decimal(10,2)")
+
+
+def plan_mrr(stg_plans: DataFrame) -> DataFrame:
+    """(plan_id, mrr) of the latest plans."""
+    return latest_plans(stg_plans).select("plan_id", monthly(F.col("price"), F.col("billing_cycle")).alias("mrr"))
+
+
 def subscription_facts(stg_subscriptions: DataFrame, stg_plans: DataFrame,
                        keep: list[str] | None = None) -> DataFrame:
     """fct_subscriptions plus the extra columns in ``keep`` (e.g. cdc_id).
@@ -71,8 +81,7 @@ def subscription_facts(stg_subscriptions: DataFrame, stg_plans: DataFrame,
     plans = latest_plans(stg_plans)
     s = stg_subscriptions.alias("s")
     joined = s.join(plans.alias("p"), F.col("s.plan_id") == F.col("p.plan_id"), "left")
-    mrr = (F.when(F.col("p.billing_cycle") == "annual", F.round(F.col("p.price") / 12, 2))
-           .otherwise(F.col("p.price"))).cast("decimal(10,2)")
+    mrr = monthly(F.col("p.price"), F.col("p.billing_cycle"))
     duration = F.when(F.col("s.ended_at").isNotNull(),
                       F.extract(F.lit("DAY"), F.col("s.ended_at") - F.col("s.started_at"))
                       .cast("int"))

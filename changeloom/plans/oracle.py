@@ -415,6 +415,8 @@ def _run_sql() -> str:
 
 
 BODIES["pipeline_run"] = _run_sql()
+BODIES["revenue_by_day_incremental"] = BODIES["revenue_by_day"]
+BODIES["mrr_incremental"] = BODIES["mrr_by_plan"]
 BODIES["current_silence_live"] = BODIES["current_silence"]
 
 

@@ -51,6 +51,7 @@ class BucketedTable:
         m = json.loads(self._text(f"{self.base}/manifests/{self.version:012d}.json"))
         self.keys, self.buckets, self.folders = m["keys"], m["buckets"], m["folders"]
         self.schema = StructType.fromJson(m["schema"])
+        self.properties: dict = m.get("properties", {})
 
     # Files
 
@@ -111,8 +112,9 @@ class BucketedTable:
     # Writing
 
     @staticmethod
-    def create(df: DataFrame, base: str, keys: list[str], buckets: int = 64) -> "BucketedTable":
-        """Write ``df`` as the first version."""
+    def create(df: DataFrame, base: str, keys: list[str], buckets: int = 64,
+               properties: dict | None = None) -> "BucketedTable":
+        """Write ``df`` as the first version.  ``properties`` are kept in the manifest."""
         table = BucketedTable.__new__(BucketedTable)
         table.spark, table.base = df.sparkSession, base.rstrip("/")
         if table._versions():
@@ -120,23 +122,25 @@ class BucketedTable:
         table.keys, table.buckets, table.schema, table.folders, table.version = keys, buckets, df.schema, {}, 0
         fs, p = table._fs(f"{table.base}/manifests")
         fs.mkdirs(p)
-        return table._write(df, None)
+        return table._write(df, None, properties or {})
 
-    def update(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> "BucketedTable":
+    def update(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame],
+               properties: dict | None = None) -> "BucketedTable":
         """The next version: ``merge(rows, changes)`` replaces the buckets that the
         keys of ``changes`` hash to, where ``rows`` are the rows of those buckets.
-        ``merge`` must return the table's columns and keep the keys of other rows."""
+        ``merge`` must return the table's columns and keep the keys of other rows.
+        ``properties`` are set in the same commit; without them and without
+        changes there is no new version."""
         staged = stage(changes, "bucketed-changes")
         touched = [r[0] for r in staged.select(self.bucket_of().alias("b")).distinct().collect()]
-        if not touched:
-            unstage(staged)
+        if not touched and properties is None:
             return self
         merged = merge(self.read(touched), staged).select(*self.schema.names)
-        following = self._write(merged, touched)
+        following = self._write(merged, touched, {**self.properties, **(properties or {})})
         unstage(staged)
         return following
 
-    def _write(self, rows: DataFrame, touched: list[int] | None) -> "BucketedTable":
+    def _write(self, rows: DataFrame, touched: list[int] | None, properties: dict) -> "BucketedTable":
         version = self.version + 1
         folder = f"{version:012d}-{uuid.uuid4().hex}"
         path = f"{self.base}/data/{folder}"
@@ -146,7 +150,7 @@ class BucketedTable:
         filled = {n.split("=")[1] for n in self._names(path) if n.startswith(f"{BUCKET}=")}
         kept = {} if touched is None else {b: f for b, f in self.folders.items() if int(b) not in touched}
         manifest = {"keys": self.keys, "buckets": self.buckets, "schema": json.loads(self.schema.json()),
-                    "folders": kept | {b: folder for b in filled}}
+                    "folders": kept | {b: folder for b in filled}, "properties": properties}
         self._commit(version, manifest)
         return BucketedTable(self.spark, self.base, version)
 
