@@ -1,9 +1,9 @@
-"""One pipeline run: staging, marts, snapshots, tests, and a run log.
+"""One pipeline run: raw layer, staging, marts, snapshots, tests, and a run log.
 
-Order matters: snapshots read staging, tests read the built marts.  Each
-stage writes its tables under ``out``; the run log records per model the
-rows written, the seconds taken and the outcome (a failing stage stops the
-run and is logged as failed).
+Order matters: staging reads the landed raw layer, snapshots read staging,
+tests read the built marts.  Each stage writes its tables under ``out``; the run
+log records per model the rows written, the seconds taken and the outcome.  A
+failing stage stops the run and is logged with the error's first line.
 """
 
 from __future__ import annotations
@@ -14,12 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeloom.operators import quality, scd2
 from changeloom.plans import checks, marts, staging
-from changeloom.sources.files import publish_table, publish_view
+from changeloom.sources.files import publish_table, publish_view, read_raw, write_raw
 
 RUN_LOG_SCHEMA = "stage string, model string, rows bigint, seconds double, status string"
 
 
-def run_pipeline(spark: SparkSession, raw: DataFrame, out: str) -> DataFrame:
+def run_pipeline(spark: SparkSession, raw: DataFrame, out: str, landed: bool = False) -> DataFrame:
+    """Run all stages over ``raw``.  It is written to ``out``/raw first, and every
+    model reads that; ``landed`` says that it is such a table already."""
+    if not landed:
+        write_raw(raw, f"{out}/raw")
+        raw = read_raw(spark, f"{out}/raw")
     log: list[tuple] = []
     built: dict[str, DataFrame] = {}
 
@@ -29,7 +34,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out: str) -> DataFrame:
         try:
             rows, status = action()
         except Exception as exc:  # noqa: BLE001 - logged as the failed step
-            rows, status = None, f"failed: {type(exc).__name__}"
+            first_line = (str(exc).strip().splitlines() or [""])[0][:300]
+            rows, status = None, f"failed: {type(exc).__name__}: {first_line}"
         log.append((stage, name, rows, time.time() - began, status))
         return status == "success"
 

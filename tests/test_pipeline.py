@@ -17,7 +17,7 @@ def test_run_pipeline(spark):
     out = tempfile.mkdtemp(prefix="cl-pipe-")
     write_raw(change_log(spark, SF001), f"{out}/raw")
     log = {(r.stage, r.model): r for r in run_pipeline(spark, read_raw(spark, f"{out}/raw"),
-                                                        out).collect()}
+                                                        out, landed=True).collect()}
     assert all(r.status == "success" for r in log.values())
     assert log[("marts", "dim_dates")].rows == 2557
     assert log[("tests", "dq_report")].rows == 38
@@ -49,3 +49,13 @@ def test_snapshot_events_round_trip(spark):
     assert {r.op for r in rows} == {"r"} and {r.ts_ms for r in rows} == {1000}
     stg = staging.stg_users(raw).orderBy("user_id").collect()
     assert [s.email for s in stg] == ["a@x.com", "b@x.com"]
+
+
+def test_a_failing_model_stops_the_run_and_says_why(spark):
+    out = tempfile.mkdtemp(prefix="cl-pipe-")
+    bad = change_log(spark, SF001).withColumn("after", F.when(
+        F.col("source_table") == "plans", F.lit('{"plan_id":"x","name":"n","price":"1","billing_cycle":"annual","created_at":1}'))
+        .otherwise(F.col("after")))
+    log = run_pipeline(spark, bad, out).collect()
+    assert log[-1].model == "dim_plans" and log[-1].rows is None and "CAST_INVALID_INPUT" in log[-1].status
+    assert spark.read.parquet(f"{out}/raw").count() == bad.count()
