@@ -164,15 +164,43 @@ def _padded(sequences: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarr
     return flat, real
 
 
-def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Scores of the classes, the highest of a position at 0."""
     z = weights[rows[0]]
     for r in rows[1:]:
         z += weights[r]
     z += bias
     z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = _scores(weights, bias, rows)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
+def class_logs(m, buckets: np.ndarray, real: np.ndarray, size: int = 1 << 20, chunk: int = 1 << 15) -> np.ndarray:
+    """Log probability of the class at every position of padded sequences (0 at
+    paddings).  Of ``size`` positions at a time, equal histories are computed
+    once, ``chunk`` of them together."""
+    n, classes = len(m.classes) + 1, np.append(m.classes, m.size)
+    out, at = np.zeros(len(buckets)), np.flatnonzero(real)
+    for here in (at[k:k + size] for k in range(0, len(at), size)):
+        history = buckets[here - 1] * n + buckets[here - 2]
+        order = np.argsort(history)
+        history, here = history[order], here[order]
+        first = np.flatnonzero(np.diff(history, prepend=-1))
+        ends = np.append(first, len(here))
+        for a in range(0, len(first), chunk):
+            own = first[a:a + chunk]
+            lo, hi = own[0], ends[min(a + chunk, len(first))]
+            b1, b2 = np.divmod(history[own], n)
+            z = _log_softmax(m.weights, m.bias, _feature_rows(b1, b2, classes[b1], classes[b2], m.size, len(m.weights)))
+            which = np.repeat(np.arange(len(own)), np.diff(np.append(own, hi)))
+            out[here[lo:hi]] = z[which, classes[buckets[here[lo:hi]]]]
+    return out
+
+
 def _buckets_of(text: bytes | None, heads: dict[bytes, int]) -> np.ndarray:
     words = [*(text or b"").lower().split(), END]
     return np.array([heads[w] if w in heads else zlib.crc32(w[-3:]) % ENDINGS for w in words], np.int64)
@@ -248,6 +276,22 @@ def _cluster(table: np.ndarray, heads: int, tails: int, rounds: int = 10) -> np.
     return np.concatenate([heads + near, np.arange(heads)]).astype(np.int64)
 
 
+def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of every group; group g is ``order[first[g]:first[g + 1]]``.
+    Most groups are small: their k-th members are added for all groups at once."""
+    many = np.diff(first, append=len(order))
+    out = values[order[first]]
+    live = np.flatnonzero(many > 1)
+    for k in range(1, 8):
+        if not len(live):
+            return out
+        out[live] += values[order[first[live] + k]]
+        live = live[many[live] > k + 1]
+    for g in live:
+        out[g] += values[order[first[g] + 8:first[g] + many[g]]].sum(axis=0)
+    return out
+
+
 def _train(m, weights: np.ndarray, bias: np.ndarray, speed: np.ndarray, seen: np.ndarray, flat: np.ndarray,
            real: np.ndarray, rate: float, batch: int) -> None:
     """Mini-batch steps, in place, over the histories of a run of text, each
@@ -275,14 +319,15 @@ def _train(m, weights: np.ndarray, bias: np.ndarray, speed: np.ndarray, seen: np
     cuts = np.searchsorted(place, np.arange(0, len(whole) + batch, batch))
     for i, lo, hi in zip(range(0, len(whole), batch), cuts, cuts[1:]):
         r, each = rows[:, i:i + batch], total[i:i + batch]
-        slope = np.exp(_log_softmax(weights, bias, r))
-        slope *= each[:, None]
+        slope = _scores(weights, bias, r)
+        np.exp(slope, out=slope)
+        slope *= (each / slope.sum(axis=1))[:, None]
         slope[place[lo:hi] - i, goal[lo:hi]] -= many[lo:hi]
         bias -= rate * slope.sum(axis=0) / each.sum()
         for f in r:                     # sum the slopes of equal rows, one step per row
-            order = np.argsort(f, kind="stable")
+            order = np.argsort(f.astype(np.uint16) if len(weights) <= 1 << 16 else f, kind="stable")
             first = np.flatnonzero(np.diff(f[order], prepend=-1))
-            where, step = f[order][first], np.add.reduceat(slope[order], first, axis=0)
+            where, step = f[order][first], _sums(slope, order, first)
             speed[where] += (step ** 2).mean(axis=1)
             weights[where] -= rate * step / np.sqrt(speed[where])[:, None] / 4
 
@@ -387,26 +432,18 @@ def _bucketed(total: int, distinct: int):
     return run
 
 
-def _score(model, chunk: int = 1 << 16):
+def _score(model):
     """Scores of documents given as buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = SimpleNamespace(**model.value)
-        pad = len(m.classes)
         mass = np.append(np.where(np.arange(m.size) < len(m.heads), 0.0, np.log10(m.mass + 1)), 0.0)
-        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
+        classes = np.append(m.classes, m.size)
+        for batch in (b.slice(k, 2000) for b in batches for k in range(0, b.num_rows, 2000)):
             sequences = [np.frombuffer(b, "<u2").astype(np.int64) for b in batch.column("buckets").to_pylist()]
-            buckets, real = _padded(sequences, pad)
-            classes = np.append(m.classes, m.size)[buckets]
-            log_class = np.zeros(len(buckets))
-            for at in range(0, len(buckets), chunk):
-                # two positions of history come before the chunk
-                lo = max(0, at - 2)
-                rows = features(buckets[lo:at + chunk], classes[lo:at + chunk], m.size, len(m.weights))[:, at - lo:]
-                mask = real[at:at + chunk]
-                z = _log_softmax(m.weights, m.bias, rows[:, mask])
-                log_class[at:at + chunk][mask] = z[np.arange(len(z)), classes[at:at + chunk][mask]]
+            buckets, real = _padded(sequences, len(m.classes))
+            logs = class_logs(m, buckets, real) / np.log(10) - mass[classes[buckets]]
             starts = np.cumsum([0, *(len(s) for s in sequences[:-1])])
-            score = np.add.reduceat((log_class / np.log(10) - mass[classes])[real], starts)     # no sequence is empty
+            score = np.add.reduceat(logs[real], starts)     # no sequence is empty
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")),
                  pa.array(score + batch.column("word_score").to_numpy())],

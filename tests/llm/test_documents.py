@@ -143,6 +143,57 @@ def test_language_model_base_and_probability(spark):
         assert abs(base - r.base_score) < 1e-6 * max(1, len(t)) and r.score < 0
 
 
+def test_language_model_score_is_a_plain_sum(spark, monkeypatch):
+    """Class and word factor of every token, history by history."""
+    kept, fit = {}, lm._fit
+    monkeypatch.setattr(lm, "_fit", lambda *a, **k: kept.setdefault("model", fit(*a, **k)))
+    rows = [r for r in odd_documents() if r[0] != 10]
+    got = lm.score_texts(documents(spark, rows)).collect()
+    m, counts, scores = kept["model"], {}, {}
+    for i, text, *_ in rows:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2:
+            for w in [*words_of(text), b""]:
+                counts[w] = counts.get(w, 0) + 1
+    bucket = lambda w: lm.ENDINGS + m.heads.index(w) if w in m.heads else lm.ending(w)      # noqa: E731
+    mass = {}
+    for w, c in counts.items():
+        mass[m.classes[bucket(w)]] = mass.get(m.classes[bucket(w)], 0) + c + 1
+    pad, size = len(m.classes), len(m.bias)
+    for i, text, *_ in rows:
+        b = [pad, pad, *(bucket(w) for w in [*words_of(text), b""])]
+        total = 0.0
+        for k, w in enumerate([*words_of(text), b""], 2):
+            c = [size if x == pad else m.classes[x] for x in (b[k - 1], b[k - 2])]
+            at = lm._feature_rows(*(np.array([x]) for x in (b[k - 1], b[k - 2], *c)), size, len(m.weights))[:, 0]
+            z = m.weights[at].astype(float).sum(axis=0) + m.bias
+            own = m.classes[b[k]]
+            total += (z[own] - z.max() - np.log(np.exp(z - z.max()).sum())) / np.log(10)
+            if w not in m.heads:
+                total += np.log10((counts.get(w, 0) + 1) / (mass.get(own, 0) + 1))
+        scores.setdefault((i, len(b) - 2), []).append(total)
+    assert len(got) == len(rows)
+    for r in got:
+        assert min(abs(r.score - s) for s in scores[r.doc_id, r.n_tokens]) < 1e-4 * max(1, r.n_tokens)
+
+
+def test_class_logs_do_not_depend_on_the_cuts():
+    rng = np.random.default_rng(4)
+    m = lm.Model([b""], rng.integers(0, 6, lm.ENDINGS + 1), rng.normal(size=6).astype(np.float32),
+                 rng.normal(size=(200, 6)).astype(np.float32), np.zeros(6), 0, 0)
+    m.size = 6
+    flat, real = lm._padded([rng.integers(0, 40, k) for k in (1, 300, 7, 90)], len(m.classes))
+    whole = lm.class_logs(m, flat, real)
+    rows = lm.features(flat, np.append(m.classes, 6)[flat], 6, 200)[:, real]
+    plain = lm._log_softmax(m.weights, m.bias, rows)[np.arange(real.sum()), m.classes[flat[real]]]
+    assert np.allclose(whole[real], plain, atol=1e-5) and (whole[~real] == 0).all()
+    assert np.allclose(lm.class_logs(m, flat, real, size=37, chunk=5), whole, atol=1e-5)
+    f = rng.integers(0, 9, 100)
+    order = np.argsort(f, kind="stable")
+    first = np.flatnonzero(np.diff(f[order], prepend=-1))
+    values = rng.normal(size=(100, 3))
+    assert np.allclose(lm._sums(values, order, first), np.add.reduceat(values[order], first, axis=0))
+
+
 def test_language_model_beats_unigrams_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = (lm.score_texts(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"),
