@@ -51,6 +51,8 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset("body main article section div td center".split())
 # Elements that are never part of an article.
 DROP_TAGS = frozenset("nav header footer aside form menu dialog button head".split())
+# Of those, the ones that also stand around whole articles.
+SOFT_TAGS = frozenset("form dialog button head".split())
 # Words of a class, id or role that mark what is around an article.
 DROP_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner nav navbar "
@@ -59,6 +61,19 @@ DROP_WORDS = frozenset(
     "modal dialog overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations comment comments commentlist respond reply replies disqus discussion form search searchform "
     "pagination pager toolbar skip copyright".split())
+# Words that mark reader comments, adverts and consent boxes in any compound name.
+STRONG_WORDS = frozenset("comment comments commentlist disqus respond cookie cookies consent gdpr advert adverts "
+                         "advertisement advertising sponsored newsletter".split())
+# Words that a marking name may have besides: "related-posts" marks a box,
+# "related-work" does not.
+BOX_WORDS = frozenset(
+    "box boxes bar bars list lists link links button buttons icon icons post posts article articles item items section "
+    "sections wrapper wrap container area block blocks panel panel column col row top bottom left right site page main "
+    "content inner outer global primary secondary mobile desktop sticky fixed full small large js id the us of for in "
+    "on up out open close closed group text title head heading body slot unit zone message messages news story stories "
+    "tools tool count counts more latest popular field fields input entry blog web holder module region by".split())
+OUTWEIGH = 2            # a marked element stays if it holds this many times the unmarked text
+LEAST = 200             # and so many characters of running text
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody"),
           "option": ("option",)}
@@ -81,6 +96,8 @@ class Node:
     parent: int
     path: str
     drop: bool = False          # by tag, role, class or id
+    soft: bool = False          # dropped unless it outweighs the unmarked text
+    own: bool = False           # a header within an article
     keeper: bool = False        # holds an article, main or h1
     running: int = 0            # characters of running text in blocks at or below
     inline: int = 0             # of an inline element: its characters, and those in links
@@ -143,12 +160,20 @@ def parse(source: str) -> list[Node]:
                 continue
         if tag in BLOCKS:
             _imply(nodes, stack, ("p",))
+            for k in range(len(stack) - 1, 0, -1):      # an open head ends where the body begins
+                if nodes[stack[k]].tag == "head":
+                    close(k)
         if tag in CLOSES:
             _imply(nodes, stack, CLOSES[tag])
         attrs = m["attrs"] or m["attrs2"] or ""
         parent = nodes[stack[-1]]
-        names, drop = _names(tag, attrs) if attrs.strip() else ("", False)
-        node = Node(tag, stack[-1], f"{parent.path}>{tag}{names}" if len(stack) < 40 else parent.path, drop or tag in DROP_TAGS or tag in EMBEDS)
+        names, mark = _names(tag, attrs) if attrs.strip() else ("", "")
+        hard = tag in EMBEDS or (tag in DROP_TAGS and tag not in SOFT_TAGS) or mark == "hard"
+        node = Node(tag, stack[-1], f"{parent.path}>{tag}{names}" if len(stack) < 40 else parent.path,
+                    hard or bool(mark) or tag in SOFT_TAGS)
+        node.soft = node.drop and not hard
+        if tag == "header" and any(nodes[k].tag == "article" for k in stack):
+            node.own = True                 # of the article; stays if it holds the headline
         if tag in ("article", "main", "h1"):
             for k in stack:
                 nodes[k].keeper = True
@@ -181,34 +206,62 @@ def _imply(nodes: list[Node], stack: list[int], tags: tuple) -> None:
             return
 
 
-def _names(tag: str, attrs: str) -> tuple[str, bool]:
-    """Generalised classes and id of a tag, and whether they mark clutter."""
-    names, drop = [], False
+def _names(tag: str, attrs: str) -> tuple[str, str]:
+    """Generalised classes and id of a tag, and whether they mark clutter: "hard"
+    (hidden, or a strong word), "soft" or ""."""
+    names, mark = [], ""
     for m in ATTR.finditer(attrs):
         kind, value = m[1].lower(), CAMEL.sub(r"\1-\2", m[2] or m[3] or m[4] or "").lower()
         if kind in ("class", "id"):
             parts = sorted(value.split()) if kind == "class" else [value.strip()]
             names += [("." if kind == "class" else "#") + re.sub(r"\d+", "0", x)[:40] for x in parts if x]
         if kind in ("class", "id", "role"):
-            drop = drop or any(w in DROP_WORDS for w in WORDS.findall(value))
+            for name in value.split():
+                words = WORDS.findall(name)
+                if any(w in STRONG_WORDS for w in words):
+                    mark = "hard"
+                elif any(w in DROP_WORDS for w in words) and all(w in DROP_WORDS or w in BOX_WORDS for w in words):
+                    mark = mark or "soft"
         elif kind == "hidden" or (kind == "aria-hidden" and value == "true"):
-            drop = True
+            mark = "hard"
         elif kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            drop = True
-    return "".join(names), drop and tag not in ("html", "body", "main", "article")
+            mark = "hard"
+    return "".join(names), "" if tag in ("html", "body", "main", "article") else mark
 
 
 def _dropped(node: Node) -> bool:
-    """Clutter, unless it is a wrapper marked by class that holds the article."""
+    """Clutter, unless it is a wrapper marked by class, or an article's own
+    header, that holds the article or its headline."""
+    if node.own:
+        return not node.keeper
     return node.drop and (node.tag in DROP_TAGS or node.tag in EMBEDS or not node.keeper)
 
 
 def measure(nodes: list[Node]) -> None:
-    """Running text of every node: the text of blocks that are not mostly
-    links.  One pass from the end, children before parents."""
+    """Running text of every node.  A word in a name or a form around the page
+    loses no article: as long as a softly marked element holds more than
+    ``OUTWEIGH`` times the running text that is not marked, the largest stays."""
+    _running(nodes, _dropped)
+    if not any(x.soft and x.drop for x in nodes):
+        return
+    mass = _running([Node(x.tag, x.parent, "", x.drop and not x.soft, x.keeper, parts=x.parts, own=x.own) for x in nodes],
+                    _dropped)
+    while True:
+        marked = [(mass[n], -n) for n, x in enumerate(nodes) if x.soft and _dropped(x) and mass[n] >= LEAST]
+        largest, n = max(marked, default=(0, 0))
+        if largest <= OUTWEIGH * nodes[0].running:
+            return
+        nodes[-n].drop = False
+        _running(nodes, _dropped)
+
+
+def _running(nodes: list[Node], dropped: Callable[[Node], bool]) -> list[int]:
+    """Set and return the running text of every node: the text of blocks that are
+    not mostly links.  One pass from the end, children before parents."""
     for n in range(len(nodes) - 1, -1, -1):
         node = nodes[n]
-        if _dropped(node):
+        node.running = node.inline = node.linked = 0
+        if dropped(node):
             continue
         inline = linked = below = 0
         for part in node.parts:
@@ -222,6 +275,7 @@ def measure(nodes: list[Node]) -> None:
         else:
             node.inline, node.running = inline, below
             node.linked = inline if node.tag == "a" else linked
+    return [x.running for x in nodes]
 
 
 def best_container(nodes: list[Node]) -> int:
@@ -424,14 +478,18 @@ def host_paths(pages: DataFrame, paths: int = PATHS, beside: int = BESIDE) -> Da
     votes = (pages.select("host", "html").mapInArrow(_vote, "host string, path string, beside boolean, votes bigint")
              .groupBy("host", "path").agg(F.sum(F.when(F.col("beside"), 0).otherwise(F.col("votes"))).alias("votes"),
                                           F.sum(F.when(F.col("beside"), F.col("votes")).otherwise(0)).alias("out")))
-    rank = [F.row_number().over(Window.partitionBy("host").orderBy(F.col(c).desc(), "path")) for c in ("votes", "out")]
-    top = (votes.withColumn("rank", rank[0]).withColumn("out_rank", rank[1])
-           .withColumn("wins", (F.col("rank") <= paths) & (F.col("votes") > 0))
-           .withColumn("loses", (F.col("out_rank") <= beside) & (F.col("out") > F.col("votes"))).where("wins OR loses"))
-    return (top.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.when(F.col("wins"), F.struct("rank", "path")))).alias("p"),
-        F.array_sort(F.collect_list(F.when(F.col("loses"), F.col("path")))).alias("beside"))
-        .select("host", F.col("p.path").alias("paths"), "beside"))
+    # Each rank is cut where it is made, so a host with very many paths ships few.
+    def first(column: str, many: int) -> DataFrame:
+        by = Window.partitionBy("host").orderBy(F.col(column).desc(), "path")
+        return votes.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= many)
+
+    none = F.lit(None)
+    wins = first("votes", paths).where("votes > 0").select("host", F.struct("rank", "path").alias("p"), none.cast("string").alias("b"))
+    loses = first("out", beside).where("out > votes").select("host", none.cast(wins.schema["p"].dataType).alias("p"),
+                                                             F.col("path").alias("b"))
+    return (wins.unionByName(loses).groupBy("host")
+            .agg(F.array_sort(F.collect_list("p")).alias("p"), F.array_sort(F.collect_list("b")).alias("beside"))
+            .select("host", F.col("p.path").alias("paths"), "beside"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

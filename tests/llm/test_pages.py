@@ -64,6 +64,54 @@ def test_long_bodies_keep_what_stands_beside_them(before, after, kept, wrap):
     assert got == kept.format(long.strip())
 
 
+PROSE = "Some running text of an article that goes on for a while, " * 7
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<body><form action=x><div class=content><h1>T</h1><p>{}</p></div></form>", "T\n\n{}"),
+    ("<html><head><title>x</title><p>{}", "{}"), ("<html><head><title>x</title><div>{}</div>", "{}"),
+    ("<body><div id=page class='with-sidebar'><div class=post><h2>T</h2><p>{}</p></div></div></body>", "T\n\n{}"),
+    ("<body><div class='layout sidebar-right'><div class=text><p>{}</p></div></div></body>", "{}"),
+    ("<article><p>a</p><p class='notice-period'>{}</p></article>", "a\n\n{}"),
+    ("<article><p>a</p><section class='related-work'><p>{}</p></section></article>", "a\n\n{}"),
+    ("<article><p>a</p><div class='share-price'>{}</div></article>", "a\n\n{}"),
+    ("<article><div id='research-header-text'><p>{}</p></div></article>", "{}"),
+    ("<article><button>x<p>{}</p></article>", "x\n\n{}"),
+    ("<article><header><h1>Title</h1><p>lead</p></header><p>{}</p><footer>foot</footer></article>", "Title\n\nlead\n\n{}"),
+    # marked boxes beside the article go, long ones too, also within a form around the page
+    ("<div class=text><p>{0}</p></div><div class=sidebar><p>{0}</p></div>", "{0}"),
+    ("<form><div class=text><p>{0}</p></div><div class='related-posts'><p>{0}</p></div></form>", "{0}"),
+    ("<div class=text><p>short</p></div><div id=comments><p>{0}</p><p>{0}</p></div>", "short"),
+    ("<div class=cookie-notice><p>{0}</p></div>", ""), ("<form><label>name</label><button>send</button></form>", ""),
+    ("<header><h1>Site</h1></header><article><p>{0}</p></article>", "{0}"),
+    ("<article><p>{0}</p><div class='post-comments'><p>{0}</p></div></article>", "{0}")])
+def test_no_word_or_wrapper_loses_the_article(source, text):
+    assert html.extract(source.format(PROSE), [])[0] == text.format(PROSE.strip())
+
+
+def test_generated_pages_give_their_article():
+    """Known articles between clutter, in wrappers of many kinds."""
+    import random
+    rng, right = random.Random(8), 0
+    clutter = ["<nav><a href=x>Home</a> <a href=y>News</a></nav>", "<div class='ad-box'><p>Buy now and save</p></div>",
+               "<aside><h2>Popular</h2><p>Other story here</p></aside>", "<div id=sidebar><p>About this site and more</p></div>",
+               "<footer><p>Copyright somebody</p></footer>", "<form class=search><input><button>go</button></form>",
+               "<div class='share-buttons'><a href=x>Share</a></div>", "<div class='comments'><p>Nice article, thanks!</p></div>",
+               "<script>var a='<p>x</p>'</script>", "<div class='cookie-banner'><p>We use cookies here</p></div>"]
+    wrappers = ["{}", "<div class=wrapper>{}</div>", "<form method=post>{}</form>", "<div class='layout sidebar-left'>{}</div>",
+                "<div id=main class='page with-sidebar'>{}</div>", "<table><tr><td>{}</td></tr></table>"]
+    bodies = ["<article>{}</article>", "<main>{}</main>", "<div class=post-body>{}</div>", "<div id=content><section>{}</section></div>"]
+    for _ in range(300):
+        blocks = [f"Block {k} " + "with words of the text " * rng.randint(2, 12) for k in range(rng.randint(2, 9))]
+        inner = "<h1>Headline</h1>" + "".join(f"<p>{b}</p>" if rng.random() < .8 else f"<ul><li>{b}</ul>" for b in blocks)
+        around = rng.sample(clutter, rng.randint(0, 6))
+        cut = rng.randint(0, len(around))
+        body = "".join(around[:cut]) + rng.choice(bodies).format(inner) + "".join(around[cut:])
+        got = html.extract(f"<html><head><title>t</title></head><body>{rng.choice(wrappers).format(body)}</body></html>", [])[0]
+        right += got == "\n\n".join(["Headline", *(b.strip() for b in blocks)])
+    assert right >= 297
+
+
 def test_hosts_vote_for_a_container(spark):
     """A short page follows its host, although its side column is longer."""
     def site(main, side):
