@@ -16,8 +16,11 @@ sets form a class; all further work is on one member per class.
 * The exact rest: a star may leave classes of a bucket uncompared.  Buckets of
   at most ``SMALL`` classes compare all that still differ.  In larger ones the
   classes outside the largest component of their family (the buckets that hang
-  together) are looked up in an inverted index of blocks of the family's sets.
-  That yields links only, no pairs, and leaves no pair of bucket mates out.
+  together) look for partners by prefix filter: with shingles in the order of
+  their frequency, rare ones first, two sets that are similar enough share one
+  among the first few of each.  Only those prefixes are written, joined by
+  shingle and confirmed, so a family of many sets just below the threshold costs
+  in proportion to its size, and no pair of bucket mates is left out.
 
 With 50 bands of 5 rows, a pair of similarity 0.75 shares a bucket with
 probability 1 - 1e-6, and more similar pairs with higher.
@@ -45,7 +48,7 @@ WIDTH = 5
 BANDS, ROWS = 50, 5
 SMALL = 24              # classes of a bucket that are all compared
 STARS = 4               # star rounds
-BLOCK = 400             # classes of a family in one block of the index
+RANK_SLOTS = 1 << 20    # hashed shingle frequencies that order the prefixes (8 MB at any size)
 SKETCH_FROM = 100       # sets at least this large are pre-compared by sketch
 SKETCH_AGREE = 172      # equal sketch bits (of 250) below which no pair of such sets has 0.75
 FILTER_BITS = 1 << 22
@@ -284,21 +287,35 @@ class _Search:
         hubs = rows.groupBy("key").agg(F.min("node").alias("u"))
         family = components(rows.join(stage(hubs, "near-hubs"), "key").select("u", F.col("node").alias("v")))
         members = stage(rows.select("node", "label").distinct()
-                        .join(family.withColumnRenamed("label", "family"), "node"), "near-members")
+                        .join(family.withColumnRenamed("label", "family"), "node"), "near-family")
         sizes = members.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
-        family_of = sizes.groupBy("family").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
-        members = members.join(stage(family_of.select("family", F.col("top")["label"].alias("top"), "size"),
-                                     "near-families"), "family")
-        blocks = F.ceil(F.col("size") / BLOCK)
-        with_sets = members.join(self.sets, "node")
-        block = with_sets.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("query", F.lit(False))
-        query = (with_sets.where("label <> top")
-                 .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-                 .withColumn("query", F.lit(True)))
-        columns = ["family", "block", "query", "node", "label", "shingles"]
-        links = stage(block.select(*columns).union(query.select(*columns))
-                      .groupBy("family", "block").applyInArrow(_look_up(self.percent), "u bigint, v bigint"), "near-found")
-        return self.contract(links)
+        top = sizes.groupBy("family").agg(F.max(F.struct("n", "label"))["label"].alias("top"))
+        members = members.join(stage(top, "near-families"), "family").select(
+            "family", "node", "label", (F.col("label") != F.col("top")).alias("query"))
+        members = stage(members.join(self.sets, "node"), "near-members")
+        counts = members.select("shingles").mapInArrow(_frequencies, "slot bigint, n bigint").groupBy("slot").agg(
+            F.sum("n").alias("n")).toArrow()
+        rank = np.zeros(RANK_SLOTS, np.int64)
+        rank[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+        shared = members.sparkSession.sparkContext.broadcast(rank)
+        tokens = stage(members.mapInArrow(_prefixes(shared, self.percent), PREFIXES), "near-prefixes")
+        asks = F.col("query")
+        pairs = (self.partners(tokens.where(asks), tokens.where("indexed"))
+                 .union(self.partners(tokens, tokens.where(asks & F.col("indexed")))).distinct())
+        return self.confirm(pairs if self.tested is None else pairs.join(self.tested, ["u", "v"], "left_anti"))
+
+    def partners(self, probing: DataFrame, indexed: DataFrame) -> DataFrame:
+        """Pairs of a set and one that is not larger, which share a shingle of
+        their prefixes; where it stands in both bounds what they can share."""
+        x = probing.select("family", "shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "place")])
+        y = indexed.select("family", "shingle", *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "n", "place")])
+        most = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+        can = ((F.col("x_label") != F.col("y_label"))
+               & (F.struct("x_n", "x_node") > F.struct("y_n", "y_node"))
+               & (100 * F.col("y_n") >= self.percent * F.col("x_n"))
+               & ((100 + self.percent) * most >= self.percent * (F.col("x_n") + F.col("y_n"))))
+        return (x.join(y, ["family", "shingle"]).where(can)
+                .select(F.least("x_node", "y_node").alias("u"), F.greatest("x_node", "y_node").alias("v")))
 
     def run(self) -> DataFrame | None:
         for round_no in range(STARS):
@@ -310,33 +327,51 @@ class _Search:
         return self.labels
 
 
-def _look_up(percent: int):
-    """Links between the queries and the sets of a block, over an inverted
-    index of the block's shingles."""
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.select(["query", "node", "label", "shingles"]).to_pylist()
-        own = [r for r in rows if not r["query"]]
-        sets = [np.frombuffer(r["shingles"], U) for r in own]
-        found: list[tuple[int, int]] = []
-        if own:
-            values = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            order = np.argsort(values, kind="stable")
-            values, owner = values[order], owner[order]
-            length = np.array([len(s) for s in sets])
-            for r in rows:
-                if not r["query"]:
-                    continue
-                q = np.frombuffer(r["shingles"], U)
-                lo, hi = np.searchsorted(values, q, "left"), np.searchsorted(values, q, "right")
-                hits = hi - lo
-                at = np.repeat(lo - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())
-                both = np.bincount(owner[at], minlength=len(sets))
-                for k in np.flatnonzero(100 * both >= percent * (length + len(q) - both)):
-                    if own[k]["label"] != r["label"]:
-                        found.append((min(own[k]["node"], r["node"]), max(own[k]["node"], r["node"])))
-        return pa.table({"u": pa.array([a for a, _ in found], pa.int64()),
-                         "v": pa.array([b for _, b in found], pa.int64())})
+PREFIXES = "family bigint, shingle bigint, node bigint, label bigint, query boolean, n bigint, place bigint, indexed boolean"
+
+
+def _rank_slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U(64 - 20)).astype(np.int64)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a partition have a shingle of each slot."""
+    table = np.zeros(RANK_SLOTS, np.int64)
+    for batch in batches:
+        held = b"".join(batch.column(0).to_pylist())
+        table += np.bincount(_rank_slot(np.frombuffer(held, U)), minlength=RANK_SLOTS)
+    at = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["slot", "n"])
+
+
+def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
+    """How many shingles of a set of ``n``, in one order for all sets, hold one
+    that it shares with any similar set: when the other is not larger, and when it
+    is not smaller."""
+    return n - -(-percent * n // 100) + 1, n - -(-2 * percent * n // (100 + percent)) + 1
+
+
+def _prefixes(rank, percent: int):
+    """The first shingles of every set in the order of (frequency, shingle)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("family", "node", "label", "query", "shingles"))
+            parts = []
+            for family, node, label, query, b in zip(*columns):
+                s = np.frombuffer(b, U)
+                if len(s):
+                    probing, indexed = prefix_lengths(len(s), percent)
+                    first = s[np.lexsort((s, rank.value[_rank_slot(s)]))[:probing]]
+                    parts.append((family, node, label, query, len(s), indexed, first))
+            if not parts:
+                continue
+            many = [len(p[-1]) for p in parts]
+            place = np.concatenate([np.arange(m) for m in many])
+            repeat = lambda k: np.repeat([p[k] for p in parts], many)      # noqa: E731
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(repeat(0)), pa.array(np.concatenate([p[-1] for p in parts]).view(np.int64)), pa.array(repeat(1)),
+                 pa.array(repeat(2)), pa.array(repeat(3)), pa.array(repeat(4)), pa.array(place), pa.array(place < repeat(5))],
+                names=["family", "shingle", "node", "label", "query", "n", "place", "indexed"])
     return run
 
 

@@ -62,7 +62,6 @@ def test_near_family_above_and_below_the_threshold(spark, monkeypatch):
     """Copies whose pairs lie around 0.75: stars alone miss links; the exact
     rest must find them.  Small bounds force every path."""
     monkeypatch.setattr(near, "SMALL", 3)
-    monkeypatch.setattr(near, "BLOCK", 7)
     base = prose(9, 150)
     rows = [(k, edited(base, k, 3 + k % 9), None, None) for k in range(60)]
     rows += [(200 + k, edited(prose(300 + k // 2, 90), k, 2 + k % 4), None, None) for k in range(20)]
@@ -143,6 +142,44 @@ def test_language_model_base_and_probability(spark):
         assert abs(base - r.base_score) < 1e-6 * max(1, len(t)) and r.score < 0
 
 
+def _template(seed, own, shared=80):
+    """A text of ``shared`` common words, one run, and ``own`` words of its own."""
+    return " ".join([f"c{k}" for k in range(shared)] + [f"o{seed}x{k}" for k in range(own)])
+
+
+def test_the_rest_of_large_buckets_equals_brute_force(spark, monkeypatch):
+    """Families around the threshold, without help of the stars."""
+    monkeypatch.setattr(near, "STARS", 1)
+    monkeypatch.setattr(near, "SMALL", 2)
+    rows = [(k, _template(k % 40, 8 + k % 17), "en", "a") for k in range(120)]
+    rows += [(500 + k, edited(_template(3, 15), k, k % 6), "en", "a") for k in range(40)]
+    truth = brute_components(rows)
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(documents(spark, rows)).collect()}
+    assert got == truth and len(set(truth.values())) > 10
+
+
+def test_prefixes_hold_a_shared_shingle():
+    rng = np.random.default_rng(2)
+    for _ in range(2000):
+        n = int(rng.integers(1, 60))
+        a = set(rng.choice(200, n, replace=False).tolist())
+        b = set(a) - set(rng.choice(sorted(a), int(rng.integers(0, 1 + n // 3)), replace=False).tolist())
+        b |= set(rng.integers(200, 300, int(rng.integers(0, 1 + n // 4))).tolist())
+        if b and 100 * len(a & b) >= 75 * len(a | b):
+            x, y = sorted((sorted(a), sorted(b)), key=len, reverse=True)
+            assert set(x[:near.prefix_lengths(len(x), 75)[0]]) & set(y[:near.prefix_lengths(len(y), 75)[1]])
+
+
+def test_families_below_the_threshold_cost_by_their_size(spark, monkeypatch):
+    """Thousands of texts that share most words, none similar enough: no pairs."""
+    asked = []
+    confirm = near._Search.confirm
+    monkeypatch.setattr(near._Search, "confirm", lambda self, pairs: asked.append(pairs.count()) or confirm(self, pairs))
+    rows = [(k, _template(k, 22), "en", "a") for k in range(3000)]
+    got = near.near_duplicates(documents(spark, rows)).where("component_id <> doc_id").count()
+    assert got == 0 and sum(asked) <= 20 * len(rows)
+
+
 def test_language_model_score_is_a_plain_sum(spark, monkeypatch):
     """Class and word factor of every token, history by history."""
     kept, fit = {}, lm._fit
