@@ -478,6 +478,7 @@ def host_paths(pages: DataFrame, paths: int = PATHS, beside: int = BESIDE) -> Da
     votes = (pages.select("host", "html").mapInArrow(_vote, "host string, path string, beside boolean, votes bigint")
              .groupBy("host", "path").agg(F.sum(F.when(F.col("beside"), 0).otherwise(F.col("votes"))).alias("votes"),
                                           F.sum(F.when(F.col("beside"), F.col("votes")).otherwise(0)).alias("out")))
+    votes = stage(votes, "host-votes")          # read twice; the pages are parsed once
     # Each rank is cut where it is made, so a host with very many paths ships few.
     def first(column: str, many: int) -> DataFrame:
         by = Window.partitionBy("host").orderBy(F.col(column).desc(), "path")
