@@ -337,7 +337,7 @@ def _rank_slot(shingles: np.ndarray) -> np.ndarray:
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many sets of a partition have a shingle of each slot."""
     table = np.zeros(RANK_SLOTS, np.int64)
-    for batch in batches:
+    for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
         held = b"".join(batch.column(0).to_pylist())
         table += np.bincount(_rank_slot(np.frombuffer(held, U)), minlength=RANK_SLOTS)
     at = np.flatnonzero(table)
@@ -354,7 +354,7 @@ def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
 def _prefixes(rank, percent: int):
     """The first shingles of every set in the order of (frequency, shingle)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
             columns = (batch.column(c).to_pylist() for c in ("family", "node", "label", "query", "shingles"))
             parts = []
             for family, node, label, query, b in zip(*columns):
