@@ -28,8 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.functions import (dedup_map_last, hash60, let, variant_falsy,
-                                  variant_long, variant_text)
+from changeloom.functions import dedup_map_last, hash60, let, variant_falsy, variant_long
 from changeloom.schemas import META_PREFIX, RAW_COLUMNS
 
 _MAP = "map<string,variant>"
@@ -37,18 +36,29 @@ _MAP = "map<string,variant>"
 _META = [("op", "op"), ("table", "source_table"), ("ts_ms", "ts_ms")]
 
 
-def _object(text: Column) -> Column:
-    """JSON text -> map of its top-level keys (NULL unless an object).
+def _items(text: Column) -> Column:
+    """JSON text as the items of an array, each a map of its top-level keys.
 
     The text is parsed as the only item of an array: text behind the object
-    breaks the array or adds an item, so the whole text must be consumed.  An
-    array bracket behind the object would close the wrapper early; only texts
+    breaks the array or adds an item, so the whole text must be consumed."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_MAP}>")
+
+
+def _object(items: Column, text: Column) -> Column:
+    """The map of the only item of ``_items`` (NULL unless an object).
+
+    An array bracket behind the object would close the wrapper early; only texts
     with such a pair are parsed a second time, inside an object.
     """
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_MAP}>")
     inside = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), f"struct<x:{_MAP}>")["x"]
-    closes_early = text.rlike(r"\}\s*\]") & inside.isNull()
-    return dedup_map_last(let(wrapped, lambda a: F.when((F.size(a) == 1) & ~closes_early, a[0])))
+    closes_early = text.contains("]") & text.rlike(r"\}\s*\]") & inside.isNull()
+    return F.when((F.size(items) == 1) & ~closes_early, _last_wins(F.get(items, F.lit(0))))
+
+
+def _last_wins(m: Column) -> Column:
+    """``dedup_map_last`` of a column; only a map with a repeated key pays for it."""
+    once = m.isNull() | (F.size(F.array_distinct(F.map_keys(m))) == F.size(m))
+    return F.when(once, m).otherwise(dedup_map_last(m))
 
 
 # A number, not a string, that a variant would respell: with a fraction, an
@@ -86,8 +96,9 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
     # Split with a generator instead of a filter: filter pushdown would copy
     # the whole parse into the predicate and evaluate it twice per message.
     def split(keep_valid: bool) -> DataFrame:
-        rows = F.filter(F.array(F.struct(*[F.col(c) for c in parsed.columns])),
-                        lambda r: r["reason"].isNull() if keep_valid else r["reason"].isNotNull())
+        reason = F.col("reason")
+        rows = F.when(reason.isNull() if keep_valid else reason.isNotNull(),
+                      F.array(F.struct(*[F.col(c) for c in parsed.columns])))
         return parsed.select(F.inline(rows))
 
     return valid_rows(split(True), keep_columns), rejected_rows(split(False), keep_columns)
@@ -124,44 +135,90 @@ def parse_messages(messages: DataFrame, consumed_at: Column | None = None,
 
     # Staged projections: each stage computes its expensive values once as
     # columns (a multiply referenced, non-trivial column is not inlined by the
-    # optimizer), so the chain stays linear and keeps code generation.
+    # optimizer), so the chain stays linear and keeps code generation.  Lambda
+    # functions are interpreted, so only rare messages (repeated keys, metadata
+    # in an unusual place, respelled numbers) get to an expression with one.
     s1 = messages.select(
         "topic", "partition", F.col("offset").alias("offset_value"), "value",
         consumed.cast("timestamp_ntz").alias("consumed_at"), *keep_columns,
-        _object(text).alias("_top"))
+        _items(text).alias("_items"))
+    s2 = s1.select(*base, _object(F.col("_items"), text).alias("_top"))
     top = F.col("_top")
-    is_envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
+    envelope = F.map_contains_key(top, "schema") & F.map_contains_key(top, "payload")
     # A variant sorts the keys of an object; the payload is parsed into a map of
     # its own, in one step, so that the row image keeps their order.
-    inner = dedup_map_last(F.from_json(text, f"struct<payload:{_MAP}>")["payload"])
-    s2 = s1.select(*base, "_top",
-                   F.when(is_envelope, inner).otherwise(top).alias("_m"))
+    inner = F.from_json(text, f"struct<payload:{_MAP}>")["payload"]
+    s3 = s2.select(*base, top.isNull().alias("_none"), envelope.alias("_envelope"),
+                   F.when(envelope, inner).otherwise(top).alias("_inner"))
+    s4 = s3.select(*base, "_none", "_envelope",
+                   F.when(F.col("_envelope"), _last_wins(F.col("_inner"))).otherwise(F.col("_inner")).alias("_m"))
     m = F.col("_m")
-    s3 = s2.select(*base, "_top", "_m",
-                   *[(~variant_falsy(m[META_PREFIX + f])).alias(f"_f_{f}") for f, _ in _META])
-    picks = {out: F.when(F.col(f"_f_{f}"), m[META_PREFIX + f]).otherwise(m[f])
+    s5 = s4.select(*base, "_none", "_envelope", "_m",
+                   *[(~_falsy(m[META_PREFIX + f])).alias(f"_f_{f}") for f, _ in _META])
+    picks = {out: F.when(F.col(f"_f_{f}"), m[META_PREFIX + f]).otherwise(m[f]).alias(f"_v_{out}")
              for f, out in _META}
-    # Keys leaving the row image: every prefixed field, and the plain field
-    # when its prefixed value was falsy.
-    removed = F.array(*[F.lit(META_PREFIX + f) for f, _ in _META],
-                      *[F.when(~F.col(f"_f_{f}"), F.lit(f)) for f, _ in _META])
-    s4 = s3.select(*base, "_top", "_m",
-                   variant_text(picks["op"]).alias("op"),
-                   variant_text(picks["source_table"]).alias("source_table"),
-                   variant_long(picks["ts_ms"]).alias("ts_ms"),
-                   let(removed, lambda rm: F.map_filter(
-                       m, lambda k, v: ~F.coalesce(F.array_contains(rm, k), F.lit(False))))
-                   .alias("_image"))
+    s6 = s5.select(*base, "_none", "_envelope", "_m", *[f"_f_{f}" for f, _ in _META],
+                   *picks.values(), F.to_json(m).alias("_json"))
+    s7 = s6.select(*base, "_none", "_envelope", "_m", "_json", *[f"_f_{f}" for f, _ in _META],
+                   _text(F.col("_v_op")).alias("op"), _text(F.col("_v_source_table")).alias("source_table"),
+                   variant_long(F.col("_v_ts_ms")).alias("ts_ms"))
     op, table, ts = F.col("op"), F.col("source_table"), F.col("ts_ms")
-    reason = (F.when(top.isNull(), F.lit("not a JSON object"))
+    reason = (F.when(F.col("_none"), F.lit("not a JSON object"))
               .when(m.isNull(), F.lit("payload is not a JSON object"))
               .when(op.isNull(), F.lit("missing op"))
               .when(table.isNull(), F.lit("missing source_table"))
               .when(ts.isNull(), F.lit("missing or non-integer ts_ms")))
-    return s4.select(
+    s8 = s7.select(*base, "_envelope", "_m", "_json", *[f"_f_{f}" for f, _ in _META], "op", "source_table", "ts_ms",
+                   _meta_tail(m).alias("_tail"), reason.alias("reason"))
+    return s8.select(
         "topic", "partition", "offset_value", "value", "consumed_at", "op", "source_table",
         "ts_ms",
         F.when(op == F.lit("d"), F.lit(None).cast("string"))
-         .otherwise(_image_text(F.col("_image"), F.col("value").cast("string"),
-                                is_envelope)).alias("after"),
-        reason.alias("reason"), *keep_columns)
+         .when(_is_plain(text, F.col("_envelope")), F.concat(F.substring(
+             F.col("_json"), F.lit(1), F.length("_json") - F.length("_tail")), F.lit("}")))
+         .otherwise(_image_text(_image(m), text, F.col("_envelope"))).alias("after"),
+        "reason", *keep_columns)
+
+
+def _meta_tail(m: Column) -> Column:
+    """The end of an object whose last three keys are the metadata that leaves the
+    row image: all prefixed, or all plain where no prefixed field is present."""
+    def tail(prefix: str) -> Column:
+        return F.concat(F.lit(f',"{prefix}op":"'), F.col("op"), F.lit(f'","{prefix}table":"'), F.col("source_table"),
+                        F.lit(f'","{prefix}ts_ms":'), F.col("ts_ms").cast("string"), F.lit("}"))
+    prefixed, absent = F.lit(True), F.lit(True)
+    for f, _ in _META:
+        prefixed, absent = prefixed & F.col(f"_f_{f}"), absent & ~F.map_contains_key(m, META_PREFIX + f)
+    return F.when(prefixed, tail(META_PREFIX)).when(absent, tail(""))
+
+
+def _is_plain(text: Column, is_envelope: Column) -> Column:
+    """The message is spelled as it is written back, with the metadata at the end of
+    the object: then the row image is the text before ``_tail``."""
+    spelled = F.when(is_envelope, text.endswith(F.concat(F.lit(',"payload":'), F.col("_json"), F.lit("}")))) \
+        .otherwise(text == F.col("_json"))
+    return spelled & F.col("_json").endswith(F.col("_tail"))
+
+
+def _image(m: Column) -> Column:
+    """The map without the keys that leave the row image: every prefixed field, and
+    the plain field when its prefixed value was falsy."""
+    removed = F.array(*[F.lit(META_PREFIX + f) for f, _ in _META],
+                      *[F.when(~F.col(f"_f_{f}"), F.lit(f)) for f, _ in _META])
+    return let(removed, lambda rm: F.map_filter(
+        m, lambda k, v: ~F.coalesce(F.array_contains(rm, k), F.lit(False))))
+
+
+def _falsy(v: Column) -> Column:
+    """``variant_falsy`` of a column; missing values, strings and integers do not
+    need its general form."""
+    kind = F.schema_of_variant(v)
+    return (F.when(v.isNull(), True)
+            .when(kind == "STRING", F.try_variant_get(v, "$", "string") == "")
+            .when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint") == 0)
+            .otherwise(variant_falsy(v)))
+
+
+def _text(v: Column) -> Column:
+    """``variant_text`` of a column."""
+    return F.when(~F.is_variant_null(v), F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
