@@ -181,8 +181,17 @@ def column_renames(raw: DataFrame, since_ts_ms: int, least: float = 0.5) -> Data
     sketches of 4096 entries, one per column (exact below that many values), so
     what is shuffled does not grow with the values, whatever a column holds.
     """
+    # Sketches only of tables with a column that vanished and one that is new; the
+    # others cannot have a pair.  At most one name per source table gets here.
+    spans = (raw.where(F.col("after").isNotNull())
+             .select("source_table", (F.col("ts_ms") >= since_ts_ms).alias("recent"),
+                     F.explode(F.map_keys(F.from_json("after", "map<string,string>"))).alias("column_name"))
+             .where(F.col("column_name") != DELETED_MARKER)
+             .groupBy("source_table", "column_name").agg(F.max("recent").alias("present"), F.min("recent").alias("new")))
+    tables = [r[0] for r in spans.groupBy("source_table").agg(F.min("present").alias("kept"), F.max("new").alias("new"))
+              .where("NOT kept AND new").select("source_table").collect()]
     entries = F.explode(F.from_json("after", "map<string,string>")).alias("column_name", "value")
-    cells = (raw.where(F.col("after").isNotNull())
+    cells = (raw.where(F.col("after").isNotNull() & F.col("source_table").isin(*tables))
              .select("source_table", (F.col("ts_ms") >= since_ts_ms).alias("recent"), entries)
              .where((F.col("column_name") != DELETED_MARKER)))
     columns = (cells.groupBy("source_table", "column_name")
