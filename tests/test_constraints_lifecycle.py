@@ -81,3 +81,35 @@ def test_renames(spark):
     assert {(r.source_table, r.old_column, r.new_column, r.new_values, r.shared_values) for r in got} == {
         ("users", "email", "mail", 20, 20), ("users", "fax", "phone", 1, 1)}
     assert column_renames(_raw(spark, old), 100).collect() == []
+
+
+def test_payments_are_parsed_once_and_small_plans_broadcast(spark):
+    """Facts read staged payments and plans: the payments' JSON is parsed once for
+    three uses, and a small catalogue moves no subscription to its plan."""
+    from changeloom.plans import queries
+    rows = [("plans", "c", 1, {"plan_id": 1, "name": "a", "price": "9.99", "billing_cycle": "monthly", "created_at": 0}),
+            ("plans", "c", 1, {"plan_id": 2, "name": "b", "price": "0.00", "billing_cycle": "monthly", "created_at": 0}),
+            ("subscriptions", "c", 2, {"subscription_id": 5, "user_id": 1, "plan_id": 2, "status": "active",
+                                       "started_at": 0, "ended_at": None}),
+            ("payments", "c", 3, {"payment_id": 7, "subscription_id": 5, "amount": "1.00", "status": "success", "created_at": 0}),
+            ("payments", "c", 4, {"payment_id": 8, "subscription_id": None, "amount": "1.00", "status": "failed", "created_at": 0})]
+    def log(s, d):
+        return _raw(s, rows)
+    facts = queries._fct_payments(spark, "", log)
+    assert "= payments" not in facts._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.payment_id, r.user_id, r.is_retry) for r in facts.collect()} == {(7, 1, False), (8, None, False)}
+    bad = queries.non_positive_mrr(spark, "", log)
+    assert "BroadcastHashJoin" in bad._jdf.queryExecution().sparkPlan().toString()
+    assert [r.subscription_id for r in bad.collect()] == [5]
+    assert [r.payment_id for r in queries.orphan_payments(spark, "", log).collect()] == [8]
+    found = {r.fk: r.violations for r in queries.fk_violations(spark, "", log).collect()}
+    assert found["subscriptions.user_id"] == 1 and found["payments.subscription_id"] == 0
+
+
+def test_renames_sketch_only_tables_that_can_have_one(spark):
+    """A table without a vanished and a new column is not sketched."""
+    users = [("users", "c", t, {"user_id": t, "email" if t < 100 else "mail": f"{t % 50}@x"}) for t in range(50, 150)]
+    other = [("plans", "c", t, {"plan_id": t, "name": "n"}) for t in (1, 200)]
+    got = column_renames(_raw(spark, users + other), 100)
+    assert "IN (plans" not in (p := got._jdf.queryExecution().optimizedPlan().toString()) and "users" in p
+    assert [(r.old_column, r.new_column) for r in got.collect()] == [("email", "mail")]
