@@ -44,6 +44,71 @@ def test_each_kind_of_constraint(spark):
     assert {r.violations for r in source_constraints(_raw(spark, [])).collect()} == {0}
 
 
+def test_marks_of_random_images_equal_a_loop(spark):
+    rng = random.Random(10)
+    rows = [("payments", rng.choice("ccur"), i, None if i % 17 == 0 else
+             {"payment_id": rng.choice([None, *range(40)]), "subscription_id": rng.choice([None, 1]),
+              "amount": rng.choice([None, "1"]), "status": rng.choice([None, "success", "odd", "x" * 21]),
+              "created_at": 1}) for i in range(200)]
+    rows += [("payments", "c", i, {"payment_id": i, "subscription_id": 1, "amount": "1", "status": "failed", "created_at": 1})
+             for i in (7, 7, 1000)]
+    images = [(op, image) for _, op, _, image in rows if image is not None]
+    keys = [i["payment_id"] for op, i in images if op == "c" and i["payment_id"] is not None]
+    states = [i["status"] for _, i in images]
+    want = {("payment_id", "primary_key"): sum(keys.count(k) > 1 for k in set(keys)),
+            ("status", "check"): sum(s in ("odd", "x" * 21) for s in states),
+            ("status", "max_length"): states.count("x" * 21), ("created_at", "not_null"): 0,
+            **{(c, "not_null"): sum(i[c] is None for _, i in images)
+               for c in ("payment_id", "subscription_id", "amount", "status")}}
+    done = source_constraints(_raw(spark, rows))
+    assert {(r.column_name, r.kind): r.violations for r in done.collect() if r.source_table == "payments"} == want
+    # no interpreted lambda runs per image
+    assert "lambda" not in done._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_images_without_a_json_writer_have_its_text(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from changeloom.sources.changelog import DEVICES, PLAN_NAMES, change_log
+    folder = str(tmp_path)
+    kinds = {"view": "page_view", "click": "button_click", "signup": "login", "purchase": "checkout_started",
+             "error": "support_ticket_opened"}
+    types = [*kinds, 'a"b\\c\n\té \x01', "", None]
+    events = [(n, dt.datetime(2024, 1, 1, 0, 0, n), n if n % 3 else None, t, p)
+              for n, (t, p) in enumerate((t, p) for t in types for p in ('{"k":5}', '{"k":8}', '{"k":10}'))]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string") \
+        .write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(1, 2, 3, 4, 10.5, "N", dt.datetime(1997, 1, 1)), (1, 2, 3, 7, 0.125, "R", None),
+                           (None, 2, 3, 7, None, "?", dt.datetime(1997, 1, 1))],
+                          "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double,"
+                          "l_returnflag string, l_shipdate timestamp_ntz").write.parquet(f"{folder}/lineitem.parquet")
+    log = change_log(spark, folder, ["events", "payments"])
+    got = {r.source_table + str(i): r.after for i, r in enumerate(
+        log.orderBy("source_table", F.get_json_object("after", "$.event_id").cast("int"), "after").collect())}
+    for n, (event_id, ts, user, kind, props) in enumerate(events):
+        k = json.loads(props)["k"]
+        name, us = kinds.get(kind, kind), 1704067200000000 + event_id * 1_000_000
+        inner = json.dumps({"button": f"btn_{k % 5}" if name == "button_click" else None,
+                            "device": DEVICES[k % 3], "duration_seconds": k,
+                            "method": ("sso" if k % 2 else "password") if name == "login" else None,
+                            "page": f"/page/{k % 10}",
+                            "plan": PLAN_NAMES[k % 3] if name == "checkout_started" else None,
+                            "referrer": "direct" if k % 2 else "search"}, separators=(",", ":"))
+        image = {"event_id": event_id, "user_id": user, "event_type": name,
+                 "properties": json.loads(inner) if event_id % 2 == 0 else inner, "created_at": us}
+        text = got[f"events{n}"]
+        assert json.loads(text) == image
+        if name != types[5]:                # the writer spells control characters in capitals
+            assert text == json.dumps(image, separators=(",", ":"), ensure_ascii=False)
+    us = 852076800000000 + 10_592 * 86_400_000_000
+    assert sorted(v for k, v in got.items() if k.startswith("payments")) == sorted([
+        f'{{"payment_id":14,"subscription_id":1,"amount":"10.50","status":"success","created_at":{us}}}',
+        '{"payment_id":17,"subscription_id":1,"amount":"0.13","status":"REFUNDED ","created_at":null}',
+        f'{{"payment_id":null,"subscription_id":null,"amount":null,"status":null,"created_at":{us}}}'])
+    # payments and events are written by no JSON writer, but for event types outside the map
+    plan = change_log(spark, folder, ["payments"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructsToJson" not in plan
+
+
 def _brute(rows):
     out = {}
     state = {}
