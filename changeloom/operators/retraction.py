@@ -15,6 +15,8 @@ the two finds its number and only brings ``rows`` up to date.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,18 +59,18 @@ class RetractedSums:
         if sums.properties.get("batch", -1) < batch_id:
             touched = [r[0] for r in new.select(stored.bucket_of().alias("b")).distinct().collect()]
             old = stored.read(touched)
-            both = (new.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False))))
-            # The new row of a key counts if it comes out on top, and then the old one goes.
-            order = F.struct(*DEFAULT_ORDER)
-            pair = both.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(self.keys)]).agg(
-                F.max(F.when(F.col("_new"), F.struct(order.alias("at"), F.struct(*new.columns).alias("row")))).alias("n"),
-                F.max(F.when(~F.col("_new"), F.struct(order.alias("at"), F.struct(*new.columns).alias("row")))).alias("o"))
-            wins = pair.where(F.col("n").isNotNull() & (F.col("o").isNull() | (F.col("n.at") > F.col("o.at"))))
+            # Both sides have one row per key.  The new row counts if it comes out on
+            # top, and then the old one goes.
+            placed = F.struct(F.struct(*DEFAULT_ORDER).alias("at"), F.struct(*new.columns).alias("row"))
+            same = reduce(Column.__and__, [F.col(f"_n{i}").eqNullSafe(F.col(f"_o{i}")) for i in range(len(self.keys))])
+            n, o = (rows.select(*[F.col(k).alias(f"_{side}{i}") for i, k in enumerate(self.keys)], placed.alias(side))
+                    for rows, side in ((new, "n"), (old, "o")))
+            wins = n.join(o, same, "left").where(F.col("o").isNull() | (F.col("n.at") > F.col("o.at")))
             change = (self._contributions(wins.select("n.row.*"), 1)
                       .unionByName(self._contributions(wins.where(F.col("o").isNotNull()).select("o.row.*"), -1)))
             sums.update(self._sum(change), lambda s, c: self._sum(s.unionByName(c)).where("rows <> 0"),
                         {"batch": batch_id}).vacuum()
-        upsert_latest(stored, new).vacuum()
+        upsert_latest(stored, new, staged=True).vacuum()
         unstage(new)
 
     def read(self) -> DataFrame:

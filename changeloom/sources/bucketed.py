@@ -125,19 +125,21 @@ class BucketedTable:
         return table._write(df, None, properties or {})
 
     def update(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame],
-               properties: dict | None = None) -> "BucketedTable":
+               properties: dict | None = None, staged: bool = False) -> "BucketedTable":
         """The next version: ``merge(rows, changes)`` replaces the buckets that the
         keys of ``changes`` hash to, where ``rows`` are the rows of those buckets.
         ``merge`` must return the table's columns and keep the keys of other rows.
         ``properties`` are set in the same commit; without them and without
-        changes there is no new version."""
-        staged = stage(changes, "bucketed-changes")
-        touched = [r[0] for r in staged.select(self.bucket_of().alias("b")).distinct().collect()]
+        changes there is no new version.  ``staged`` says that ``changes`` are
+        written already (``session.stage``); they are then not written again."""
+        written = changes if staged else stage(changes, "bucketed-changes")
+        touched = [r[0] for r in written.select(self.bucket_of().alias("b")).distinct().collect()]
         if not touched and properties is None:
             return self
-        merged = merge(self.read(touched), staged).select(*self.schema.names)
+        merged = merge(self.read(touched), written).select(*self.schema.names)
         following = self._write(merged, touched, {**self.properties, **(properties or {})})
-        unstage(staged)
+        if not staged:
+            unstage(written)
         return following
 
     def _write(self, rows: DataFrame, touched: list[int] | None, properties: dict) -> "BucketedTable":
@@ -194,8 +196,9 @@ def exists(spark: SparkSession, base: str) -> bool:
     return True
 
 
-def upsert_latest(table: BucketedTable, rows: DataFrame, order: list | None = None) -> BucketedTable:
+def upsert_latest(table: BucketedTable, rows: DataFrame, order: list | None = None,
+                  staged: bool = False) -> BucketedTable:
     """Newest row per key (``cdc_ts_ms``, ties by ``cdc_id``); a late row never
     replaces a newer one, and a batch applied twice changes nothing."""
     return table.update(rows, lambda stored, new: latest_by_key(
-        stored.unionByName(new.select(*stored.columns)), table.keys, order))
+        stored.unionByName(new.select(*stored.columns)), table.keys, order), staged=staged)

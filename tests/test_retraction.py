@@ -70,3 +70,16 @@ def test_a_batch_repeated_after_a_failure_counts_once(spark, monkeypatch):
     # the last row of a group leaves: the group is absent
     again.apply(df([(1, "a", Decimal(1), False, 9, 6)]), 3)
     assert _state(again) == {"a": (2, Decimal(11))}
+
+
+def test_a_batch_is_written_once(spark, monkeypatch):
+    from changeloom.sources import bucketed
+    written, stage = [], bucketed.stage
+    monkeypatch.setattr(bucketed, "stage", lambda df, name: written.append(df.columns) or stage(df, name))
+    sums = _sums(spark, tempfile.mkdtemp(prefix="cl-retract-"))
+    for b, rows in enumerate(([(1, "a", Decimal(5), True, 1, 1), (None, "a", Decimal(2), True, 1, 2)],
+                              [(1, "b", Decimal(6), True, 2, 3), (None, "a", Decimal(3), True, 2, 4)])):
+        sums.apply(spark.createDataFrame(rows, SCHEMA), b)
+    # only the changed sums; the batch's rows are staged by then
+    assert written == [["g", "rows", "amount"]] * 2
+    assert _state(sums) == {"a": (1, Decimal(3)), "b": (1, Decimal(6))}
