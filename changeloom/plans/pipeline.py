@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeloom.operators import quality, scd2
 from changeloom.plans import checks, marts, staging
+from changeloom.session import stage as write_once
 from changeloom.sources.files import publish_table, publish_view, read_raw, write_raw
 
 RUN_LOG_SCHEMA = "stage string, model string, rows bigint, seconds double, status string"
@@ -27,6 +28,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out: str, landed: bool = F
         raw = read_raw(spark, f"{out}/raw")
     log: list[tuple] = []
     built: dict[str, DataFrame] = {}
+    written: dict[str, DataFrame] = {}
 
     def step(stage: str, name: str, action) -> bool:
         """Run ``action() -> (rows, status)`` and log it, also when it fails."""
@@ -45,6 +47,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out: str, landed: bool = F
             return built[name].count(), "success"
         return action
 
+    def typed(name):
+        """The rows of a staging view, typed and written when the first mart asks for
+        them: marts, snapshots and tests then parse no image again."""
+        if name not in written:
+            payments = name == "stg_payments"       # the retry flag is derived on reading
+            written[name] = write_once(staging.stg_payments_base(raw) if payments else built[name], name)
+            built[name] = staging.flag_retry(written[name]) if payments else written[name]
+        return written[name]
+
     def table(stage, name, fn):
         def action():
             path = f"{out}/{stage}/{name}"
@@ -59,18 +70,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out: str, landed: bool = F
         failed, passed = report.where("NOT passed").count(), report.where("passed").count()
         return passed, "success" if failed == 0 else f"failed: {failed} checks"
 
-    stg = built
     steps = [("staging", n, view(n, fn)) for n, fn in staging.STAGING_MODELS.items()]
     steps += [("marts", n, table("marts", n, fn)) for n, fn in {
-        "dim_users": lambda: marts.dim_users(stg["stg_users"]),
-        "dim_plans": lambda: marts.dim_plans(stg["stg_plans"]),
+        "dim_users": lambda: marts.dim_users(typed("stg_users")),
+        "dim_plans": lambda: marts.dim_plans(typed("stg_plans")),
         "dim_dates": lambda: marts.dim_dates(spark),
-        "fct_subscriptions": lambda: marts.fct_subscriptions(stg["stg_subscriptions"], stg["stg_plans"]),
-        "fct_payments": lambda: marts.fct_payments(staging.stg_payments_base(raw), stg["stg_subscriptions"]),
+        "fct_subscriptions": lambda: marts.fct_subscriptions(typed("stg_subscriptions"), typed("stg_plans")),
+        "fct_payments": lambda: marts.fct_payments(typed("stg_payments"), typed("stg_subscriptions")),
     }.items()]
     steps += [("snapshots", n, table("snapshots", n, fn)) for n, fn in {
-        "users_snapshot": lambda: scd2.build_scd2(stg["stg_users"], "user_id"),
-        "plans_snapshot": lambda: scd2.build_scd2(stg["stg_plans"], "plan_id"),
+        "users_snapshot": lambda: scd2.build_scd2(typed("stg_users"), "user_id"),
+        "plans_snapshot": lambda: scd2.build_scd2(typed("stg_plans"), "plan_id"),
     }.items()]
     steps.append(("tests", "dq_report", tests))
     for stage, name, action in steps:

@@ -59,3 +59,16 @@ def test_a_failing_model_stops_the_run_and_says_why(spark):
     log = run_pipeline(spark, bad, out).collect()
     assert log[-1].model == "dim_plans" and log[-1].rows is None and "CAST_INVALID_INPUT" in log[-1].status
     assert spark.read.parquet(f"{out}/raw").count() == bad.count()
+
+
+def test_images_are_parsed_once_for_marts_and_tests(spark, monkeypatch):
+    from changeloom.plans import marts, pipeline
+    out, names, write_once = tempfile.mkdtemp(prefix="cl-pipe-"), [], pipeline.write_once
+    monkeypatch.setattr(pipeline, "write_once", lambda df, name: names.append(name) or write_once(df, name))
+    raw = change_log(spark, SF001)
+    log = run_pipeline(spark, raw, out).collect()
+    assert all(r.status == "success" for r in log)
+    assert sorted(names) == ["stg_payments", "stg_plans", "stg_subscriptions", "stg_users"]
+    want = marts.fct_payments(staging.stg_payments_base(raw), staging.stg_subscriptions(raw))
+    got = spark.read.parquet(f"{out}/marts/fct_payments")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
