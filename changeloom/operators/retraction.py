@@ -70,7 +70,7 @@ class RetractedSums:
                       .unionByName(self._contributions(wins.where(F.col("o").isNotNull()).select("o.row.*"), -1)))
             sums.update(self._sum(change), lambda s, c: self._sum(s.unionByName(c)).where("rows <> 0"),
                         {"batch": batch_id}).vacuum()
-        upsert_latest(stored, new, staged=True).vacuum()
+        upsert_latest(stored, new, DEFAULT_ORDER, True).vacuum()       # new is staged
         unstage(new)
 
     def read(self) -> DataFrame:
