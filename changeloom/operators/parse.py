@@ -97,8 +97,9 @@ def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
     # the whole parse into the predicate and evaluate it twice per message.
     def split(keep_valid: bool) -> DataFrame:
         reason = F.col("reason")
+        unused = {"value", "reason"} if keep_valid else {"op", "source_table", "ts_ms", "after", "consumed_at"}
         rows = F.when(reason.isNull() if keep_valid else reason.isNotNull(),
-                      F.array(F.struct(*[F.col(c) for c in parsed.columns])))
+                      F.array(F.struct(*[F.col(c) for c in parsed.columns if c not in unused - set(keep_columns or [])])))
         return parsed.select(F.inline(rows))
 
     return valid_rows(split(True), keep_columns), rejected_rows(split(False), keep_columns)

@@ -22,8 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.operators.latest import latest_by_key
 from changeloom.operators.monitor import batch_stats, dedup_offsets, last_seen, merge_seen
-from changeloom.operators.parse import parse_messages, rejected_rows, valid_rows
-from changeloom.schemas import MESSAGE_SCHEMA, RAW_COLUMNS
+from changeloom.operators.parse import parse_change_events, parse_messages, rejected_rows, valid_rows
+from changeloom.schemas import MESSAGE_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
+from changeloom.session import remove_path
 from changeloom.sources.bucketed import BucketedTable, exists, upsert_latest
 
 
@@ -61,8 +62,21 @@ def record_seen(batch: DataFrame, base: str) -> BucketedTable:
     return table
 
 
+def _land(valid: DataFrame, folder: str) -> None:
+    (valid.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+     .partitionBy("source_table").parquet(folder))
+
+
 def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
                   consumed_at: Column | None, seen_path: str | None = None):
+    def write_valid(batch: DataFrame, batch_id: int) -> None:
+        # Nothing but the valid rows is asked for: they go from the parser to the sink.
+        folder = f"{path}/batch_id={batch_id}"
+        _land(parse_change_events(batch, consumed_at=consumed_at)[0], folder)
+        landed = batch.sparkSession.read.schema(RAW_SCHEMA).parquet(folder)
+        if not landed.inputFiles() and batch.isEmpty():     # an empty poll writes nothing
+            remove_path(batch.sparkSession, folder)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():          # an empty poll writes nothing
             return
@@ -72,8 +86,7 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
         try:
             valid = valid_rows(parsed.where("reason IS NULL"))
             rejected = rejected_rows(parsed.where("reason IS NOT NULL"))
-            (valid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source_table")
-             .parquet(f"{path}/batch_id={batch_id}"))
+            _land(valid, f"{path}/batch_id={batch_id}")
             if rejects_path:
                 rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
             if stats_path:
@@ -83,7 +96,7 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
                 record_seen(valid, seen_path)
         finally:
             parsed.unpersist()
-    return write
+    return write if rejects_path or stats_path or seen_path else write_valid
 
 
 def start_landing(messages: DataFrame, path: str, checkpoint: str,

@@ -97,6 +97,8 @@ class MessageReader(DataSourceStreamReader):
                     if a < b:
                         yield pa.Table.from_batches([batch.slice(a, b - a)]).cast(ARROW).combine_chunks().to_batches()[0]
                     row += batch.num_rows
+                    if row >= partition.last:
+                        return
             else:
                 row += rows
 
