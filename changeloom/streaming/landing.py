@@ -78,14 +78,19 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
             remove_path(batch.sparkSession, folder)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():          # an empty poll writes nothing
-            return
-        # One parse per batch: the parsed rows are kept, valid and rejected
-        # ones are plain filters of them.
-        parsed = parse_messages(batch, consumed_at=consumed_at).persist()
+        # One parse per batch: the parsed rows are written once, below a name that
+        # readers pass over; valid and rejected ones are plain filters of them.
+        spark, folder = batch.sparkSession, f"{path}/_parsed"
+        parsed = parse_messages(batch, consumed_at=consumed_at)
+        text = F.when(F.col("reason").isNotNull(), F.col("value"))      # only rejects show it
         try:
-            valid = valid_rows(parsed.where("reason IS NULL"))
-            rejected = rejected_rows(parsed.where("reason IS NOT NULL"))
+            (parsed.withColumn("value", text).write.mode("overwrite").option("compression", "zstd")
+             .parquet(f"{folder}/batch_id={batch_id}"))
+            kept = spark.read.schema(parsed.schema).parquet(f"{folder}/batch_id={batch_id}")
+            if kept.isEmpty():       # an empty poll writes nothing
+                return
+            valid = valid_rows(kept.where("reason IS NULL"))
+            rejected = rejected_rows(kept.where("reason IS NOT NULL"))
             _land(valid, f"{path}/batch_id={batch_id}")
             if rejects_path:
                 rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
@@ -95,7 +100,7 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
             if seen_path:
                 record_seen(valid, seen_path)
         finally:
-            parsed.unpersist()
+            remove_path(spark, folder)
     return write if rejects_path or stats_path or seen_path else write_valid
 
 

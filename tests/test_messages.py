@@ -74,7 +74,7 @@ def _tables(spark, path):
     return path
 
 
-@pytest.mark.parametrize("name", ["stream_landing_bounded"])
+@pytest.mark.parametrize("name", ["stream_landing_bounded", "stream_landing"])
 def test_landing_query_holds_nothing_it_has_landed(spark, monkeypatch, name):
     """All messages land without a copy of the batch, and are gone before the replays are removed."""
     from changeloom.plans.queries import raw, registry
@@ -88,7 +88,7 @@ def test_landing_query_holds_nothing_it_has_landed(spark, monkeypatch, name):
     assert sorted(r.cdc_id for r in got.collect()) == sorted(r.cdc_id for r in raw(spark, d).collect())
     [landed] = {f.removeprefix("file://").partition("/raw/")[0] for f in got.inputFiles()}
     assert glob.glob(f"{landed}/raw/batch_id=*")
-    assert not glob.glob(f"{landed}/in")
+    assert not glob.glob(f"{landed}/in") and not glob.glob(f"{landed}/raw/_parsed")
 
 
 def test_an_empty_batch_writes_nothing(spark):
