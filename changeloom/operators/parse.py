@@ -86,30 +86,34 @@ def _image_text(image: Column, text: Column, is_envelope: Column) -> Column:
 
 
 def parse_change_events(messages: DataFrame, consumed_at: Column | None = None,
-                        keep_columns: list[str] | None = None
+                        keep_columns: list[str] | None = None,
+                        columns: list[str] | None = None
                         ) -> tuple[DataFrame, DataFrame]:
     """Split messages ``(topic, partition, offset, value[, timestamp])`` into
-    ``(valid, rejected)``; see ``parse_messages``.
+    ``(valid, rejected)``; see ``parse_messages``.  ``columns`` are those wanted of
+    the valid rows (default all); what only others need is not worked out.
     """
     parsed = parse_messages(messages, consumed_at, keep_columns)
+    kept = [*(columns or RAW_COLUMNS), *(keep_columns or [])]
 
     # Split with a generator instead of a filter: filter pushdown would copy
     # the whole parse into the predicate and evaluate it twice per message.
     def split(keep_valid: bool) -> DataFrame:
         reason = F.col("reason")
-        unused = {"value", "reason"} if keep_valid else {"op", "source_table", "ts_ms", "after", "consumed_at"}
+        position = ["topic", "partition", "offset_value"]
+        needed = [*position, *kept] if keep_valid else [*position, "value", "reason", *(keep_columns or [])]
         rows = F.when(reason.isNull() if keep_valid else reason.isNotNull(),
-                      F.array(F.struct(*[F.col(c) for c in parsed.columns if c not in unused - set(keep_columns or [])])))
+                      F.array(F.struct(*[F.col(c) for c in parsed.columns if c in needed])))
         return parsed.select(F.inline(rows))
 
-    return valid_rows(split(True), keep_columns), rejected_rows(split(False), keep_columns)
+    return valid_rows(split(True), keep_columns, columns), rejected_rows(split(False), keep_columns)
 
 
-def valid_rows(parsed: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
+def valid_rows(parsed: DataFrame, keep_columns: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """The raw change-log rows of parsed messages without a reason."""
     return (parsed.withColumn("before", F.lit(None).cast("string"))
             .withColumn("cdc_id", hash60("topic", "partition", "offset_value"))
-            .select(*RAW_COLUMNS, *(keep_columns or [])))
+            .select(*(columns or RAW_COLUMNS), *(keep_columns or [])))
 
 
 def rejected_rows(parsed: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
