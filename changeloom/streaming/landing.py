@@ -62,9 +62,13 @@ def record_seen(batch: DataFrame, base: str) -> BucketedTable:
     return table
 
 
+# Bytes of a row group: a task that writes or reads a landed file holds one.
+GROUP_BYTES = 32 << 20
+
+
 def _land(valid: DataFrame, folder: str) -> None:
     (valid.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
-     .partitionBy("source_table").parquet(folder))
+     .option("parquet.block.size", GROUP_BYTES).partitionBy("source_table").parquet(folder))
 
 
 def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
@@ -85,7 +89,7 @@ def _batch_writer(path: str, rejects_path: str | None, stats_path: str | None,
         text = F.when(F.col("reason").isNotNull(), F.col("value"))      # only rejects show it
         try:
             (parsed.withColumn("value", text).write.mode("overwrite").option("compression", "zstd")
-             .parquet(f"{folder}/batch_id={batch_id}"))
+             .option("parquet.block.size", GROUP_BYTES).parquet(f"{folder}/batch_id={batch_id}"))
             kept = spark.read.schema(parsed.schema).parquet(f"{folder}/batch_id={batch_id}")
             if kept.isEmpty():       # an empty poll writes nothing
                 return

@@ -105,6 +105,20 @@ def test_an_empty_batch_writes_nothing(spark):
     assert len(glob.glob(f"{base}/rej/batch_id=*")) == 1
 
 
+@pytest.mark.parametrize("extra", [{}, {"rejects_path": "rej"}])
+def test_landed_files_have_bounded_row_groups(spark, monkeypatch, extra):
+    import pyarrow.parquet as pq
+    from changeloom.streaming import landing
+    monkeypatch.setattr(landing, "GROUP_BYTES", 1 << 16)
+    base = tempfile.mkdtemp(prefix="cl-groups-")
+    _file(spark, f"{base}/in", range(30_000))
+    q = start_landing(landing.read_change_stream(spark, "parquet", {}, f"{base}/in"), f"{base}/raw", f"{base}/ck",
+                      consumed_at=F.lit("2024-01-01 00:00:00"), **{k: f"{base}/{v}" for k, v in extra.items()})
+    q.awaitTermination()
+    files = [pq.read_metadata(f) for f in glob.glob(f"{base}/raw/batch_id=*/*/*.parquet")]
+    assert sum(m.num_rows for m in files) == 30_000 and max(m.num_row_groups for m in files) > 2
+
+
 def test_a_task_stops_reading_at_its_last_row(spark, monkeypatch):
     from changeloom.streaming import messages
     base = tempfile.mkdtemp(prefix="cl-range-")
